@@ -82,14 +82,14 @@ def expand_term(
     lines: DataFrame, cap: str = "reference", between: tuple[str, str] | None = None
 ) -> DataFrame:
     """One row per contract month, with the unrounded monthly amount."""
-    first, last = month_bounds(month_count(lines, cap), F.col("startdate"), between)
-    return lines.select(
+    bounds = month_bounds(F.col("months"), F.col("startdate"), between)
+    return lines.withColumn("months", month_count(lines, cap)).select(
         F.col("tranid").alias("id"),
         "customerid",
         "itemid",
         "term",
         "amount",
-        F.explode(month_list(first, last)).alias("period"),
+        F.explode(month_list(*bounds)).alias("period"),
         F.try_divide(F.col("amount"), F.col("term")).alias("computed"),
         F.when(F.col("term") % 1 != 0, "Yes").otherwise("No").alias("ispartialterm"),
     )

@@ -193,11 +193,9 @@ def _posted_rows(
     array of month numbers per line, 0 for its churn, makes all rows in one
     pass, and one lookup finds the period of both kinds.
     """
-    own = F.coalesce(
-        month_list(*month_bounds(_postable_months(lines, cap), F.col("startdate"), between)),
-        F.array(F.lit(None).cast("int")),
-    )
-    rows = with_amounts(typed)
+    bounds = month_bounds(F.col("months"), F.col("startdate"), between)
+    own = F.coalesce(month_list(*bounds), F.array(F.lit(None).cast("int")))
+    rows = with_amounts(typed).withColumn("months", _postable_months(lines, cap))
     if not contracts:
         rows = rows.where(has_churn()).withColumn("period", F.lit(0))
     elif not churned:
@@ -330,15 +328,14 @@ def report_summary(
             F.sum(F.when(~churned, F.col("closing"))).alias("closing"),
         )
     )
-    first, last = month_bounds(month_count(lines, cap), F.col("startdate"), months_between)
-    numbers = F.when(churned, F.array(F.lit(0))).otherwise(month_list(first, last))
+    bounds = month_bounds(F.col("months"), F.col("startdate"), months_between)
+    numbers = F.when(churned, F.array(F.lit(0))).otherwise(month_list(*bounds))
     months = monthly_periods(periods)
     if between is not None:
         low, high = (F.to_date(F.lit(day)) for day in between)
         months = months.where(F.col("startdate").between(low, high))
-    posted = posting_period(
-        sums.withColumn("period", F.explode(numbers)), _posting_day(), months, "inner"
-    )
+    spread = sums.withColumn("months", month_count(lines, cap)).withColumn("period", F.explode(numbers))
+    posted = posting_period(spread, _posting_day(), months, "inner")
     summary = posted.groupBy("postingperiodid", "postingperiod", "periodstart", "ordertype").agg(
         F.sum(_posting_amount()).alias("mrr")
     )
