@@ -161,9 +161,9 @@ def _resolved_import(spark, d):
         F.array().cast("array<string>").alias("problems"),
     )
     transactions = orders.transactions(spark, d).withColumnRenamed("trandisplayname", "name")
-    known = spark.read.parquet(f"{d}/customer.parquet").where("c_acctbal >= 0")
+    known = orders.read(spark, d, "customer").where("c_acctbal >= 0")
     customers = known.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
-    suppliers = spark.read.parquet(f"{d}/supplier.parquet")
+    suppliers = orders.read(spark, d, "supplier")
     items = suppliers.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
     return contract_csv.resolve_references(typed, transactions, customers, items)
 
@@ -179,8 +179,8 @@ def _rejected_references(spark, d):
 
 def _null_dangling(spark, d):
     """Customers in debt and cheap parts count as deleted."""
-    kept = spark.read.parquet(f"{d}/customer.parquet").where("c_acctbal >= 0")
-    parts = spark.read.parquet(f"{d}/part.parquet").where("p_retailprice > 900")
+    kept = orders.read(spark, d, "customer").where("c_acctbal >= 0")
+    parts = orders.read(spark, d, "part").where("p_retailprice > 900")
     return checks.null_dangling(
         orders.contract_lines(spark, d),
         orders.transactions(spark, d),
@@ -191,7 +191,7 @@ def _null_dangling(spark, d):
 
 def _duplicate_tranids(spark, d):
     """Order lines taken as contract lines: many share their order."""
-    lines = spark.read.parquet(f"{d}/lineitem.parquet")
+    lines = orders.read(spark, d, "lineitem")
     return checks.duplicate_tranids(lines.select(F.col("l_orderkey").alias("tranid")))
 
 

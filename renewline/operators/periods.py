@@ -25,8 +25,8 @@ def period_calendar(months: DataFrame) -> DataFrame:
             F.explode(
                 F.sequence(F.trunc("startdate", "MM"), F.col("enddate"), F.expr("interval 1 month"))
             ).alias("cal_month"),
-            F.col("startdate").alias("cal_start"),
-            F.col("enddate").alias("cal_end"),
+            F.col("startdate").alias("periodstart"),
+            F.col("enddate").alias("periodend"),
             F.col("periodid").alias("postingperiodid"),
             F.col("periodname").alias("postingperiod"),
         )
@@ -42,14 +42,11 @@ def posting_period(df: DataFrame, day: Column, months: DataFrame, how: str = "le
     """
     dated = df.withColumn("cal_day", day)
     calendar = period_calendar(months)
-    held = (F.trunc(dated["cal_day"], "MM") == calendar["cal_month"]) & dated["cal_day"].between(
-        calendar["cal_start"], calendar["cal_end"]
-    )
-    return (
-        dated.join(calendar, held, how)
-        .withColumnRenamed("cal_start", "periodstart")
-        .drop("cal_day", "cal_month", "cal_end")
+    cal_day = F.col("cal_day")
+    held = (F.trunc(cal_day, "MM") == F.col("cal_month")) & cal_day.between(
+        F.col("periodstart"), F.col("periodend")
     )
+    return dated.join(calendar, held, how).drop("cal_day", "cal_month", "periodend")
 
 
 def overlapping_periods(months: DataFrame) -> DataFrame:
@@ -61,18 +58,18 @@ def overlapping_periods(months: DataFrame) -> DataFrame:
     """
     earlier = (
         Window.partitionBy("cal_month")
-        .orderBy("cal_start", "postingperiodid")
+        .orderBy("periodstart", "postingperiodid")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     return (
         period_calendar(months)
-        .withColumn("latest_end", F.max("cal_end").over(earlier))
-        .where(F.col("cal_start") <= F.col("latest_end"))
+        .withColumn("latest_end", F.max("periodend").over(earlier))
+        .where(F.col("periodstart") <= F.col("latest_end"))
         .select(
             F.col("postingperiodid").alias("periodid"),
             F.col("postingperiod").alias("periodname"),
-            F.col("cal_start").alias("startdate"),
-            F.col("cal_end").alias("enddate"),
+            F.col("periodstart").alias("startdate"),
+            F.col("periodend").alias("enddate"),
         )
         .distinct()
     )

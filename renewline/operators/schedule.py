@@ -83,13 +83,24 @@ def expand_term(
 ) -> DataFrame:
     """One row per contract month, with the unrounded monthly amount."""
     bounds = month_bounds(F.col("months"), F.col("startdate"), between)
-    return lines.withColumn("months", month_count(lines, cap)).select(
+    once_per_line = lines.select(
         F.col("tranid").alias("id"),
         "customerid",
         "itemid",
+        "startdate",
         "term",
         "amount",
-        F.explode(month_list(*bounds)).alias("period"),
+        month_count(lines, cap).alias("months"),
         F.try_divide(F.col("amount"), F.col("term")).alias("computed"),
         F.when(F.col("term") % 1 != 0, "Yes").otherwise("No").alias("ispartialterm"),
     )
+    return once_per_line.select(
+        "id",
+        "customerid",
+        "itemid",
+        "term",
+        "amount",
+        F.explode(month_list(*bounds)).alias("period"),
+        "computed",
+        "ispartialterm",
+    )

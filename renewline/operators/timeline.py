@@ -34,47 +34,50 @@ def _usable_end() -> Column:
     return F.col("enddate").isNotNull() & F.col("customerid").isNotNull() & F.col("itemid").isNotNull()
 
 
-def _with_latest_end(events: DataFrame) -> DataFrame:
-    """The start events, each with the last end event strictly before its day.
+def _event(day: str, line: Column, end: Column, is_end: bool) -> Column:
+    return F.struct(
+        F.col(day).alias("day"),
+        F.lit(is_end).alias("is_end"),
+        line.alias("line"),
+        end.alias("end"),
+    )
+
+
+def _starts_after_ends(events: DataFrame) -> DataFrame:
+    """The start events, each with the ``latest`` end strictly before its day.
 
     On one day starts sort before ends, so a contract ending on the very start
     day is not seen; among the ends of a day the highest transaction is last.
     """
     so_far = (
         Window.partitionBy(*KEY)
-        .orderBy("day", "is_end", "end.tranid")
+        .orderBy("event.day", "event.is_end", "event.end.tranid")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    latest = F.last("end", ignorenulls=True).over(so_far)
-    return events.withColumn("latest", latest).where(~F.col("is_end"))
+    latest = F.last("event.end", ignorenulls=True).over(so_far)
+    return events.select("*", latest.alias("latest")).where(~F.col("event.is_end"))
+
+
+def _previous_columns() -> list[Column]:
+    return [
+        F.col("latest.enddate").alias("previousenddate"),
+        F.col("latest.tranid").alias("previoustranid"),
+    ]
 
 
 def _previous(lines: DataFrame) -> DataFrame:
-    rest = [c for c in lines.columns if c not in KEY]
-    line_type = T.StructType([T.StructField(c, lines.schema[c].dataType) for c in rest])
-    start_event = F.struct(
-        F.col("startdate").alias("day"),
-        F.lit(False).alias("is_end"),
-        F.struct(*rest).alias("line"),
-        F.lit(None).cast(_END).alias("end"),
-    )
-    end_event = F.struct(
-        F.col("enddate").alias("day"),
-        F.lit(True).alias("is_end"),
-        F.lit(None).cast(line_type).alias("line"),
-        F.struct("enddate", "tranid").alias("end"),
-    )
+    rest = [f for f in lines.schema if f.name not in KEY]
+    line_type = T.StructType([T.StructField(f.name, f.dataType) for f in rest])
+    no_line, no_end = F.lit(None).cast(line_type), F.lit(None).cast(_END)
+    start = _event("startdate", F.struct(*line_type.names), no_end, False)
+    end = _event("enddate", no_line, F.struct("enddate", "tranid"), True)
     # Exploding after the exchange sends a line over the network once, though
     # it takes part twice: by its start and by its end.
-    events = F.when(_usable_end(), F.array(start_event, end_event)).otherwise(F.array(start_event))
-    return (
-        _with_latest_end(lines.select(*KEY, F.explode(events).alias("event")).select(*KEY, "event.*"))
-        .select(*KEY, "line.*", "latest")
-        .select(
-            *lines.columns,
-            F.col("latest.enddate").alias("previousenddate"),
-            F.col("latest.tranid").alias("previoustranid"),
-        )
+    both = F.when(_usable_end(), F.array(start, end)).otherwise(F.array(start))
+    events = lines.select(*KEY, F.explode(both).alias("event"))
+    return _starts_after_ends(events).select(
+        *[c if c in KEY else F.col(f"event.line.{c}").alias(c) for c in lines.columns],
+        *_previous_columns(),
     )
 
 
@@ -143,22 +146,15 @@ def _hot(lines: DataFrame) -> DataFrame:
         F.lead("startdate").over(by_end).alias("next_end_start"),
     )
 
+    no_line, no_end = F.lit(None).cast("boolean"), F.lit(None).cast(_END)
     starts = pairs.select(*KEY, "startdate").distinct()
-    events = starts.select(
-        *KEY,
-        F.col("startdate").alias("day"),
-        F.lit(False).alias("is_end"),
-        F.lit(None).cast(_END).alias("end"),
-    ).unionByName(
-        ends.where(_usable_end()).select(
-            *KEY,
-            F.col("enddate").alias("day"),
-            F.lit(True).alias("is_end"),
-            F.struct("enddate", "tranid").alias("end"),
-        )
+    start = _event("startdate", no_line, no_end, False)
+    end = _event("enddate", no_line, F.struct("enddate", "tranid"), True)
+    events = starts.select(*KEY, start.alias("event")).unionByName(
+        ends.where(_usable_end()).select(*KEY, end.alias("event"))
     )
-    earlier = _with_latest_end(events).select(
-        *[F.col(c).alias(f"e_{c}") for c in KEY], F.col("day").alias("e_startdate"), "latest"
+    earlier = _starts_after_ends(events).select(
+        *[F.col(c).alias(f"e_{c}") for c in KEY], F.col("event.day").alias("e_startdate"), "latest"
     )
 
     to_pair = {c: f"n_{c}" for c in (*KEY, "enddate")}
@@ -185,12 +181,7 @@ def _hot(lines: DataFrame) -> DataFrame:
         .when(F.col("has_after"), F.col("start_after"))
         .otherwise(F.col("next_end_start"))
     )
-    return placed.select(
-        *lines.columns,
-        F.col("latest.enddate").alias("previousenddate"),
-        F.col("latest.tranid").alias("previoustranid"),
-        *_gap_columns(before, after),
-    )
+    return placed.select(*lines.columns, *_previous_columns(), *_gap_columns(before, after))
 
 
 # Public operators ------------------------------------------------------------

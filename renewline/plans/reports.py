@@ -33,9 +33,9 @@ def _sorted(df: DataFrame, by: list[str], ordered: bool) -> DataFrame:
 
 
 def _with_name(lines: DataFrame, key: str, names: DataFrame, name: Column, how: str = "left") -> DataFrame:
-    """Join ``names`` on ``key`` = id and add ``name`` alone."""
-    chosen = names.select(F.col("id").alias("name_id"), name)
-    return lines.join(chosen, lines[key] == chosen["name_id"], how).drop("name_id")
+    """Add ``name`` from the row of ``names`` whose id is ``key``."""
+    chosen = names.select(F.col("id").alias(f"{key}_of_name"), name)
+    return lines.join(chosen, F.col(key) == F.col(f"{key}_of_name"), how)
 
 
 def _transaction_name() -> Column:
@@ -94,8 +94,10 @@ def monthly_mrr(
     )
     counted = with_amounts(named).withColumn("months", _postable_months(lines, cap))
     expands = F.coalesce(F.col("months") >= 1, F.lit(False))
-    keyed = counted.withColumn("sort_id", F.when(expands, F.col("tranid"))).withColumn(
-        "sort_line", F.when(~expands, F.col("line_id"))
+    keyed = counted.select(
+        "*",
+        F.when(expands, F.col("tranid")).alias("sort_id"),
+        F.when(~expands, F.col("line_id")).alias("sort_line"),
     )
     if ordered:
         # Ranges of lines are ranges of their months too, so the lines are
@@ -103,10 +105,8 @@ def monthly_mrr(
         keyed = keyed.repartitionByRange(
             F.asc_nulls_last("sort_id"), F.asc_nulls_last("sort_line")
         )
-    spread = keyed.withColumn(
-        "period", F.explode_outer(month_list(F.lit(1), F.col("months")))
-    ).withColumnRenamed("startdate", "contractstart")
-    day = add_months_keep_end(F.col("contractstart"), F.col("period") - 1)
+    spread = keyed.withColumn("period", F.explode_outer(month_list(F.lit(1), F.col("months"))))
+    day = add_months_keep_end(F.col("startdate"), F.col("period") - 1)
     mrr = month_amount(F.col("period"), F.col("term"), F.col("rate"), F.col("closing"))
     posted = posting_period(spread, day, monthly_periods(periods))
     return _sorted(posted, ["sort_id", "sort_line", "period"], ordered).select(

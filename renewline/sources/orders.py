@@ -12,31 +12,47 @@ from pyspark.sql import functions as F
 from renewline.functions.money import MONEY, TERM
 
 
-def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+# The columns read, so that opening a table starts no job to find its schema.
+SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_name string, c_acctbal double",
+    "supplier": "s_suppkey bigint, s_name string",
+    "part": "p_partkey bigint, p_name string, p_retailprice double",
+    "lineitem": "l_orderkey bigint",
+}
 
 
-def _one_of(number: Column, values: list[str]) -> Column:
-    """The value at ``number``, counted from 0."""
-    return F.element_at(F.array(*[F.lit(v).cast(TERM) for v in values]), number.cast("int") + 1)
+def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
 def contract_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One line per order; terms of 3, 6, 12, 3.5 and half a month by order key."""
     order = F.col("o_orderkey")
     ordered = F.col("o_orderdate").cast("date")
-    rows = _read(spark, sf_dir, "orders").select(
+    start = F.when(order % 4 == 0, ordered).otherwise(F.trunc(ordered, "MM"))
+    kind = order % 5
+    months = F.when(kind == 1, 6).when(kind == 2, 12).when(kind == 4, 0).otherwise(3)
+    term = (
+        F.when(kind == 0, F.lit("3").cast(TERM))
+        .when(kind == 1, F.lit("6").cast(TERM))
+        .when(kind == 2, F.lit("12").cast(TERM))
+        .when(kind == 3, F.lit("3.5").cast(TERM))
+        .otherwise(F.lit("0.5").cast(TERM))
+    )
+    # Half a month runs 15 days; whole months run to the day before they repeat.
+    days = F.when(kind >= 3, 14).otherwise(-1)
+    return read(spark, sf_dir, "orders").select(
         order.alias("line_id"),
         order.alias("tranid"),
         F.col("o_custkey").alias("customerid"),
         (order % 3).alias("itemid"),
         order.cast("string").alias("contractid"),
-        F.when(order % 4 == 0, ordered).otherwise(F.trunc(ordered, "MM")).alias("startdate"),
-        _one_of(order % 5, ["3", "6", "12", "3.5", "0.5"]).alias("term"),
+        start.alias("startdate"),
+        F.date_add(F.add_months(start, months), days).alias("enddate"),
+        term.alias("term"),
         F.col("o_totalprice").cast(MONEY).alias("amount"),
     )
-    whole = F.add_months("startdate", F.col("term").cast("int"))
-    return rows.withColumn("enddate", F.date_add(whole, F.when(F.col("term") % 1 != 0, 14).otherwise(-1)))
 
 
 def accounting_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,7 +102,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every fourth customer is a person, every second of those without first name."""
     key, name = F.col("c_custkey"), F.col("c_name")
     person = key % 4 == 0
-    return _read(spark, sf_dir, "customer").select(
+    return read(spark, sf_dir, "customer").select(
         key.alias("id"),
         F.when(person & (key % 8 != 0), F.substring_index(name, "#", 1)).alias("firstname"),
         F.when(person, F.substring_index(name, "#", -1)).alias("lastname"),
@@ -96,13 +112,13 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "part").select(
+    return read(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("id"), F.col("p_name").alias("displayname")
     )
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = F.col("o_orderkey")
-    return _read(spark, sf_dir, "orders").select(
+    return read(spark, sf_dir, "orders").select(
         order.alias("id"), F.concat(F.lit("Order #"), order).alias("trandisplayname")
     )

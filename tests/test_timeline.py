@@ -1,0 +1,144 @@
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+
+from renewline.operators import timeline as t
+from renewline.operators.skew import hot_keys
+from tests import brute
+from tests.fixtures import line, lines_frame, random_lines
+
+FOUND = ["previousenddate", "previoustranid", "gapwithprevious", "gapwithnext", "ordertype"]
+
+
+def by_line(rows):
+    return {r["line_id"]: tuple(r[c] for c in FOUND) for r in rows}
+
+
+def spark_rows(df, **options):
+    return [r.asDict() for r in t.order_types(df, **options).collect()]
+
+
+@pytest.mark.parametrize("seed", range(6))
+@pytest.mark.parametrize("way", ["ordinary", "hot", "mixed"])
+def test_order_types_equal_definition(spark, seed, way):
+    lines = random_lines(seed, 300, customers=3 + seed, missing=0.02 * seed)
+    df = lines_frame(spark, lines)
+    keys = df.select(*t.KEY).distinct()
+    hot = {
+        "ordinary": None,
+        "hot": keys,
+        "mixed": keys.where("customerid is null or customerid % 2 = 0"),
+    }[way]
+    rows = spark_rows(df, hot=hot)
+    assert len(rows) == len(lines)
+    assert by_line(rows) == by_line(brute.typed(lines))
+
+
+def test_hot_timelines_are_found_exactly(spark):
+    lines = random_lines(3, 600, customers=5, missing=0.2)
+    df = lines_frame(spark, lines)
+    counts = Counter((x["customerid"], x["itemid"]) for x in lines)
+    limit = sorted(counts.values())[-4]
+    found = t.hot_timelines(df, hot_rows=limit, hot_share=10_000)
+    assert {tuple(r) for r in found.collect()} == {k for k, n in counts.items() if n > limit}
+    assert any(None in k for k, n in counts.items() if n > limit)
+    assert t.hot_timelines(df) is None
+    assert hot_keys(df, t.KEY, hot_rows=max(counts.values())) is None
+
+
+def test_detected_hot_timelines_give_the_same(spark, monkeypatch):
+    lines = random_lines(11, 500, customers=4)
+    monkeypatch.setattr(t, "hot_timelines", lambda df: hot_keys(df, t.KEY, hot_rows=60))
+    df = lines_frame(spark, lines)
+    assert t.hot_timelines(df).count() > 0
+    assert by_line(spark_rows(df)) == by_line(brute.typed(lines))
+
+
+def test_few_dates_many_lines(spark):
+    """Nearly all lines of a hot timeline share their dates with others."""
+    lines = random_lines(5, 400, customers=1, days=40, missing=0.03)
+    df = lines_frame(spark, lines)
+    rows = spark_rows(df, hot=df.select(*t.KEY).distinct())
+    assert by_line(rows) == by_line(brute.typed(lines))
+
+
+def test_single_operators_agree_with_timeline(spark):
+    df = lines_frame(spark, random_lines(8, 200))
+    hot = df.select(*t.KEY).distinct().where("itemid = 0")
+    for way in (None, hot):
+        whole = {r["line_id"]: r for r in t.timeline(df, hot=way).collect()}
+        for r in t.previous_end(df, hot=way).collect():
+            assert [r[c] for c in t.PREVIOUS] == [whole[r["line_id"]][c] for c in t.PREVIOUS]
+        for r in t.with_gaps(df, hot=way).collect():
+            assert [r[c] for c in t.GAPS] == [whole[r["line_id"]][c] for c in t.GAPS]
+
+
+def test_input_order_does_not_matter(spark):
+    lines = random_lines(9, 200)
+    first = by_line(spark_rows(lines_frame(spark, lines), hot=None))
+    second = by_line(spark_rows(lines_frame(spark, lines[::-1]).repartition(5), hot=None))
+    assert first == second
+
+
+@pytest.mark.parametrize("way", ["ordinary", "hot"])
+@pytest.mark.parametrize(
+    ("second_start", "gap", "kind", "previous"),
+    [
+        ("2022-04-01", 1, "Renewal", 1),
+        ("2022-04-02", 2, "New", 1),
+        ("2022-03-31", 0, "New", None),
+    ],
+)
+def test_contiguous_broken_and_same_day(spark, way, second_start, gap, kind, previous):
+    lines = [
+        line(1, 1, 2, 1, "2022-01-01", "2022-03-31", 3, 300),
+        line(2, 2, 2, 1, second_start, "2022-06-30", 3, 300),
+    ]
+    df = lines_frame(spark, lines)
+    hot = df.select(*t.KEY).distinct() if way == "hot" else None
+    first, second = sorted(spark_rows(df, hot=hot), key=lambda r: r["line_id"])
+    assert first["gapwithnext"] == second["gapwithprevious"] == gap
+    assert (second["ordertype"], second["previoustranid"]) == (kind, previous)
+
+
+def test_overlap_is_a_renewal_with_negative_gap(spark):
+    lines = [
+        line(1, 1, 2, 1, "2022-01-01", "2022-03-31", 3, 300),
+        line(2, 2, 2, 1, "2022-04-01", "2022-06-30", 3, 300),
+        line(3, 3, 2, 1, "2022-05-01", "2022-07-31", 3, 300),
+    ]
+    third = by_line(spark_rows(lines_frame(spark, lines), hot=None))[3]
+    assert third[1:3] == (1, -60)
+    assert third[4] == "Renewal"
+
+
+def test_tie_on_end_goes_by_start_then_transaction(spark):
+    lines = [
+        line(1, 9, 2, 1, "2022-02-01", "2022-03-31", 2, 200),
+        line(2, 8, 2, 1, "2022-02-01", "2022-03-31", 2, 200),
+        line(3, 7, 2, 1, "2022-01-01", "2022-03-31", 3, 300),
+    ]
+    rows = {r["tranid"]: r for r in spark_rows(lines_frame(spark, lines), hot=None)}
+    assert rows[7]["gapwithprevious"] is None
+    assert rows[7]["gapwithnext"] == rows[8]["gapwithnext"] == -58
+    assert rows[9]["gapwithnext"] is None
+
+
+def test_missing_keys_never_follow_but_share_gaps(spark):
+    lines = [
+        line(1, 1, None, 1, "2022-01-01", "2022-03-31", 3, 300),
+        line(2, 2, None, 1, "2022-04-01", "2022-06-30", 3, 300),
+    ]
+    rows = by_line(spark_rows(lines_frame(spark, lines), hot=None))
+    assert rows[2] == (None, None, 1, None, "New")
+    assert rows[1][3] == 1
+
+
+def test_broken_renewals(spark):
+    df = t.with_gaps(lines_frame(spark, random_lines(4, 200)), hot=None)
+    rows = t.broken_renewals(df).collect()
+    assert rows
+    assert {r["adjustedordertype"] for r in rows} == {"New"}
+    assert len(rows) == df.where("gapwithprevious > 1").count()
