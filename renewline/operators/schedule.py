@@ -52,11 +52,9 @@ def month_bounds(
             first, ahead + 1 + (add_months_keep_end(start, ahead) < low).cast("int")
         )
         ahead = month_number(high) - month_number(start)
-        last = F.least(
-            last, ahead + 1 - (add_months_keep_end(start, ahead) > high).cast("int")
-        )
-        # A line without a start date has no month inside any window.
-        last = F.when(start.isNotNull(), last)
+        until = ahead + 1 - (add_months_keep_end(start, ahead) > high).cast("int")
+        # greatest and least skip NULLs, so a line without start or months needs care.
+        last = F.when(start.isNotNull() & months.isNotNull(), F.least(months, until))
     return first, last
 
 

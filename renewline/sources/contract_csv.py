@@ -16,8 +16,11 @@ from pyspark.sql import types as T
 from renewline.functions.money import MONEY, TERM
 from renewline.sources.schemas import CONTRACT_LINES
 
-# Fixed values of the import format.
+# Fixed values of the import format. Its text is in windows-1252, which Spark does
+# not read; it differs from ISO-8859-1 in the bytes 80 to 9F alone, so those
+# characters are exchanged after reading.
 ENCODING = "windows-1252"
+READ_AS = "ISO-8859-1"
 DELIMITER = ","
 DATE_FORMAT = "M/d/yyyy"
 ID_HEADER = "Internal ID"
@@ -39,7 +42,7 @@ def csv_options() -> dict[str, str]:
     """Reader options; a later file with other headers fails instead of shifting columns."""
     return {
         "header": "true",
-        "encoding": ENCODING,
+        "encoding": READ_AS,
         "sep": DELIMITER,
         "enforceSchema": "false",
         "ignoreLeadingWhiteSpace": "true",
@@ -47,15 +50,26 @@ def csv_options() -> dict[str, str]:
     }
 
 
-def read_contract_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """The mapped columns of the file as text; others are dropped."""
+def _decoded(column: str) -> Column:
+    differing = [bytes([b]) for b in range(0x80, 0xA0) if bytes([b]).decode(ENCODING, "ignore")]
+    read = "".join(b.decode(READ_AS) for b in differing)
+    meant = "".join(b.decode(ENCODING) for b in differing)
+    return F.translate(F.col(column), read, meant)
+
+
+def read_contract_csv(spark: SparkSession, path: str | list[str], first_id: int = 1) -> DataFrame:
+    """The mapped columns of the file as text; others are dropped.
+
+    Rows of files without ids are numbered upwards from ``first_id``, with holes.
+    """
     raw = spark.read.options(**csv_options()).csv(path)
     missing = [h for h in HEADERS if h not in raw.columns]
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
     if ID_HEADER in raw.columns:
         return raw.select(ID_HEADER, *HEADERS)
-    return raw.select(F.monotonically_increasing_id().cast("string").alias(ID_HEADER), *HEADERS)
+    numbered = F.monotonically_increasing_id() + first_id
+    return raw.select(numbered.cast("string").alias(ID_HEADER), *HEADERS)
 
 
 def _parsed(raw: DataFrame) -> dict[str, Column]:
@@ -76,10 +90,10 @@ def typed_lines(raw: DataFrame) -> DataFrame:
     ] + [F.when(F.col(ID_HEADER).isNull(), f"no {ID_HEADER}")]
     return raw.select(
         parsed[ID_HEADER].alias("line_id"),
-        F.col("Transaction").alias("transaction"),
-        F.col("Customer").alias("customer"),
-        F.col("Item").alias("item"),
-        F.col("Contract").alias("contractid"),
+        _decoded("Transaction").alias("transaction"),
+        _decoded("Customer").alias("customer"),
+        _decoded("Item").alias("item"),
+        _decoded("Contract").alias("contractid"),
         parsed["Start Date"].alias("startdate"),
         parsed["End Date"].alias("enddate"),
         parsed["Term"].alias("term"),
@@ -129,8 +143,9 @@ def import_contract_csv(
     transactions: DataFrame,
     customers: DataFrame,
     items: DataFrame,
+    first_id: int = 1,
 ) -> tuple[DataFrame, DataFrame]:
     """Accepted contract lines and rejected rows of a file or folder."""
-    typed = typed_lines(read_contract_csv(spark, path))
+    typed = typed_lines(read_contract_csv(spark, path, first_id))
     resolved = resolve_references(typed, transactions, customers, items)
     return accepted(resolved), rejected(resolved)

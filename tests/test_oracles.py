@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import os
 from collections import Counter
 from decimal import Decimal
 from pathlib import Path
@@ -12,7 +13,7 @@ import pytest
 
 import __spark_entry__ as entry
 
-DATA = "/root/testdata/sf0.001"
+DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TYPES = {
     "bigint": "BIGINT",
     "int": "INTEGER",

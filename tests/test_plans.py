@@ -1,0 +1,131 @@
+"""Physical plans: what is exchanged, and that nothing falls off the fast path."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+
+import __spark_entry__ as entry
+from renewline.operators import timeline as t
+from renewline.plans import reports as r
+from renewline.sources import orders, tables
+from tests.fixtures import lines_frame, random_lines
+
+DATA = "/root/testdata/sf0.001"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def main_plan(df):
+    """The plan without its scalar subqueries."""
+    lines = plan(df).splitlines()
+    kept, skip = [], None
+    for text in lines:
+        depth = len(text) - len(text.lstrip(" :+-"))
+        if skip is not None and depth > skip:
+            continue
+        skip = depth if "Subquery subquery" in text and ":- Subquery" in text or "+- Subquery" in text else None
+        if skip is None:
+            kept.append(text)
+    return "\n".join(kept)
+
+
+def exchanges(df):
+    return re.findall(r"(?<!Broadcast)Exchange (\w+)", main_plan(df))
+
+
+@pytest.mark.parametrize("name", entry.queries())
+def test_no_nested_loops_and_no_python(spark, name):
+    text = plan(entry.queries()[name](spark, DATA))
+    assert "NestedLoop" not in text
+    assert "CartesianProduct" not in text
+    assert "Python" not in text
+
+
+@pytest.fixture(scope="module")
+def inputs(spark):
+    return (
+        orders.contract_lines(spark, DATA),
+        orders.accounting_periods(spark, DATA),
+        orders.transactions(spark, DATA),
+        orders.items(spark, DATA),
+        orders.customers(spark, DATA),
+    )
+
+
+def test_timeline_exchanges_the_lines_once(inputs):
+    assert exchanges(t.order_types(inputs[0], hot=None)) == ["hashpartitioning"]
+
+
+def test_bucketed_lines_need_no_exchange(spark, inputs):
+    tables.save_clustered(inputs[0], "clustered_lines", 4)
+    stored = spark.table("clustered_lines")
+    typed = t.order_types(stored, hot=None, clustered=True)
+    assert exchanges(typed) == []
+    same = t.order_types(inputs[0], hot=None).select(typed.columns)
+    assert typed.exceptAll(same).count() == same.exceptAll(typed).count() == 0
+    spark.sql("DROP TABLE clustered_lines")
+
+
+def test_schedule_is_ordered_without_exchanging_months(inputs):
+    lines, periods, transactions, *_ = inputs
+    text = main_plan(r.monthly_mrr(lines, periods, transactions))
+    assert text.count("rangepartitioning") == 1
+    assert text.index("Generate explode") < text.index("rangepartitioning")
+
+
+def test_summary_adds_up_before_spreading(inputs):
+    text = main_plan(r.report_summary(*inputs[:2], ordered=False, hot=None))
+    spread = text.index("Generate explode(CASE WHEN churned")
+    assert text[spread:].count("HashAggregate") >= 2
+    assert "SortAggregate" not in text
+
+
+def test_scans_read_only_needed_columns(inputs):
+    text = plan(t.previous_end(inputs[0].select(*r.PLACE), hot=None))
+    read = re.search(r"ReadSchema: struct<([^>]*)>", text).group(1)
+    assert "o_totalprice" not in read
+
+
+def test_large_lookup_tables_are_shuffled(spark, inputs):
+    lines, _, transactions, items, customers = inputs
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = r.lifecycle(lines, transactions, items, customers, ordered=False)
+        assert "BroadcastHashJoin" not in plan(shuffled)
+        rows = shuffled.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    usual = r.lifecycle(lines, transactions, items, customers, ordered=False)
+    assert sorted(map(str, rows)) == sorted(map(str, usual.collect()))
+
+
+def test_skewed_lookup_of_hot_timelines_is_split(spark):
+    """One pair of dates holds most lines; AQE splits its join partition."""
+    lines = random_lines(2, 60, customers=1, missing=0)
+    wide = lines_frame(spark, lines).repartition(4)
+    copies = wide.where("line_id = 1").crossJoin(spark.range(20000)).selectExpr(
+        "100 + id as line_id", "1000 + id as tranid", "customerid", "itemid", "contractid",
+        "startdate", "enddate", "term", "amount",
+    )
+    df = wide.unionByName(copies)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        typed = t._hot(df)
+        typed.collect()
+        assert "skew=true" in plan(typed)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
