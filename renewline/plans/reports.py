@@ -92,7 +92,7 @@ def monthly_mrr(
         transaction,
         _transaction_name(),
     )
-    counted = with_amounts(named).withColumn("months", _postable_months(lines, cap))
+    counted = named.withColumn("months", _postable_months(lines, cap))
     expands = F.coalesce(F.col("months") >= 1, F.lit(False))
     keyed = counted.select(
         "*",
@@ -105,7 +105,8 @@ def monthly_mrr(
         keyed = keyed.repartitionByRange(
             F.asc_nulls_last("sort_id"), F.asc_nulls_last("sort_line")
         )
-    spread = keyed.withColumn("period", F.explode_outer(month_list(F.lit(1), F.col("months"))))
+    months = month_list(F.lit(1), F.col("months"))
+    spread = with_amounts(keyed).withColumn("period", F.explode_outer(months))
     day = add_months_keep_end(F.col("startdate"), F.col("period") - 1)
     mrr = month_amount(F.col("period"), F.col("term"), F.col("rate"), F.col("closing"))
     posted = posting_period(spread, day, monthly_periods(periods))

@@ -6,11 +6,7 @@ fixed rule, so contract lines grow with the orders.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from renewline.functions.money import MONEY, TERM
-
+from pyspark.sql import DataFrame, SparkSession
 
 # The columns read, so that opening a table starts no job to find its schema.
 SCHEMAS = {
@@ -27,31 +23,27 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def contract_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One line per order; terms of 3, 6, 12, 3.5 and half a month by order key."""
-    order = F.col("o_orderkey")
-    ordered = F.col("o_orderdate").cast("date")
-    start = F.when(order % 4 == 0, ordered).otherwise(F.trunc(ordered, "MM"))
-    kind = order % 5
-    months = F.when(kind == 1, 6).when(kind == 2, 12).when(kind == 4, 0).otherwise(3)
+    """One line per order; terms of 3, 6, 12, 3.5 and half a month by order key.
+
+    Whole months run to the day before they repeat, half a month runs 15 days.
+    """
+    start = "if(o_orderkey % 4 = 0, cast(o_orderdate as date), trunc(cast(o_orderdate as date), 'MM'))"
+    months = "case o_orderkey % 5 when 1 then 6 when 2 then 12 when 4 then 0 else 3 end"
     term = (
-        F.when(kind == 0, F.lit("3").cast(TERM))
-        .when(kind == 1, F.lit("6").cast(TERM))
-        .when(kind == 2, F.lit("12").cast(TERM))
-        .when(kind == 3, F.lit("3.5").cast(TERM))
-        .otherwise(F.lit("0.5").cast(TERM))
+        "cast(case o_orderkey % 5 when 0 then 3.0 when 1 then 6.0 when 2 then 12.0"
+        " when 3 then 3.5 else 0.5 end as decimal(12,6))"
     )
-    # Half a month runs 15 days; whole months run to the day before they repeat.
-    days = F.when(kind >= 3, 14).otherwise(-1)
-    return read(spark, sf_dir, "orders").select(
-        order.alias("line_id"),
-        order.alias("tranid"),
-        F.col("o_custkey").alias("customerid"),
-        (order % 3).alias("itemid"),
-        order.cast("string").alias("contractid"),
-        start.alias("startdate"),
-        F.date_add(F.add_months(start, months), days).alias("enddate"),
-        term.alias("term"),
-        F.col("o_totalprice").cast(MONEY).alias("amount"),
+    days = "if(o_orderkey % 5 >= 3, 14, -1)"
+    return read(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey as line_id",
+        "o_orderkey as tranid",
+        "o_custkey as customerid",
+        "o_orderkey % 3 as itemid",
+        "cast(o_orderkey as string) as contractid",
+        f"{start} as startdate",
+        f"date_add(add_months({start}, {months}), {days}) as enddate",
+        f"{term} as term",
+        "cast(o_totalprice as decimal(18,2)) as amount",
     )
 
 
@@ -60,65 +52,53 @@ def accounting_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Ids are the year and month (199501), year and quarter (19951) or year.
     """
-    years = (
-        contract_lines(spark, sf_dir)
-        .agg(F.min("startdate").alias("first"), F.max(F.date_add("enddate", 1)).alias("last"))
-        .select(
-            F.trunc("first", "YEAR").alias("first"),
-            F.date_sub(F.add_months(F.trunc("last", "YEAR"), 12), 1).alias("last"),
-        )
+    years = contract_lines(spark, sf_dir).selectExpr(
+        "trunc(min(startdate), 'YEAR') as first_day",
+        "add_months(trunc(max(date_add(enddate, 1)), 'YEAR'), 11) as last_month",
     )
-    month = F.explode(F.sequence("first", "last", F.expr("interval 1 month")))
-    months = years.select(month.alias("startdate"))
-    start = F.col("startdate")
-
-    def period(length: int, number: Column, name: Column, quarter: str, year: str) -> list[Column]:
-        return [
-            number.cast("int").alias("id"),
-            name.alias("periodname"),
-            start,
-            F.date_sub(F.add_months(start, length), 1).alias("enddate"),
-            F.lit(quarter).alias("isquarter"),
-            F.lit(year).alias("isyear"),
-        ]
-
-    year, quarter = F.year(start), F.quarter(start)
-    as_month = F.struct(
-        *period(1, year * 100 + F.month(start), F.date_format(start, "MMM yyyy"), "F", "F")
+    months = years.selectExpr("explode(sequence(first_day, last_month, interval 1 month)) as startdate")
+
+    def period(number: str, name: str, length: int, isquarter: str, isyear: str) -> str:
+        return (
+            f"struct(cast({number} as int) as id, {name} as periodname, startdate,"
+            f" date_sub(add_months(startdate, {length}), 1) as enddate,"
+            f" '{isquarter}' as isquarter, '{isyear}' as isyear)"
+        )
+
+    month = period(
+        "year(startdate) * 100 + month(startdate)", "date_format(startdate, 'MMM yyyy')", 1, "F", "F"
     )
-    as_quarter = F.struct(
-        *period(3, year * 10 + quarter, F.concat(F.lit("Q"), quarter, F.lit(" "), year), "T", "F")
+    quarter = period(
+        "year(startdate) * 10 + quarter(startdate)",
+        "concat('Q', quarter(startdate), ' ', year(startdate))",
+        3,
+        "T",
+        "F",
     )
-    as_year = F.struct(*period(12, year, F.concat(F.lit("FY "), year), "F", "T"))
-    opened = (
-        F.when(F.month(start) == 1, F.array(as_month, as_quarter, as_year))
-        .when(F.month(start) % 3 == 1, F.array(as_month, as_quarter))
-        .otherwise(F.array(as_month))
+    year = period("year(startdate)", "concat('FY ', year(startdate))", 12, "F", "T")
+    return months.selectExpr(
+        f"""inline(case when month(startdate) = 1 then array({month}, {quarter}, {year})
+                        when month(startdate) % 3 = 1 then array({month}, {quarter})
+                        else array({month}) end)"""
     )
-    return months.select(F.inline(opened))
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every fourth customer is a person, every second of those without first name."""
-    key, name = F.col("c_custkey"), F.col("c_name")
-    person = key % 4 == 0
-    return read(spark, sf_dir, "customer").select(
-        key.alias("id"),
-        F.when(person & (key % 8 != 0), F.substring_index(name, "#", 1)).alias("firstname"),
-        F.when(person, F.substring_index(name, "#", -1)).alias("lastname"),
-        F.when(person, "T").otherwise("F").alias("isperson"),
-        F.when(~person, name).alias("companyname"),
+    return read(spark, sf_dir, "customer").selectExpr(
+        "c_custkey as id",
+        "if(c_custkey % 4 = 0 and c_custkey % 8 <> 0, substring_index(c_name, '#', 1), null) as firstname",
+        "if(c_custkey % 4 = 0, substring_index(c_name, '#', -1), null) as lastname",
+        "if(c_custkey % 4 = 0, 'T', 'F') as isperson",
+        "if(c_custkey % 4 = 0, null, c_name) as companyname",
     )
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("id"), F.col("p_name").alias("displayname")
-    )
+    return read(spark, sf_dir, "part").selectExpr("p_partkey as id", "p_name as displayname")
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order = F.col("o_orderkey")
-    return read(spark, sf_dir, "orders").select(
-        order.alias("id"), F.concat(F.lit("Order #"), order).alias("trandisplayname")
+    return read(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey as id", "concat('Order #', o_orderkey) as trandisplayname"
     )
