@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from renewline.operators.skew import hot_keys, null_safe_match, split_by_keys
 
@@ -18,7 +17,7 @@ KEY = ["customerid", "itemid"]
 PREVIOUS = ["previousenddate", "previoustranid"]
 GAPS = ["gapwithprevious", "gapwithnext"]
 
-_END = T.StructType([T.StructField("enddate", T.DateType()), T.StructField("tranid", T.LongType())])
+_NO_TRANSACTION = -(2**63)
 
 
 def hot_timelines(lines: DataFrame, **limits: int) -> DataFrame | None:
@@ -34,51 +33,38 @@ def _usable_end() -> Column:
     return F.col("enddate").isNotNull() & F.col("customerid").isNotNull() & F.col("itemid").isNotNull()
 
 
-def _event(day: str, line: Column, end: Column, is_end: bool) -> Column:
-    return F.struct(
-        F.col(day).alias("day"),
-        F.lit(is_end).alias("is_end"),
-        line.alias("line"),
-        end.alias("end"),
-    )
-
-
-def _starts_after_ends(events: DataFrame) -> DataFrame:
-    """The start events, each with the ``latest`` end strictly before its day.
+def _after_latest_end(events: DataFrame) -> DataFrame:
+    """Start events with the previous contract: the last end before their ``day``.
 
     On one day starts sort before ends, so a contract ending on the very start
     day is not seen; among the ends of a day the highest transaction is last.
     """
     so_far = (
         Window.partitionBy(*KEY)
-        .orderBy("event.day", "event.is_end", "event.end.tranid")
+        .orderBy("day", "is_end", "tranid")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    latest = F.last("event.end", ignorenulls=True).over(so_far)
-    return events.select("*", latest.alias("latest")).where(~F.col("event.is_end"))
-
-
-def _previous_columns() -> list[Column]:
-    return [
-        F.col("latest.enddate").alias("previousenddate"),
-        F.col("latest.tranid").alias("previoustranid"),
-    ]
+    ended = F.col("is_end")
+    # A missing transaction must hide the one before it, so it is not skipped as NULL.
+    tranid = F.coalesce("tranid", F.lit(_NO_TRANSACTION))
+    last_day = F.last(F.when(ended, F.col("enddate")), ignorenulls=True).over(so_far)
+    last_tranid = F.last(F.when(ended, tranid), ignorenulls=True).over(so_far)
+    return events.select(
+        "*",
+        last_day.alias("previousenddate"),
+        F.nullif(last_tranid, F.lit(_NO_TRANSACTION)).alias("previoustranid"),
+    ).where(~ended)
 
 
 def _previous(lines: DataFrame) -> DataFrame:
-    rest = [f for f in lines.schema if f.name not in KEY]
-    line_type = T.StructType([T.StructField(f.name, f.dataType) for f in rest])
-    no_line, no_end = F.lit(None).cast(line_type), F.lit(None).cast(_END)
-    start = _event("startdate", F.struct(*line_type.names), no_end, False)
-    end = _event("enddate", no_line, F.struct("enddate", "tranid"), True)
-    # Exploding after the exchange sends a line over the network once, though
-    # it takes part twice: by its start and by its end.
-    both = F.when(_usable_end(), F.array(start, end)).otherwise(F.array(start))
-    events = lines.select(*KEY, F.explode(both).alias("event"))
-    return _starts_after_ends(events).select(
-        *[c if c in KEY else F.col(f"event.line.{c}").alias(c) for c in lines.columns],
-        *_previous_columns(),
+    # A line takes part twice, by its start and by its end. It is doubled after
+    # the exchange, so it crosses the network once.
+    takes_part = F.when(_usable_end(), F.array(F.lit(False), F.lit(True))).otherwise(
+        F.array(F.lit(False))
     )
+    doubled = lines.select("*", F.explode(takes_part).alias("is_end"))
+    day = F.when(F.col("is_end"), F.col("enddate")).otherwise(F.col("startdate"))
+    return _after_latest_end(doubled.select("*", day.alias("day"))).select(*lines.columns, *PREVIOUS)
 
 
 # Neighbours by end date ------------------------------------------------------
@@ -146,15 +132,15 @@ def _hot(lines: DataFrame) -> DataFrame:
         F.lead("startdate").over(by_end).alias("next_end_start"),
     )
 
-    no_line, no_end = F.lit(None).cast("boolean"), F.lit(None).cast(_END)
     starts = pairs.select(*KEY, "startdate").distinct()
-    start = _event("startdate", no_line, no_end, False)
-    end = _event("enddate", no_line, F.struct("enddate", "tranid"), True)
-    events = starts.select(*KEY, start.alias("event")).unionByName(
-        ends.where(_usable_end()).select(*KEY, end.alias("event"))
+    events = starts.selectExpr(*KEY, "startdate as day", "false as is_end").unionByName(
+        ends.where(_usable_end()).selectExpr(
+            *KEY, "enddate as day", "true as is_end", "enddate", "tranid"
+        ),
+        allowMissingColumns=True,
     )
-    earlier = _starts_after_ends(events).select(
-        *[F.col(c).alias(f"e_{c}") for c in KEY], F.col("event.day").alias("e_startdate"), "latest"
+    earlier = _after_latest_end(events).select(
+        *[F.col(c).alias(f"e_{c}") for c in KEY], F.col("day").alias("e_startdate"), *PREVIOUS
     )
 
     to_pair = {c: f"n_{c}" for c in (*KEY, "enddate")}
@@ -169,7 +155,7 @@ def _hot(lines: DataFrame) -> DataFrame:
         "start_after",
         "end_before",
         "next_end_start",
-        "latest",
+        *PREVIOUS,
     )
 
     to_lookup = {c: f"p_{c}" for c in (*KEY, "startdate", "enddate")}
@@ -181,7 +167,7 @@ def _hot(lines: DataFrame) -> DataFrame:
         .when(F.col("has_after"), F.col("start_after"))
         .otherwise(F.col("next_end_start"))
     )
-    return placed.select(*lines.columns, *_previous_columns(), *_gap_columns(before, after))
+    return placed.select(*lines.columns, *PREVIOUS, *_gap_columns(before, after))
 
 
 # Public operators ------------------------------------------------------------
