@@ -3,7 +3,7 @@
 Rows are ordered by end date (missing last), then start date, transaction and
 line. Ordinary timelines are computed by windows after a single exchange on
 (customer, item). A timeline too big for one task is first reduced to its
-distinct dates, so no task sorts more rows than the calendar has days.
+distinct pairs of dates, so what a task sorts does not grow with the lines.
 """
 
 from __future__ import annotations
@@ -95,79 +95,43 @@ def _place() -> Column:
 
 
 def _hot(lines: DataFrame) -> DataFrame:
-    """Same columns as the windows give, from one row per pair of dates.
-
-    Where a line stands among its neighbours depends only on its two dates,
-    unless others share both; then only the first and the last of them look
-    beyond the pair. So the lines are aggregated (on the map side first) to
-    their date pairs, the neighbours are found between pairs, and the lines
-    look their pair up by all four columns, which spreads a timeline over the
-    cluster. The lookup is one row per pair, so AQE can split a skewed pair.
+    """The same columns as the windows give, from one row per pair of dates.
+
+    Where a line stands depends only on its two dates, unless others share
+    both; then only the first and the last of them look beyond the pair. So the
+    lines are aggregated to their pairs of dates, on the map side first, and the
+    windows run over those: the calendar bounds them, not the number of lines.
+    The lines then look their pair up by all four columns, which spreads a
+    timeline over the cluster, and a single pair holding most lines is left to
+    AQE to split: the other side of the join has one row for it.
     """
-    pairs = lines.groupBy(*KEY, "startdate", "enddate").agg(
+    dates = [*KEY, "startdate", "enddate"]
+    pairs = lines.groupBy(*dates).agg(
         F.min(_place()).alias("first_place"),
         F.max(_place()).alias("last_place"),
         F.max("tranid").alias("tranid"),
     )
-    same_end = Window.partitionBy(*KEY, "enddate").orderBy(F.asc_nulls_last("startdate"))
-    pairs = pairs.select(
-        *KEY,
-        "startdate",
-        "enddate",
-        "first_place",
-        "last_place",
-        F.lag(F.lit(True), 1, False).over(same_end).alias("has_before"),
-        F.lead(F.lit(True), 1, False).over(same_end).alias("has_after"),
-        F.lead("startdate").over(same_end).alias("start_after"),
-        "tranid",
-    )
-
-    by_end = Window.partitionBy(*KEY).orderBy(F.asc_nulls_last("enddate"))
-    ends = pairs.groupBy(*KEY, "enddate").agg(
-        F.min("startdate").alias("startdate"), F.max("tranid").alias("tranid")
-    )
-    neighbours = ends.select(
-        *[F.col(c).alias(f"n_{c}") for c in (*KEY, "enddate")],
-        F.lag("enddate").over(by_end).alias("end_before"),
-        F.lead("startdate").over(by_end).alias("next_end_start"),
-    )
-
-    starts = pairs.select(*KEY, "startdate").distinct()
-    events = starts.selectExpr(*KEY, "startdate as day", "false as is_end").unionByName(
-        ends.where(_usable_end()).selectExpr(
-            *KEY, "enddate as day", "true as is_end", "enddate", "tranid"
-        ),
-        allowMissingColumns=True,
-    )
-    earlier = _after_latest_end(events).select(
-        *[F.col(c).alias(f"e_{c}") for c in KEY], F.col("day").alias("e_startdate"), *PREVIOUS
+    by_end = Window.partitionBy(*KEY).orderBy(
+        F.asc_nulls_last("enddate"), F.asc_nulls_last("startdate")
     )
-
-    to_pair = {c: f"n_{c}" for c in (*KEY, "enddate")}
-    to_start = {c: f"e_{c}" for c in (*KEY, "startdate")}
-    lookup = pairs.join(neighbours, null_safe_match(pairs, neighbours, to_pair), "left")
-    lookup = lookup.join(earlier, null_safe_match(lookup, earlier, to_start), "left").select(
-        *[F.col(c).alias(f"p_{c}") for c in (*KEY, "startdate", "enddate")],
+    lookup = _previous(pairs.repartition(*KEY)).select(
+        *[F.col(c).alias(f"pair_{c}") for c in dates],
         "first_place",
         "last_place",
-        "has_before",
-        "has_after",
-        "start_after",
-        "end_before",
-        "next_end_start",
+        F.lag("enddate").over(by_end).alias("end_before"),
+        F.lead("startdate").over(by_end).alias("start_after"),
         *PREVIOUS,
     )
-
-    to_lookup = {c: f"p_{c}" for c in (*KEY, "startdate", "enddate")}
-    placed = lines.join(lookup, null_safe_match(lines, lookup, to_lookup), "left")
-    opens = (_place() == F.col("first_place")) & ~F.col("has_before")
-    before = F.when(opens, F.col("end_before")).otherwise(F.col("enddate"))
-    after = (
-        F.when(_place() != F.col("last_place"), F.col("startdate"))
-        .when(F.col("has_after"), F.col("start_after"))
-        .otherwise(F.col("next_end_start"))
+    match = null_safe_match(lines, lookup, {c: f"pair_{c}" for c in dates})
+    opens, closes = _place() == F.col("first_place"), _place() == F.col("last_place")
+    return lines.join(lookup, match, "left").select(
+        *lines.columns,
+        *PREVIOUS,
+        *_gap_columns(
+            F.when(opens, F.col("end_before")).otherwise(F.col("enddate")),
+            F.when(closes, F.col("start_after")).otherwise(F.col("startdate")),
+        ),
     )
-    return placed.select(*lines.columns, *PREVIOUS, *_gap_columns(before, after))
 
 
 # Public operators ------------------------------------------------------------

@@ -60,6 +60,16 @@ def test_timeline_exchanges_the_lines_once(inputs):
     assert exchanges(t.order_types(inputs[0], hot=None)) == ["hashpartitioning"]
 
 
+def test_hot_timelines_are_aggregated_before_their_exchange(inputs):
+    lines = inputs[0]
+    typed = t.order_types(lines, hot=lines.select(*t.KEY).distinct())
+    text = plan(typed)
+    assert "NestedLoop" not in text
+    assert "partial_min(struct" in text
+    # Ordinary lines, pairs by date and by timeline, and the lines that look theirs up.
+    assert len(exchanges(typed)) <= 7
+
+
 def test_bucketed_lines_need_no_exchange(spark, inputs):
     tables.save_clustered(inputs[0], "clustered_lines", 4)
     stored = spark.table("clustered_lines")
