@@ -58,8 +58,18 @@ def month_bounds(
     return first, last
 
 
-def month_list(first: Column, last: Column) -> Column:
-    """Array of month numbers, NULL where there are none."""
+def with_month_bounds(
+    df: DataFrame, months: Column, between: tuple[str, str] | None = None
+) -> DataFrame:
+    """Add ``first_month`` and ``last_month``, computed once per row."""
+    counted = df.withColumn("months", months)
+    first, last = month_bounds(F.col("months"), F.col("startdate"), between)
+    return counted.select("*", first.alias("first_month"), last.alias("last_month")).drop("months")
+
+
+def month_list() -> Column:
+    """Array of the month numbers within the bounds, NULL where there are none."""
+    first, last = F.col("first_month"), F.col("last_month")
     return F.when((last >= 1) & (last >= first), F.sequence(first, last))
 
 
@@ -80,15 +90,15 @@ def expand_term(
     lines: DataFrame, cap: str = "reference", between: tuple[str, str] | None = None
 ) -> DataFrame:
     """One row per contract month, with the unrounded monthly amount."""
-    bounds = month_bounds(F.col("months"), F.col("startdate"), between)
-    once_per_line = lines.select(
+    counted = with_month_bounds(lines, month_count(lines, cap), between)
+    once_per_line = counted.select(
         F.col("tranid").alias("id"),
         "customerid",
         "itemid",
-        "startdate",
         "term",
         "amount",
-        month_count(lines, cap).alias("months"),
+        "first_month",
+        "last_month",
         F.try_divide(F.col("amount"), F.col("term")).alias("computed"),
         F.when(F.col("term") % 1 != 0, "Yes").otherwise("No").alias("ispartialterm"),
     )
@@ -98,7 +108,7 @@ def expand_term(
         "itemid",
         "term",
         "amount",
-        F.explode(month_list(*bounds)).alias("period"),
+        F.explode(month_list()).alias("period"),
         "computed",
         "ispartialterm",
     )

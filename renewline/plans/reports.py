@@ -19,7 +19,12 @@ from renewline.functions.money import month_amount
 from renewline.functions.text import customer_name, person_name
 from renewline.operators.lifecycle import churn_day, has_churn, lifecycle_columns, with_churn_rows
 from renewline.operators.periods import monthly_periods, posting_period
-from renewline.operators.schedule import month_bounds, month_count, month_list, with_amounts
+from renewline.operators.schedule import (
+    month_count,
+    month_list,
+    with_amounts,
+    with_month_bounds,
+)
 from renewline.operators.timeline import order_types, previous_end
 
 Days = tuple[str, str]
@@ -92,8 +97,8 @@ def monthly_mrr(
         transaction,
         _transaction_name(),
     )
-    counted = named.withColumn("months", _postable_months(lines, cap))
-    expands = F.coalesce(F.col("months") >= 1, F.lit(False))
+    counted = with_month_bounds(named, _postable_months(lines, cap))
+    expands = F.coalesce(F.col("last_month") >= 1, F.lit(False))
     keyed = counted.select(
         "*",
         F.when(expands, F.col("tranid")).alias("sort_id"),
@@ -105,8 +110,7 @@ def monthly_mrr(
         keyed = keyed.repartitionByRange(
             F.asc_nulls_last("sort_id"), F.asc_nulls_last("sort_line")
         )
-    months = month_list(F.lit(1), F.col("months"))
-    spread = with_amounts(keyed).withColumn("period", F.explode_outer(months))
+    spread = with_amounts(keyed).withColumn("period", F.explode_outer(month_list()))
     day = add_months_keep_end(F.col("startdate"), F.col("period") - 1)
     mrr = month_amount(F.col("period"), F.col("term"), F.col("rate"), F.col("closing"))
     posted = posting_period(spread, day, monthly_periods(periods))
@@ -194,9 +198,8 @@ def _posted_rows(
     array of month numbers per line, 0 for its churn, makes all rows in one
     pass, and one lookup finds the period of both kinds.
     """
-    bounds = month_bounds(F.col("months"), F.col("startdate"), between)
-    own = F.coalesce(month_list(*bounds), F.array(F.lit(None).cast("int")))
-    rows = with_amounts(typed).withColumn("months", _postable_months(lines, cap))
+    own = F.coalesce(month_list(), F.array(F.lit(None).cast("int")))
+    rows = with_month_bounds(with_amounts(typed), _postable_months(lines, cap), between)
     if not contracts:
         rows = rows.where(has_churn()).withColumn("period", F.lit(0))
     elif not churned:
@@ -329,13 +332,13 @@ def report_summary(
             F.sum(F.when(~churned, F.col("closing"))).alias("closing"),
         )
     )
-    bounds = month_bounds(F.col("months"), F.col("startdate"), months_between)
-    numbers = F.when(churned, F.array(F.lit(0))).otherwise(month_list(*bounds))
+    numbers = F.when(churned, F.array(F.lit(0))).otherwise(month_list())
     months = monthly_periods(periods)
     if between is not None:
         low, high = (F.to_date(F.lit(day)) for day in between)
         months = months.where(F.col("startdate").between(low, high))
-    spread = sums.withColumn("months", month_count(lines, cap)).withColumn("period", F.explode(numbers))
+    bounded = with_month_bounds(sums, month_count(lines, cap), months_between)
+    spread = bounded.withColumn("period", F.explode(numbers))
     posted = posting_period(spread, _posting_day(), months, "inner")
     summary = posted.groupBy("postingperiodid", "postingperiod", "periodstart", "ordertype").agg(
         F.sum(_posting_amount()).alias("mrr")
