@@ -15,11 +15,11 @@ from renewline.sources.contract_csv import (
 )
 
 
-def _checkpoint(spark: SparkSession, given: str | None) -> str:
-    root = given or spark.conf.get("spark.checkpoint.dir", None)
+def _progress_folder(spark: SparkSession, name: str) -> str:
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    return root.rstrip("/")
+    return f"{root.rstrip('/')}/{name}"
 
 
 def import_new_files(
@@ -30,22 +30,23 @@ def import_new_files(
     transactions: DataFrame,
     customers: DataFrame,
     items: DataFrame,
-    checkpoint: str | None = None,
+    name: str = "contract_import",
 ) -> list[StreamingQuery]:
     """Import the files not seen yet and stop; run it again for later files.
 
     The file sink commits a file's rows exactly once, also after a failure.
-    Files must have the import's columns in their usual order.
+    Progress is kept under ``name`` in ``spark.checkpoint.dir``, so every folder
+    needs its own name. Files must have the import's columns in their usual order.
     """
-    root = _checkpoint(spark, checkpoint)
+    progress = _progress_folder(spark, name)
     raw = spark.readStream.schema(RAW_LINES).options(**csv_options()).csv(folder)
     resolved = resolve_references(typed_lines(raw), transactions, customers, items)
     targets = {"accepted": (accepted(resolved), lines_path), "rejected": (rejected(resolved), rejects_path)}
     return [
         rows.writeStream.format("parquet")
         .option("path", path)
-        .option("checkpointLocation", f"{root}/contract_import/{name}")
+        .option("checkpointLocation", f"{progress}/{kind}")
         .trigger(availableNow=True)
         .start()
-        for name, (rows, path) in targets.items()
+        for kind, (rows, path) in targets.items()
     ]

@@ -135,7 +135,7 @@ def test_streamed_import_takes_each_file_once(spark, tmp_path, names):
     lines, rejects = str(tmp_path / "lines"), str(tmp_path / "rejects")
 
     def run():
-        queries = import_new_files(spark, str(inbox), lines, rejects, *names, checkpoint=str(tmp_path / "state"))
+        queries = import_new_files(spark, str(inbox), lines, rejects, *names)
         for query in queries:
             query.awaitTermination(120)
             assert query.exception() is None
