@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import uuid
 from datetime import date
 from decimal import Decimal
 
@@ -133,9 +134,11 @@ def test_streamed_import_takes_each_file_once(spark, tmp_path, names):
     inbox = tmp_path / "inbox"
     inbox.mkdir()
     lines, rejects = str(tmp_path / "lines"), str(tmp_path / "rejects")
+    # The checkpoint folder may outlive the test run.
+    progress = f"test_import_{uuid.uuid4()}"
 
     def run():
-        queries = import_new_files(spark, str(inbox), lines, rejects, *names)
+        queries = import_new_files(spark, str(inbox), lines, rejects, *names, name=progress)
         for query in queries:
             query.awaitTermination(120)
             assert query.exception() is None
