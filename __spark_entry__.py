@@ -6,6 +6,7 @@ the SQL derives them by the same rule. Money is computed in whole cents there.
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 from collections.abc import Callable
@@ -19,6 +20,18 @@ from renewline.operators import checks, lifecycle, periods, schedule, timeline
 from renewline.plans import reports  # noqa: E402
 from renewline.sources import contract_csv, orders  # noqa: E402
 
+
+def _optional(name: str):
+    """A module of the part that can be left out, or None where it is."""
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError:
+        return None
+
+
+llm_queries = _optional("renewline.llm.queries")
+corpus_pipeline = _optional("corpus_pipeline")
+
 CHURN_PERIOD = 199806
 ORDER_PERIOD = 199903
 MONTH_WINDOW = ("1997-01-15", "1997-12-20")
@@ -202,7 +215,10 @@ def _overlapping_periods(spark, d):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    more = dict(llm_queries.QUERIES) if llm_queries else {}
+    if corpus_pipeline:
+        more["pipeline"] = corpus_pipeline.run
+    return more | {
         "monthly_periods": _months,
         "period_numbers": _period_numbers,
         "expand_term": _expand_term,
@@ -356,7 +372,8 @@ shown AS (
   SELECT tranid, customerid, itemid, ordertype, previoustranid, NULL, NULL, NULL, NULL, NULL
   FROM typed WHERE tranid NOT IN (
     SELECT tranid FROM expanded WHERE posting_day BETWEEN DATE '{low}' AND DATE '{high}'))"""
-    return {
+    more = dict(llm_queries.ORACLE_SQL) if llm_queries else {}
+    return more | {
         "monthly_periods": _with(_LINES, _PERIODS) + "SELECT * FROM months",
         "period_numbers": _with(_LINES, _EXPANDED)
         + "SELECT CAST(unnest(range(1, n + 1)) AS INTEGER) AS period FROM longest",
