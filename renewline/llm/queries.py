@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from renewline.llm import secrets
+from renewline.llm import langid, secrets, simhash
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
+    "op5_simhash_dedup": simhash.op5_simhash_dedup,
+    "op10_language_id": langid.op10_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {}
