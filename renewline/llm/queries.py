@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from renewline.llm import langid, secrets, simhash
+from renewline.llm import langid, packing, secrets, simhash, tiling
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
+    "op4_length_buckets": packing.op4_length_buckets,
     "op5_simhash_dedup": simhash.op5_simhash_dedup,
+    "op8_decontamination": tiling.op8_decontamination,
     "op10_language_id": langid.op10_language_id,
 }
 

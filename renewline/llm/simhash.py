@@ -63,17 +63,20 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
 def fingerprints(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle_words: int = SHINGLE_WORDS
 ) -> DataFrame:
-    """Columns ``doc_id`` and ``fp`` (the 64 bits as a signed long), one row per document."""
+    """One row per document: ``doc_id``, ``text_hash`` and ``fp``, the 64 bits as a signed long."""
     small_batches(docs.sparkSession)
 
     def compute(batches):
         for batch in batches:
-            fps = [fingerprint(t, shingle_words) for t in batch.column(1).to_pylist()]
+            fps = [fingerprint(t, shingle_words) for t in batch.column(2).to_pylist()]
             values = np.array(fps, np.uint64).view(np.int64)
-            yield pa.record_batch([batch.column(0), pa.array(values)], names=["doc_id", "fp"])
+            columns = [batch.column(0), batch.column(1), pa.array(values)]
+            yield pa.record_batch(columns, names=["doc_id", "text_hash", "fp"])
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(compute, "doc_id long, fp long")
+    rows = docs.select(
+        F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text")
+    )
+    return rows.mapInArrow(compute, "doc_id long, text_hash long, fp long")
 
 
 def blocks(max_distance: int) -> list[tuple[int, int]]:
@@ -272,9 +275,9 @@ def near_duplicates(
     max_distance: int = MAX_DISTANCE,
     shard_rows: int = SHARD_ROWS,
 ) -> DataFrame:
-    """Columns ``doc_id``, ``fp`` and ``component_id``, one row per document.
+    """One row per document: ``doc_id``, ``text_hash``, ``fp``, ``root`` and ``component_id``.
 
-    ``component_id`` is the smallest doc_id among the documents reached by links;
+    ``root`` is the smallest fingerprint of the group and ``component_id`` the smallest doc_id among the documents reached by links;
     it is null only where none of them has an id. Null, empty and blank texts have
     fingerprint 0 and are linked like any other. Repeated rows stay repeated.
     """
@@ -286,8 +289,35 @@ def near_duplicates(
     )
     rooted = materialize(rooted)
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = materialize(rooted.join(smallest, "root").select("fp", "component_id"))
-    return fps.join(classes, "fp", "left").select("doc_id", "fp", "component_id")
+    classes = materialize(rooted.join(smallest, "root").select("fp", "root", "component_id"))
+    return fps.join(classes, "fp", "left").select("doc_id", "text_hash", "fp", "root", "component_id")
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One row of each group of near duplicates, all columns unchanged.
+
+    It is the row with the smallest id, or with the smallest text hash where no row of
+    the group has an id; of rows that repeat both id and text, any one.
+    """
+    found = near_duplicates(docs, doc_id, text, **options)
+    first = found.where(F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id")))
+    chosen = first.groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("k"))
+    chosen = chosen.select(
+        F.coalesce("k.doc_id", F.lit(0).cast("long")).alias("_id"),
+        F.col("k.doc_id").isNull().alias("_missing"),
+        F.col("k.text_hash").alias("_hash"),
+    )
+    key = ["_id", "_missing", "_hash"]
+    keyed = docs.withColumns(
+        {
+            "_id": F.coalesce(F.col(doc_id).cast("long"), F.lit(0).cast("long")),
+            "_missing": F.col(doc_id).isNull(),
+            "_hash": F.xxhash64(text),
+        }
+    )
+    row = F.row_number().over(Window.partitionBy(*key).orderBy(*key))
+    kept = keyed.join(materialize(chosen), key, "left_semi").withColumn("_row", row)
+    return kept.where("_row = 1").select(*docs.columns)
 
 
 def fingerprint_hex(fp: Column) -> Column:
