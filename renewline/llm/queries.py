@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from renewline.llm import langid, neighbours, packing, secrets, sharding, simhash, tiling
+from renewline.llm import langid, licenses, mainhtml, neighbours, packing, secrets, sharding, simhash, tiling
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
     "op2_hilbert_shards": sharding.op2_hilbert_shards,
     "op4_length_buckets": packing.op4_length_buckets,
     "op5_simhash_dedup": simhash.op5_simhash_dedup,
+    "op6_license_scan": licenses.op6_license_scan,
+    "op7_main_text": mainhtml.op7_main_text,
     "op8_decontamination": tiling.op8_decontamination,
     "op9_nearest_neighbours": neighbours.op9_nearest_neighbours,
     "op10_language_id": langid.op10_language_id,
