@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from renewline.llm import langid, licenses, mainhtml, neighbours, packing, secrets, sharding, simhash, tiling
+from renewline.llm import langid, licenses, mainhtml, neighbours, packing, repeats, secrets, sharding, simhash, tiling
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
     "op2_hilbert_shards": sharding.op2_hilbert_shards,
+    "op3_remove_repeats": repeats.op3_remove_repeats,
     "op4_length_buckets": packing.op4_length_buckets,
     "op5_simhash_dedup": simhash.op5_simhash_dedup,
     "op6_license_scan": licenses.op6_license_scan,
