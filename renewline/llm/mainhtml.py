@@ -40,6 +40,7 @@ BLOCK = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table "
     "caption tbody td tfoot th thead tr ul".split()
 )
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 #: Never article text.
 SKIPPED = frozenset(
     "head script style template noscript iframe noembed noframes svg canvas object embed audio video map "
@@ -253,32 +254,24 @@ def select(root: Node) -> list[Node]:
         # The page says where its article ends; only what was skipped is left out.
         return [top]
     core = max(_nodes(top), key=lambda n: (n.sum, n.chars))
-    path = {core}
-    node = core
+    path = [core]
     threshold = core.density
-    while node is not top:
-        node = node.parent
-        path.add(node)
-        if node.name not in ("html", "body"):
-            threshold = min(threshold, node.density)
-    chosen: list[Node] = []
-
-    def headings(here: Node) -> tuple[str, ...]:
-        return ("h1",) if here.name in ("html", "body") else ("h1", "h2", "h3", "h4", "h5", "h6")
-
-    def walk(here: Node) -> None:
-        if here is core:
-            chosen.append(here)
-            return
-        for child in here.children:
-            if isinstance(child, Node):
-                if child in path:
-                    walk(child)
-                elif child.chars and (child.density >= threshold or child.name in headings(here)):
-                    chosen.append(child)
-
-    walk(top)
-    return chosen
+    while path[-1] is not top:
+        path.append(path[-1].parent)
+        if path[-1].name not in ("html", "body"):
+            threshold = min(threshold, path[-1].density)
+
+    def belongs(child: Node | str, parent: Node) -> bool:
+        ranks = ("h1",) if parent.name in ("html", "body") else HEADINGS
+        return isinstance(child, Node) and child.chars > 0 and (child.density >= threshold or child.name in ranks)
+
+    before: list[Node] = []
+    after: list[list[Node]] = []
+    for parent, inner in zip(reversed(path), reversed(path[:-1])):
+        at = next(i for i, child in enumerate(parent.children) if child is inner)
+        before += [c for c in parent.children[:at] if belongs(c, parent)]
+        after.append([c for c in parent.children[at + 1 :] if belongs(c, parent)])
+    return [*before, core, *(c for group in reversed(after) for c in group)]
 
 
 def blocks(nodes: list[Node]) -> list[str]:

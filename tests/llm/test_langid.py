@@ -1,0 +1,102 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from renewline.llm import langid
+from tests.llm import data
+
+SYLLABLES = {"aa": "ka lo mi tu re".split(), "bb": "scht ungen heit vor zu".split(), "cc": "été où ça naï être".split()}
+
+
+def text(lang: str, rng: random.Random, count: int) -> str:
+    return " ".join("".join(rng.choices(SYLLABLES[lang], k=rng.randint(1, 3))) for _ in range(count))
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    rng = random.Random(1)
+    rows = [(i, text(lang, rng, rng.randint(3, 300)), lang) for i, lang in enumerate(rng.choices("aa bb cc".split(), k=600))]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+
+def test_held_out_accuracy(spark, labelled, tmp_path):
+    folder = data.parquet(labelled, tmp_path)
+    rows = langid.op10_language_id(spark, folder).join(labelled, "doc_id").collect()
+    assert len(rows) == 600
+    for r in rows:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+        assert 0 <= r.score <= 1
+    held = [r for r in rows if r.held_out]
+    assert len(held) > 100 and np.mean([r.lang == r.lang_pred for r in held]) > 0.95
+
+
+def test_held_out_rows_are_not_learned_from(spark, labelled, tmp_path):
+    other = labelled.withColumn("lang", F.when(langid.held_out(F.col("doc_id")), "never").otherwise(F.col("lang")))
+    rows = langid.op10_language_id(spark, data.parquet(other, tmp_path)).collect()
+    assert "never" not in {r.lang_pred for r in rows}
+
+
+def test_odd_texts(spark, labelled, tmp_path):
+    docs = data.documents(spark, data.odd_texts())
+    folder = data.parquet(docs, tmp_path)
+    rows = {r.doc_id: r for r in langid.op10_language_id(spark, folder).collect()}
+    assert [rows[i].lang_pred for i in range(4)] == ["und"] * 4
+    assert [rows[i].score for i in range(4)] == [0.0] * 4
+    assert rows[6].lang_pred == "en" and rows[None].held_out is False
+
+
+def test_no_labels_and_no_rows(spark, tmp_path):
+    docs = data.documents(spark, ["some text"]).withColumn("lang", F.lit(None).cast("string"))
+    rows = langid.op10_language_id(spark, data.parquet(docs, tmp_path)).collect()
+    assert {(r.lang_pred, r.score) for r in rows} == {("und", 0.0)}
+    empty = data.parquet(data.documents(spark, []), tmp_path)
+    assert langid.op10_language_id(spark, empty).count() == 0
+
+
+def test_sample_is_bounded(spark, labelled):
+    sample = langid.sample_windows(labelled, docs_per_label=20, windows_per_doc=2).collect()
+    per_label = {lang: sum(r.label == lang for r in sample) for lang in SYLLABLES}
+    assert all(0 < n <= 2 * 20 * 2 for n in per_label.values())
+    assert all(len(r.window) == langid.WINDOW for r in sample)
+
+
+def test_windows_cover_the_text():
+    cut, sizes = langid.windows("Ab1 " * 1_000 + "é")
+    joined = cut.tobytes().decode().strip()
+    assert joined == "ab " * 1_000 + "é" and sizes.sum() == len(joined.encode())
+
+
+def test_gradients():
+    rng = np.random.default_rng(0)
+    net = langid.ByteNet(["a", "b", "c"])
+    net.weights = {k: v.astype(np.float64) for k, v in net.weights.items()}
+    rows = rng.integers(97, 123, (3, langid.WINDOW)).astype(np.uint8)
+    target = np.array([0, 1, 2])
+    grads = net._gradients(rows, target)
+
+    def loss():
+        odds = net._forward(rows)[0]
+        return -np.log(odds[np.arange(3), target]).mean()
+
+    for name, place in (("filter3", (4, 2)), ("filter5", (7, 3)), ("embed", (100, 1)), ("out", (5, 1)), ("shift3", (2,))):
+        w = net.weights[name]
+        w[place] += 1e-6
+        high = loss()
+        w[place] -= 2e-6
+        low = loss()
+        w[place] += 1e-6
+        assert abs((high - low) / 2e-6 - grads[name][place]) < 1e-5
+
+
+def test_stage_keeps_rows_with_a_language(spark, labelled):
+    net = langid.train(labelled)
+    docs = data.documents(spark, data.odd_texts())
+    kept = langid.keep_identified(docs, net)
+    assert kept.columns == docs.columns
+    ids = [r.doc_id for r in kept.collect()]
+    assert sorted(i for i in ids if i is not None) == [4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 13]
