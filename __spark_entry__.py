@@ -171,6 +171,7 @@ def _resolved_import(spark, d):
         "enddate",
         "term",
         "amount",
+        F.struct(named("Customer", "customerid").alias("customer")).alias("raw"),
         F.array().cast("array<string>").alias("problems"),
     )
     transactions = orders.transactions(spark, d).withColumnRenamed("trandisplayname", "name")
@@ -187,7 +188,17 @@ def _resolve_references(spark, d):
 
 def _rejected_references(spark, d):
     rows = contract_csv.rejected(_resolved_import(spark, d))
-    return rows.select("line_id", "tranid", F.array_join("problems", ", ").alias("problems"))
+    return rows.select("line_id", "customer", F.array_join("problems", ", ").alias("problems"))
+
+
+def _split_required(spark, d):
+    """Lines that lack a mandatory field, with the names of what they lack."""
+    _, lacking = checks.split_required(orders.hard_lines(spark, d), ["tranid", "startdate", "term"])
+    return lacking.select("line_id", F.array_join("missing", ", ").alias("missing"))
+
+
+def _duplicate_lines(spark, d):
+    return checks.duplicate_lines(orders.hard_lines(spark, d))
 
 
 def _null_dangling(spark, d):
@@ -214,11 +225,65 @@ def _overlapping_periods(spark, d):
     return periods.overlapping_periods(every)
 
 
+def _hot(lines: DataFrame, way: str) -> DataFrame | None:
+    """The timelines computed by pairs of dates: none, all, or about half of them."""
+    keys = lines.select(*timeline.KEY).distinct()
+    half = F.coalesce("customerid", F.lit(0)) % 2 == 1
+    return {"plain": None, "hot": keys, "mixed": keys.where(half)}[way]
+
+
+def _hard(report: Callable, way: str = "plain") -> Callable[[SparkSession, str], DataFrame]:
+    """A report over the lines with hard cases, by one of the ways to order timelines."""
+
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        lines = orders.hard_lines(spark, d)
+        return report(spark, d, lines, _hot(lines, way))
+
+    return run
+
+
+def _hard_timeline(spark, d, lines, hot):
+    return timeline.order_types(lines.drop("contractid"), hot=hot)
+
+
+def _hard_lifecycle(spark, d, lines, hot):
+    return lifecycle.lifecycle_union(timeline.order_types(lines.select(*reports.PLACE), hot=hot))
+
+
+def _hard_drilldown(spark, d, lines, hot):
+    return reports.report_drilldown(lines, orders.hard_periods(spark, d), hot=hot)
+
+
+def _hard_summary(spark, d, lines, hot):
+    return reports.report_summary(lines, orders.hard_periods(spark, d), hot=hot)
+
+
+def _hard_monthly(**options) -> Callable:
+    def report(spark, d, lines, hot):
+        transactions = orders.transactions(spark, d)
+        return reports.monthly_mrr(lines, orders.hard_periods(spark, d), transactions, **options)
+
+    return report
+
+
+def _whole_amounts(spark, d):
+    """Lines with months, with their amount and the sum of their months."""
+    lines = orders.hard_lines(spark, d).where("tranid is not null and term > 0").distinct()
+    months = reports.monthly_mrr(lines, orders.accounting_periods(spark, d), orders.transactions(spark, d))
+    sums = months.agg(F.sum("mrr").alias("total")).select(F.col("total").cast("decimal(38,2)"))
+    return sums
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Every registered query; those on documents only where their part is there."""
     more = dict(llm_queries.QUERIES) if llm_queries else {}
     if corpus_pipeline:
         more["pipeline"] = corpus_pipeline.run
-    return more | {
+    return own_queries() | more
+
+
+def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {
         "monthly_periods": _months,
         "period_numbers": _period_numbers,
         "expand_term": _expand_term,
@@ -246,6 +311,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "null_dangling": _null_dangling,
         "duplicate_tranids": _duplicate_tranids,
         "overlapping_periods": _overlapping_periods,
+        "split_required": _split_required,
+        "duplicate_lines": _duplicate_lines,
+        "timeline_hard": _hard(_hard_timeline),
+        "timeline_hot": _hard(_hard_timeline, "hot"),
+        "timeline_mixed": _hard(_hard_timeline, "mixed"),
+        "lifecycle_hard": _hard(_hard_lifecycle),
+        "lifecycle_hot": _hard(_hard_lifecycle, "hot"),
+        "report_drilldown_hard": _hard(_hard_drilldown),
+        "report_summary_hard": _hard(_hard_summary),
+        "report_summary_hot": _hard(_hard_summary, "hot"),
+        "report_summary_mixed": _hard(_hard_summary, "mixed"),
+        "monthly_mrr_hard": _hard(_hard_monthly()),
+        "monthly_mrr_truncated": _hard(_hard_monthly(truncated=True)),
+        "monthly_mrr_total": _whole_amounts,
     }
 
 
@@ -331,6 +410,91 @@ people AS (
   FROM customer)"""
 
 
+# The lines of ``orders.hard_lines``; t and cents as above, missing where the line lacks them.
+_HARD_LINES = """
+drawn AS (
+  SELECT o_orderkey AS k, o_custkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT) AS cents,
+         CASE WHEN o_orderkey % 6 = 0 THEN last_day(CAST(o_orderdate AS DATE))
+              WHEN o_orderkey % 4 = 0 THEN CAST(o_orderdate AS DATE)
+              ELSE CAST(date_trunc('month', o_orderdate) AS DATE) END AS begins,
+         CASE o_orderkey % 5 WHEN 0 THEN 300 WHEN 1 THEN 600 WHEN 2 THEN 1200
+                             WHEN 3 THEN 350 ELSE 50 END AS usual
+  FROM orders, (SELECT unnest([0, 1]) AS copy) WHERE copy = 0 OR o_orderkey % 10 = 1),
+keyed AS (
+  SELECT k AS line_id, cents,
+         CASE WHEN k % 11 = 0 THEN NULL WHEN k % 26 = 3 THEN k - 1 ELSE k END AS tranid,
+         CASE WHEN k % 13 = 0 THEN NULL WHEN k % 3 = 0 THEN 1 ELSE o_custkey END AS customerid,
+         CASE WHEN k % 17 = 0 THEN NULL WHEN k % 3 = 0 THEN 1 ELSE k % 7 END AS itemid,
+         CASE WHEN k % 19 <> 0 THEN begins END AS startdate,
+         CASE WHEN k % 23 <> 0 THEN
+           CAST(begins + to_months(CAST(usual // 100 AS INTEGER))
+                + to_days(CASE WHEN usual % 100 = 0 THEN -1 ELSE 14 END) AS DATE) END AS enddate,
+         CASE WHEN k % 29 = 0 THEN NULL WHEN k % 31 = 0 THEN 0 WHEN k % 37 = 0 THEN -100
+              WHEN k % 41 = 0 THEN 1450 ELSE usual END AS t
+  FROM drawn),
+lines AS (
+  SELECT *, CASE WHEN tranid IS NOT NULL AND t <> 0
+                 THEN sign(t) * ((200 * cents + abs(t)) // (2 * abs(t))) END AS rate
+  FROM keyed)"""
+
+_HARD_PERIODS = """
+usual_lines AS (SELECT * FROM ({usual})),
+usual_years AS (
+  SELECT CAST(date_trunc('year', min(startdate)) AS DATE) AS first_day,
+         CAST(date_trunc('year', max(enddate + 1)) AS DATE) AS last_year
+  FROM usual_lines),
+months AS (
+  SELECT CAST(year(d) * 100 + month(d) AS INTEGER) AS periodid, strftime(d, '%b %Y') AS periodname,
+         d AS startdate, last_day(d) AS enddate
+  FROM (SELECT CAST(unnest(generate_series(first_day, last_year + INTERVAL 11 MONTH,
+                                           INTERVAL 1 MONTH)) AS DATE) AS d FROM usual_years)
+  UNION ALL SELECT 99, 'Stub', DATE '1997-03-10', DATE '1997-04-20')""".format(
+    usual="WITH" + _LINES + " SELECT startdate, enddate FROM lines"
+)
+
+_HARD_TYPED = """
+gaps AS (
+  SELECT *, CAST(startdate - lag(enddate) OVER timeline AS INTEGER) AS gapwithprevious,
+         CAST(lead(startdate) OVER timeline - enddate AS INTEGER) AS gapwithnext
+  FROM previous
+  WINDOW timeline AS (PARTITION BY customerid, itemid
+                      ORDER BY enddate NULLS LAST, startdate NULLS LAST, tranid NULLS LAST, line_id)),
+typed AS (
+  SELECT *, CASE WHEN previousenddate IS NULL OR (gapwithprevious > 1 AND enddate IS NOT NULL)
+                 THEN 'New' ELSE 'Renewal' END AS ordertype
+  FROM gaps),
+churned AS (
+  SELECT *, CAST(enddate + 1 AS DATE) AS churn_day
+  FROM typed WHERE gapwithnext > 1 OR gapwithnext IS NULL)"""
+
+
+def _hard_expanded(source: str, truncated: bool = False) -> str:
+    """Contract months of every line of ``source``, and one row for a line without months."""
+    last = "least((t + 99) // 100, greatest(1, (SELECT max(t) // 100 FROM lines)))" if truncated else "(t + 99) // 100"
+    return f"""
+expanded AS (
+  SELECT l.*, CASE WHEN startdate = last_day(startdate)
+                   THEN last_day(startdate + to_months(CAST(k - 1 AS INTEGER)))
+                   ELSE CAST(startdate + to_months(CAST(k - 1 AS INTEGER)) AS DATE) END AS posting_day,
+         CASE WHEN 100 * k > t THEN cents - t // 100 * rate
+              WHEN 100 * k = t THEN cents - t // 100 * rate + rate
+              ELSE rate END AS mrr_cents
+  FROM (SELECT l.*, unnest(range(1, {last} + 1)) AS k FROM {source} l
+        WHERE tranid IS NOT NULL AND t > 0) l
+  UNION ALL
+  SELECT *, NULL, NULL FROM (SELECT *, NULL AS k FROM {source}) WHERE tranid IS NULL OR t IS NULL OR t <= 0)"""
+
+
+_HARD_POSTED = """
+posted AS (
+  SELECT tranid, customerid, itemid, ordertype, previoustranid, posting_day, mrr_cents FROM expanded
+  UNION ALL
+  SELECT NULL, customerid, itemid, 'Churn', tranid, churn_day, rate FROM churned),
+dated AS (
+  SELECT p.*, m.periodid, m.periodname, m.startdate AS period_start
+  FROM posted p LEFT JOIN months m ON p.posting_day BETWEEN m.startdate AND m.enddate)"""
+
+
 def _with(*parts: str) -> str:
     return "WITH" + ",".join(parts) + "\n"
 
@@ -347,13 +511,18 @@ def _detail_sql(condition: str = "TRUE", dated: str = "dated") -> str:
     return f"""
 SELECT d.tranid, 'Order #' || d.tranid AS "transaction",
        CASE WHEN c.company THEN c.companyname ELSE c.person END AS customer,
-       p.p_name AS item, d.ordertype, d.previoustranid, d.periodname AS postingperiod,
+       'Part ' || p.p_partkey AS item, d.ordertype, d.previoustranid, d.periodname AS postingperiod,
        {_money("d.mrr_cents")} AS mrr
 FROM {dated} d LEFT JOIN people c ON c.id = d.customerid LEFT JOIN part p ON p.p_partkey = d.itemid
 WHERE {condition}"""
 
 
 def oracle_sql() -> dict[str, str]:
+    more = dict(llm_queries.ORACLE_SQL) if llm_queries else {}
+    return own_sql() | more
+
+
+def own_sql() -> dict[str, str]:
     typed = (_LINES, _PREVIOUS, _TYPED)
     posted = (_LINES, _PERIODS, _EXPANDED, _PREVIOUS, _TYPED, _POSTED)
     place = "tranid, customerid, itemid, startdate, enddate"
@@ -372,8 +541,41 @@ shown AS (
   SELECT tranid, customerid, itemid, ordertype, previoustranid, NULL, NULL, NULL, NULL, NULL
   FROM typed WHERE tranid NOT IN (
     SELECT tranid FROM expanded WHERE posting_day BETWEEN DATE '{low}' AND DATE '{high}'))"""
-    more = dict(llm_queries.ORACLE_SQL) if llm_queries else {}
-    return more | {
+    hard = (_HARD_LINES, _PREVIOUS, _HARD_TYPED)
+    hard_posted = (*hard, _HARD_PERIODS, _hard_expanded("typed"), _HARD_POSTED)
+    hard_timeline = _with(*hard) + f"""SELECT line_id, {place}, {_TERM} AS term, {_money("cents")} AS amount,
+       previousenddate, previoustranid, gapwithprevious, gapwithnext, ordertype FROM typed"""
+    hard_lifecycle = _with(*hard) + f"""SELECT {place}, ordertype, previoustranid FROM typed
+UNION ALL
+SELECT NULL, customerid, itemid, churn_day, churn_day, 'Churn', NULL FROM churned"""
+    hard_summary = _with(*hard_posted) + summary.format(window="")
+    hard_monthly = f"""SELECT '#' || o.o_orderkey AS "transaction", {_TERM} AS term, {_money("cents")} AS amount,
+       m.startdate, m.periodid AS postingperiodid, m.periodname AS postingperiod, {_money("mrr_cents")} AS mrr
+FROM expanded x LEFT JOIN orders o ON o.o_orderkey = x.tranid
+LEFT JOIN months m ON x.posting_day BETWEEN m.startdate AND m.enddate"""
+    return {
+        "split_required": _with(_HARD_LINES)
+        + """SELECT line_id, concat_ws(', ', CASE WHEN tranid IS NULL THEN 'tranid' END,
+       CASE WHEN startdate IS NULL THEN 'startdate' END, CASE WHEN t IS NULL THEN 'term' END) AS missing
+FROM lines WHERE tranid IS NULL OR startdate IS NULL OR t IS NULL""",
+        "duplicate_lines": _with(_HARD_LINES)
+        + "SELECT line_id, count(*) AS lines FROM lines GROUP BY line_id HAVING count(*) > 1",
+        "timeline_hard": hard_timeline,
+        "timeline_hot": hard_timeline,
+        "timeline_mixed": hard_timeline,
+        "lifecycle_hard": hard_lifecycle,
+        "lifecycle_hot": hard_lifecycle,
+        "report_drilldown_hard": _with(*hard_posted)
+        + f"""SELECT ordertype, periodid AS postingperiodid, periodname AS postingperiod,
+       {_money("mrr_cents")} AS mrr FROM dated""",
+        "report_summary_hard": hard_summary,
+        "report_summary_hot": hard_summary,
+        "report_summary_mixed": hard_summary,
+        "monthly_mrr_hard": _with(_HARD_LINES, _HARD_PERIODS, _hard_expanded("lines")) + hard_monthly,
+        "monthly_mrr_truncated": _with(_HARD_LINES, _HARD_PERIODS, _hard_expanded("lines", True)) + hard_monthly,
+        "monthly_mrr_total": _with(_HARD_LINES)
+        + """SELECT CAST(CAST(sum(cents) AS DECIMAL(36,0)) * 0.01 AS DECIMAL(38,2)) AS total
+FROM (SELECT DISTINCT line_id, cents FROM lines WHERE tranid IS NOT NULL AND t > 0)""",
         "monthly_periods": _with(_LINES, _PERIODS) + "SELECT * FROM months",
         "period_numbers": _with(_LINES, _EXPANDED)
         + "SELECT CAST(unnest(range(1, n + 1)) AS INTEGER) AS period FROM longest",
@@ -383,15 +585,15 @@ shown AS (
        CASE WHEN t % 100 = 0 THEN 'No' ELSE 'Yes' END AS ispartialterm
 FROM expanded""",
         "monthly_mrr": _with(_LINES, _PERIODS, _EXPANDED)
-        + f"""SELECT 'Order #' || x.tranid AS "transaction", {_TERM} AS term,
+        + f"""SELECT '#' || x.tranid AS "transaction", {_TERM} AS term,
        {_money("cents")} AS amount, m.startdate, m.periodid AS postingperiodid,
        m.periodname AS postingperiod, {_money("mrr_cents")} AS mrr
 FROM expanded x LEFT JOIN months m ON x.posting_day BETWEEN m.startdate AND m.enddate""",
         "previous_end": _with(_LINES, _PREVIOUS)
         + f"SELECT {place}, previousenddate, previoustranid FROM previous",
         "previous_transaction": _with(_LINES, _PREVIOUS, _CUSTOMERS)
-        + """SELECT v.tranid AS transactionid, 'Order #' || v.tranid AS "transaction",
-       c.person AS customer, p.p_name AS item, v.startdate, v.enddate,
+        + """SELECT v.tranid AS transactionid, '#' || v.tranid AS "transaction",
+       c.person AS customer, 'Part ' || p.p_partkey AS item, v.startdate, v.enddate,
        v.previousenddate, v.previoustranid
 FROM previous v JOIN people c ON c.id = v.customerid LEFT JOIN part p ON p.p_partkey = v.itemid""",
         "new_renewal": _with(_LINES, _PREVIOUS)
@@ -451,7 +653,8 @@ LEFT JOIN people c ON c.id = u.customerid LEFT JOIN part p ON p.p_partkey = u.it
        {_money("cents")} AS amount
 FROM lines JOIN customer ON c_custkey = customerid AND c_acctbal >= 0""",
         "rejected_references": _with(_LINES)
-        + """SELECT tranid AS line_id, tranid, 'unknown customer' AS problems
+        + """SELECT tranid AS line_id, 'Customer#' || lpad(CAST(customerid AS VARCHAR), 9, '0') AS customer,
+       'unknown customer' AS problems
 FROM lines JOIN customer ON c_custkey = customerid AND c_acctbal < 0""",
         "null_dangling": _with(_LINES)
         + """SELECT tranid AS line_id, tranid, c_custkey AS customerid, p_partkey AS itemid

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from renewline.functions.money import MONEY
+from renewline.functions.money import MONEY, shown
 from renewline.operators.periods import posting_period
 from renewline.operators.schedule import with_amounts
 
@@ -46,7 +46,7 @@ def churns_mrr(typed: DataFrame, months: DataFrame) -> DataFrame:
         F.lit("Churn").alias("ordertype"),
         "postingperiod",
         "postingperiodid",
-        F.col("rate").alias("computed"),
+        shown(F.col("rate")).alias("computed"),
     )
 
 
@@ -85,5 +85,5 @@ def lifecycle_union_mrr(typed: DataFrame, months: DataFrame) -> DataFrame:
         *lifecycle_columns(F.col("tranid")),
         "postingperiod",
         "postingperiodid",
-        F.when(F.col("churned"), F.col("rate")).otherwise(F.lit(0).cast(MONEY)).alias("computed"),
+        F.when(F.col("churned"), shown(F.col("rate"))).otherwise(F.lit(0).cast(MONEY)).alias("computed"),
     )

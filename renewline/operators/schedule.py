@@ -21,32 +21,33 @@ def period_numbers(lines: DataFrame) -> DataFrame:
     return longest_term(lines).select(F.explode(F.sequence(F.lit(1), F.col("months"))).alias("period"))
 
 
-def month_count(lines: DataFrame, cap: str = "reference") -> Column:
+def month_count(lines: DataFrame, truncated: bool = False) -> Column:
     """Months a line expands to; NULL or below 1 where it does not expand.
 
-    ``cap='reference'`` stops at the longest term rounded down, which drops the
-    partial last month of lines longer than that. ``cap='none'`` keeps it.
+    Every month counts, the partial last one too, so the months of a line add up
+    to its amount. ``truncated`` stops at the longest term of the table rounded
+    down, as the literal definition does: that drops the partial last month of
+    lines longer than that, and needs one more scan.
     """
     months = F.ceil("term").cast("int")
-    if cap == "reference":
+    if truncated:
         months = F.least(months, longest_term(lines).scalar())
-    elif cap != "none":
-        raise ValueError(f"cap must be 'reference' or 'none', not {cap!r}")
     return F.when(F.col("term").isNotNull(), months)
 
 
 def month_bounds(
-    months: Column, start: Column, between: tuple[str, str] | None = None
+    months: Column, start: Column, between: tuple | None = None
 ) -> tuple[Column, Column]:
     """First and last contract month to generate, as numbers counted from 1.
 
-    ``between`` keeps the months whose date lies in the window. Adding months
+    ``between``, two dates as text or columns, keeps the months dated in the
+    window. Adding months
     always lands in the wanted calendar month, so the bounds follow from the
     month difference and one comparison of days.
     """
     first, last = F.lit(1), months
     if between is not None:
-        low, high = (F.to_date(F.lit(day)) for day in between)
+        low, high = (F.to_date(F.lit(day)) if isinstance(day, str) else day for day in between)
         ahead = month_number(low) - month_number(start)
         first = F.greatest(
             first, ahead + 1 + (add_months_keep_end(start, ahead) < low).cast("int")
@@ -59,7 +60,7 @@ def month_bounds(
 
 
 def with_month_bounds(
-    df: DataFrame, months: Column, between: tuple[str, str] | None = None
+    df: DataFrame, months: Column, between: tuple | None = None
 ) -> DataFrame:
     """Add ``first_month`` and ``last_month``, computed once per row."""
     counted = df.withColumn("months", months)
@@ -87,10 +88,10 @@ def with_amounts(lines: DataFrame) -> DataFrame:
 
 
 def expand_term(
-    lines: DataFrame, cap: str = "reference", between: tuple[str, str] | None = None
+    lines: DataFrame, truncated: bool = False, between: tuple[str, str] | None = None
 ) -> DataFrame:
     """One row per contract month, with the unrounded monthly amount."""
-    counted = with_month_bounds(lines, month_count(lines, cap), between)
+    counted = with_month_bounds(lines, month_count(lines, truncated), between)
     once_per_line = counted.select(
         F.col("tranid").alias("id"),
         "customerid",

@@ -1,9 +1,11 @@
 """Order of the contracts of one customer and item.
 
 Rows are ordered by end date (missing last), then start date, transaction and
-line. Ordinary timelines are computed by windows after a single exchange on
-(customer, item). A timeline too big for one task is first reduced to its
-distinct pairs of dates, so what a task sorts does not grow with the lines.
+line, and by all other columns where even those are equal; rows equal in every
+column follow each other. Ordinary timelines are computed by windows after a
+single exchange on (customer, item). A timeline too big for one task is first
+reduced to its distinct pairs of dates, so what a task sorts does not grow with
+the lines. Both ways give the same rows, repeated ones included.
 """
 
 from __future__ import annotations
@@ -17,6 +19,8 @@ KEY = ["customerid", "itemid"]
 PREVIOUS = ["previousenddate", "previoustranid"]
 GAPS = ["gapwithprevious", "gapwithnext"]
 
+ORDER = ["enddate", "startdate", "tranid", "line_id"]
+
 _NO_TRANSACTION = -(2**63)
 
 
@@ -78,9 +82,8 @@ def _gap_columns(before: Column, after: Column) -> list[Column]:
 
 
 def _gaps(lines: DataFrame) -> DataFrame:
-    by_end = Window.partitionBy(*KEY).orderBy(
-        *[F.asc_nulls_last(c) for c in ("enddate", "startdate", "tranid", "line_id")]
-    )
+    others = [c for c in lines.columns if c not in (*KEY, *ORDER, *PREVIOUS)]
+    by_end = Window.partitionBy(*KEY).orderBy(*[F.asc_nulls_last(c) for c in (*ORDER, *others)])
     return lines.select(
         "*", *_gap_columns(F.lag("enddate").over(by_end), F.lead("startdate").over(by_end))
     )
@@ -89,42 +92,73 @@ def _gaps(lines: DataFrame) -> DataFrame:
 # Timelines too big for one task ----------------------------------------------
 
 
-def _place() -> Column:
-    """Sorts the lines that share both dates: transaction, missing last, then line."""
-    return F.struct(F.col("tranid").isNull(), F.col("tranid"), F.col("line_id"))
-
-
 def _hot(lines: DataFrame) -> DataFrame:
     """The same columns as the windows give, from one row per pair of dates.
 
     Where a line stands depends only on its two dates, unless others share
     both; then only the first and the last of them look beyond the pair. So the
     lines are aggregated to their pairs of dates, on the map side first, and the
-    windows run over those: the calendar bounds them, not the number of lines.
-    The lines then look their pair up by all four columns, which spreads a
-    timeline over the cluster, and a single pair holding most lines is left to
-    AQE to split: the other side of the join has one row for it.
+    windows run over those: what a task sorts is bounded by the square of the
+    days the timeline spans, not by the number of lines. The lines then look
+    their pair up by all four columns, which spreads a timeline over the
+    cluster, and a single pair holding most lines is left to AQE to split: the
+    other side of the join has one row for it.
+
+    The first of a pair has the smallest transaction, among those the smallest
+    line, among those the first of the other columns. Rows equal in all columns
+    are counted first and written out again at the end: the first copy looks
+    before the pair, the last one behind it.
     """
     dates = [*KEY, "startdate", "enddate"]
-    pairs = lines.groupBy(*dates).agg(
-        F.min(_place()).alias("first_place"),
-        F.max(_place()).alias("last_place"),
+    place = [*dates, "tranid", "line_id"]
+    others = [c for c in lines.columns if c not in place]
+    distinct = lines.groupBy(*lines.columns).agg(F.count("*").alias("copies"))
+    same = Window.partitionBy(*place)
+    ranked = distinct.select(
+        "*",
+        F.row_number().over(same.orderBy(*[F.asc_nulls_last(c) for c in (others or ["line_id"])])).alias("variant"),
+        F.count("*").over(same).alias("variants"),
+    )
+    # Two steps, so that every aggregate has a fixed width and none needs a sort.
+    by_tranid = distinct.groupBy(*dates, "tranid").agg(
+        F.min("line_id").alias("low"), F.max("line_id").alias("high")
+    )
+    missing = F.col("tranid").isNull()
+    pairs = by_tranid.groupBy(*dates).agg(
         F.max("tranid").alias("tranid"),
+        F.min("tranid").alias("first_tranid"),
+        F.when(~F.max(missing), F.max("tranid")).alias("last_tranid"),
+        F.coalesce(F.min_by("low", "tranid"), F.max(F.when(missing, F.col("low")))).alias("first_line"),
+        F.coalesce(F.max(F.when(missing, F.col("high"))), F.max_by("high", "tranid")).alias("last_line"),
     )
     by_end = Window.partitionBy(*KEY).orderBy(
         F.asc_nulls_last("enddate"), F.asc_nulls_last("startdate")
     )
     lookup = _previous(pairs.repartition(*KEY)).select(
         *[F.col(c).alias(f"pair_{c}") for c in dates],
-        "first_place",
-        "last_place",
+        "first_tranid",
+        "last_tranid",
+        "first_line",
+        "last_line",
         F.lag("enddate").over(by_end).alias("end_before"),
         F.lead("startdate").over(by_end).alias("start_after"),
         *PREVIOUS,
     )
-    match = null_safe_match(lines, lookup, {c: f"pair_{c}" for c in dates})
-    opens, closes = _place() == F.col("first_place"), _place() == F.col("last_place")
-    return lines.join(lookup, match, "left").select(
+    match = null_safe_match(ranked, lookup, {c: f"pair_{c}" for c in dates})
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
+    out = ranked.join(lookup, match, "left").select("*", copies.alias("copy"))
+
+    def stands(tranid: str, line: str, variant: Column, copy: Column) -> Column:
+        return (
+            F.col("tranid").eqNullSafe(F.col(tranid))
+            & F.col("line_id").eqNullSafe(F.col(line))
+            & (F.col("variant") == variant)
+            & (F.col("copy") == copy)
+        )
+
+    opens = stands("first_tranid", "first_line", F.lit(1), F.lit(1))
+    closes = stands("last_tranid", "last_line", F.col("variants"), F.col("copies"))
+    return out.select(
         *lines.columns,
         *PREVIOUS,
         *_gap_columns(
@@ -139,6 +173,7 @@ def _hot(lines: DataFrame) -> DataFrame:
 
 def _in_order(lines: DataFrame, steps: list, added: list[str], hot, clustered: bool) -> DataFrame:
     if isinstance(hot, str):
+        # The only place where an operator runs jobs of its own: see hot_timelines.
         hot = hot_timelines(lines)
     ordinary, big = (lines, None) if hot is None else split_by_keys(lines, KEY, hot)
     if not clustered:

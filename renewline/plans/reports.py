@@ -3,9 +3,12 @@
 Every report takes plain DataFrames and returns one. The lookups carry no
 broadcast hint: Catalyst broadcasts a lookup table while its size is below
 autoBroadcastJoinThreshold, and AQE splits skewed keys of a shuffled join.
-Names are looked up per line, before lines are spread over months.
+Names are looked up per line, before lines are spread over months, unless the
+report keeps one period: then only what is left of them looks names up.
 
 ``ordered=False`` leaves out the final sort, for results written to a table.
+``truncated=True`` drops the partial last month of lines longer than the longest
+term rounded down, as the literal definition does; see ``month_count``.
 ``options`` (``hot``, ``clustered``) go to the timeline operators.
 """
 
@@ -15,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from renewline.functions.dates import add_months_keep_end
-from renewline.functions.money import month_amount
+from renewline.functions.money import month_amount, shown
 from renewline.functions.text import customer_name, person_name
 from renewline.operators.lifecycle import churn_day, has_churn, lifecycle_columns, with_churn_rows
 from renewline.operators.periods import monthly_periods, posting_period
@@ -51,6 +54,16 @@ def _item_name() -> Column:
     return F.col("displayname").alias("item")
 
 
+def _item_display() -> Column:
+    """How a reference to the item is shown."""
+    return F.col("display").alias("item")
+
+
+def _transaction_display() -> Column:
+    """How a reference to the transaction is shown."""
+    return F.col("display").alias("transaction")
+
+
 def _person_name() -> Column:
     return person_name(F.col("firstname"), F.col("lastname")).alias("customer")
 
@@ -62,9 +75,14 @@ def _customer_name() -> Column:
     return name.alias("customer")
 
 
-def _postable_months(lines: DataFrame, cap: str) -> Column:
+def _days(months: DataFrame) -> tuple[Column, Column]:
+    """First and last day of the given months, as scalar subqueries."""
+    return months.agg(F.min("startdate")).scalar(), months.agg(F.max("enddate")).scalar()
+
+
+def _postable_months(lines: DataFrame, truncated: bool) -> Column:
     """Months a line posts; none without a transaction, which matches nothing."""
-    return F.when(F.col("tranid").isNotNull(), month_count(lines, cap))
+    return F.when(F.col("tranid").isNotNull(), month_count(lines, truncated))
 
 
 def _posting_day() -> Column:
@@ -84,7 +102,7 @@ def monthly_mrr(
     lines: DataFrame,
     periods: DataFrame,
     transaction: DataFrame,
-    cap: str = "reference",
+    truncated: bool = False,
     ordered: bool = True,
 ) -> DataFrame:
     """Monthly revenue of every contract month, with the period it posts to.
@@ -95,9 +113,9 @@ def monthly_mrr(
         lines.select("line_id", "tranid", "startdate", *VALUE),
         "tranid",
         transaction,
-        _transaction_name(),
+        _transaction_display(),
     )
-    counted = with_month_bounds(named, _postable_months(lines, cap))
+    counted = with_month_bounds(named, _postable_months(lines, truncated))
     expands = F.coalesce(F.col("last_month") >= 1, F.lit(False))
     keyed = counted.select(
         "*",
@@ -121,7 +139,7 @@ def monthly_mrr(
         F.col("periodstart").alias("startdate"),
         "postingperiodid",
         "postingperiod",
-        mrr.cast("decimal(18,2)").alias("mrr"),
+        shown(mrr).alias("mrr"),
     )
 
 
@@ -136,8 +154,8 @@ def previous_transaction(
     """The contract each line follows; lines of unknown customers are left out."""
     found = previous_end(lines.select(*PLACE), **options)
     named = _with_name(found, "customerid", customer, _person_name(), "inner")
-    named = _with_name(named, "itemid", item, _item_name())
-    named = _with_name(named, "tranid", transaction, _transaction_name())
+    named = _with_name(named, "itemid", item, _item_display())
+    named = _with_name(named, "tranid", transaction, _transaction_display())
     return _sorted(named, ["tranid", "line_id"], ordered).select(
         F.col("tranid").alias("transactionid"),
         "transaction",
@@ -187,7 +205,7 @@ def _posted_rows(
     typed: DataFrame,
     lines: DataFrame,
     months: DataFrame,
-    cap: str,
+    truncated: bool,
     between: Days | None,
     contracts: bool,
     churned: bool,
@@ -199,7 +217,7 @@ def _posted_rows(
     pass, and one lookup finds the period of both kinds.
     """
     own = F.coalesce(month_list(), F.array(F.lit(None).cast("int")))
-    rows = with_month_bounds(with_amounts(typed), _postable_months(lines, cap), between)
+    rows = with_month_bounds(with_amounts(typed), _postable_months(lines, truncated), between)
     if not contracts:
         rows = rows.where(has_churn()).withColumn("period", F.lit(0))
     elif not churned:
@@ -209,7 +227,7 @@ def _posted_rows(
         rows = rows.withColumn("period", F.explode(with_churn))
     rows = rows.withColumn("churned", F.coalesce(F.col("period") == 0, F.lit(False)))
     return posting_period(rows, _posting_day(), months).withColumn(
-        "mrr", _posting_amount().cast("decimal(18,2)")
+        "mrr", shown(_posting_amount())
     )
 
 
@@ -223,7 +241,7 @@ def lifecycle_mrr(
     period: int | None = None,
     ordertype: str | None = None,
     between: Days | None = None,
-    cap: str = "reference",
+    truncated: bool = False,
     ordered: bool = True,
     **options,
 ) -> DataFrame:
@@ -240,22 +258,23 @@ def lifecycle_mrr(
     typed = order_types(lines.select(*PLACE, *VALUE), **options)
     if contracts and ordertype is not None:
         typed = typed.where(F.col("ordertype") == ordertype)
-    named = _with_name(typed, "tranid", transaction, _transaction_name())
-    named = _with_name(named, "itemid", item, _item_name())
-    named = _with_name(named, "customerid", customer, _customer_name())
+
+    def with_names(rows: DataFrame) -> DataFrame:
+        named = _with_name(rows, "tranid", transaction, _transaction_name())
+        named = _with_name(named, "itemid", item, _item_display())
+        return _with_name(named, "customerid", customer, _customer_name())
+
     months = monthly_periods(periods)
     wanted = churn_period if churn_period is not None else period
-    rows = _posted_rows(
-        named,
-        lines,
-        months if wanted is None else months.where(F.col("periodid") == wanted),
-        cap,
-        between,
-        contracts,
-        churned,
-    )
-    if wanted is not None:
-        rows = rows.where(F.col("postingperiodid").isNotNull())
+    if wanted is None:
+        rows = _posted_rows(with_names(typed), lines, months, truncated, between, contracts, churned)
+    else:
+        months = months.where(F.col("periodid") == wanted)
+        if between is None:
+            # The days of the wanted period bound the months that are made.
+            between = _days(months)
+        rows = _posted_rows(typed, lines, months, truncated, between, contracts, churned)
+        rows = with_names(rows.where(F.col("postingperiodid").isNotNull()))
     rows = rows.select(
         *lifecycle_columns(F.col("tranid")),
         F.when(~F.col("churned"), F.col("transaction")).alias("transaction"),
@@ -283,12 +302,12 @@ def report_drilldown(
     lines: DataFrame,
     periods: DataFrame,
     between: Days | None = None,
-    cap: str = "reference",
+    truncated: bool = False,
     **options,
 ) -> DataFrame:
     """Order type, period and revenue of every contract month and churn."""
     typed = order_types(lines.select(*PLACE, *VALUE), **options)
-    rows = _posted_rows(typed, lines, monthly_periods(periods), cap, between, True, True)
+    rows = _posted_rows(typed, lines, monthly_periods(periods), truncated, between, True, True)
     return rows.select(
         F.when(F.col("churned"), "Churn").otherwise(F.col("ordertype")).alias("ordertype"),
         "postingperiodid",
@@ -302,7 +321,7 @@ def report_summary(
     periods: DataFrame,
     between: Days | None = None,
     months_between: Days | None = None,
-    cap: str = "reference",
+    truncated: bool = False,
     ordered: bool = True,
     **options,
 ) -> DataFrame:
@@ -337,7 +356,7 @@ def report_summary(
     if between is not None:
         low, high = (F.to_date(F.lit(day)) for day in between)
         months = months.where(F.col("startdate").between(low, high))
-    bounded = with_month_bounds(sums, month_count(lines, cap), months_between)
+    bounded = with_month_bounds(sums, month_count(lines, truncated), months_between)
     spread = bounded.withColumn("period", F.explode(numbers))
     posted = posting_period(spread, _posting_day(), months, "inner")
     summary = posted.groupBy("postingperiodid", "postingperiod", "periodstart", "ordertype").agg(

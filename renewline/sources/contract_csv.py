@@ -2,13 +2,20 @@
 
 The file names transactions, customers and items as they are displayed. The
 import finds columns by header, parses them and resolves the names to ids. A
-row that cannot be read or resolved is kept apart with the reason, so every row
-of the file is either accepted or rejected. Empty fields are legal: no field is
-mandatory unless the caller says so.
+row that cannot be read or resolved is kept apart with its text and the reasons,
+so every row of the file is either accepted or rejected. Empty fields are legal:
+no field is mandatory unless the caller says so.
+
+Every imported line gets a new id; an id in the file names a record elsewhere and
+stays in the text of a rejected row only. Quotes within quoted fields are doubled.
+A line break within a quoted field is read with ``multiline=True``, which gives up
+splitting files; without it the pieces of such a row are rejected as unreadable.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,7 +42,9 @@ HEADERS = [
     "Total Amount",
 ]
 
-RAW_LINES = T.StructType([T.StructField(h, T.StringType()) for h in [ID_HEADER, *HEADERS]])
+#: Holds the text of a row that does not have the columns of the header.
+UNREADABLE = "Unreadable"
+RAW = [ID_HEADER, *HEADERS, UNREADABLE]
 
 
 def csv_options() -> dict[str, str]:
@@ -44,6 +53,8 @@ def csv_options() -> dict[str, str]:
         "header": "true",
         "encoding": READ_AS,
         "sep": DELIMITER,
+        "quote": '"',
+        "escape": '"',
         "enforceSchema": "false",
         "ignoreLeadingWhiteSpace": "true",
         "ignoreTrailingWhiteSpace": "true",
@@ -57,24 +68,30 @@ def _decoded(column: str) -> Column:
     return F.translate(F.col(column), read, meant)
 
 
-def read_contract_csv(spark: SparkSession, path: str | list[str], first_id: int = 1) -> DataFrame:
-    """The mapped columns of the file as text; others are dropped.
-
-    Rows of files without ids are numbered upwards from ``first_id``, with holes.
-    """
-    raw = spark.read.options(**csv_options()).csv(path)
-    missing = [h for h in HEADERS if h not in raw.columns]
+def read_contract_csv(spark: SparkSession, path: str | list[str], multiline: bool = False) -> DataFrame:
+    """The mapped columns of the files as text; others are dropped, a missing id is blank."""
+    options = csv_options() | {"multiLine": str(multiline).lower()}
+    header = spark.read.options(**options).csv(path).columns
+    missing = [h for h in HEADERS if h not in header]
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
-    if ID_HEADER in raw.columns:
-        return raw.select(ID_HEADER, *HEADERS)
-    numbered = F.monotonically_increasing_id() + first_id
-    return raw.select(numbered.cast("string").alias(ID_HEADER), *HEADERS)
+    schema = T.StructType([T.StructField(h, T.StringType()) for h in [*header, UNREADABLE]])
+    raw = spark.read.schema(schema).options(**options, columnNameOfCorruptRecord=UNREADABLE).csv(path)
+    own_id = F.col(ID_HEADER) if ID_HEADER in header else F.lit(None).cast("string").alias(ID_HEADER)
+    return raw.select(own_id, *HEADERS, UNREADABLE)
+
+
+def read_by_header(spark: SparkSession, paths: list[str], multiline: bool = False) -> DataFrame:
+    """The rows of several files whose columns can stand in different orders."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        groups.setdefault(tuple(spark.read.options(**csv_options()).csv(path).columns), []).append(path)
+    parts = [read_contract_csv(spark, files, multiline) for files in groups.values()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _parsed(raw: DataFrame) -> dict[str, Column]:
     return {
-        ID_HEADER: F.col(ID_HEADER).try_cast("long"),
         "Start Date": F.try_to_date(F.col("Start Date"), DATE_FORMAT),
         "End Date": F.try_to_date(F.col("End Date"), DATE_FORMAT),
         "Term": F.col("Term").try_cast(TERM),
@@ -82,14 +99,24 @@ def _parsed(raw: DataFrame) -> dict[str, Column]:
     }
 
 
-def typed_lines(raw: DataFrame) -> DataFrame:
-    """Parse the text columns; ``problems`` lists the fields that did not parse."""
+def typed_lines(raw: DataFrame, first_id: int, required: list[str] = ()) -> DataFrame:
+    """Parse the text columns; ``problems`` lists the fields that did not parse.
+
+    Lines are numbered upwards from ``first_id``, with holes. ``required`` names the
+    headers of mandatory fields. ``raw`` keeps the text of all columns.
+    """
+    unknown = [h for h in required if h not in HEADERS]
+    if unknown:
+        raise ValueError(f"no such columns: {', '.join(unknown)}")
     parsed = _parsed(raw)
+    whole = F.col(UNREADABLE).isNull()
     wrong = [
-        F.when(F.col(h).isNotNull() & value.isNull(), f"unreadable {h}") for h, value in parsed.items()
-    ] + [F.when(F.col(ID_HEADER).isNull(), f"no {ID_HEADER}")]
+        F.when(whole & F.col(h).isNotNull() & value.isNull(), f"unreadable {h}") for h, value in parsed.items()
+    ]
+    wrong += [F.when(whole & F.col(h).isNull(), f"missing {h}") for h in required]
+    wrong.append(F.when(~whole, "unreadable row"))
     return raw.select(
-        parsed[ID_HEADER].alias("line_id"),
+        (F.monotonically_increasing_id() + first_id).alias("line_id"),
         _decoded("Transaction").alias("transaction"),
         _decoded("Customer").alias("customer"),
         _decoded("Item").alias("item"),
@@ -98,6 +125,7 @@ def typed_lines(raw: DataFrame) -> DataFrame:
         parsed["End Date"].alias("enddate"),
         parsed["Term"].alias("term"),
         parsed["Total Amount"].alias("amount"),
+        F.struct(*[_decoded(h).alias(h) for h in RAW]).alias("raw"),
         F.array_compact(F.array(*wrong)).alias("problems"),
     )
 
@@ -119,14 +147,17 @@ def _resolve(lines: DataFrame, name: str, key: str, names: DataFrame) -> DataFra
 def resolve_references(
     lines: DataFrame, transactions: DataFrame, customers: DataFrame, items: DataFrame
 ) -> DataFrame:
-    """Resolve the three display names through lookup tables of ``id, name``."""
+    """Resolve the three display names through lookup tables of ``id, name``.
+
+    ``raw`` goes through unchanged.
+    """
     for name, key, names in (
         ("transaction", "tranid", transactions),
         ("customer", "customerid", customers),
         ("item", "itemid", items),
     ):
         lines = _resolve(lines, name, key, names)
-    return lines.select(*CONTRACT_LINES.names, "problems")
+    return lines.select(*CONTRACT_LINES.names, "raw", "problems")
 
 
 def accepted(resolved: DataFrame) -> DataFrame:
@@ -134,7 +165,8 @@ def accepted(resolved: DataFrame) -> DataFrame:
 
 
 def rejected(resolved: DataFrame) -> DataFrame:
-    return resolved.where(F.size("problems") > 0)
+    """Rejected rows with the text they had, to be repaired, and all reasons."""
+    return resolved.where(F.size("problems") > 0).select("line_id", "raw.*", "problems")
 
 
 def import_contract_csv(
@@ -143,9 +175,16 @@ def import_contract_csv(
     transactions: DataFrame,
     customers: DataFrame,
     items: DataFrame,
-    first_id: int = 1,
+    first_id: int,
+    required: list[str] = (),
+    multiline: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """Accepted contract lines and rejected rows of a file or folder."""
-    typed = typed_lines(read_contract_csv(spark, path, first_id))
+    """Accepted contract lines and rejected rows of a file or folder.
+
+    ``first_id`` is the first id to give: ``tables.next_line_id`` for a table that the
+    lines are appended to. Both results read the file and the lookup tables; store
+    the first before the lookup tables change.
+    """
+    typed = typed_lines(read_contract_csv(spark, path, multiline), first_id, required)
     resolved = resolve_references(typed, transactions, customers, items)
     return accepted(resolved), rejected(resolved)

@@ -95,10 +95,58 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "part").selectExpr("p_partkey as id", "p_name as displayname")
+    return read(spark, sf_dir, "part").selectExpr(
+        "p_partkey as id", "p_name as displayname", "concat('Part ', p_partkey) as display"
+    )
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "orders").selectExpr(
-        "o_orderkey as id", "concat('Order #', o_orderkey) as trandisplayname"
+        "o_orderkey as id",
+        "concat('Order #', o_orderkey) as trandisplayname",
+        "concat('#', o_orderkey) as display",
+    )
+
+
+def hard_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contract lines with the cases that real ones have and orders lack.
+
+    A third of all lines makes one timeline, some lines occur twice, some
+    transactions have several lines; keys, dates and terms are missing; terms
+    are zero, negative, or fractional beyond all others; starts fall on month ends.
+    """
+    day = "cast(o_orderdate as date)"
+    start = f"case when k % 6 = 0 then last_day({day}) when k % 4 = 0 then {day} else trunc({day}, 'MM') end"
+    months = "case k % 5 when 1 then 6 when 2 then 12 when 4 then 0 else 3 end"
+    days = "if(k % 5 >= 3, 14, -1)"
+    term = (
+        "cast(case when k % 29 = 0 then null when k % 31 = 0 then 0.0 when k % 37 = 0 then -1.0"
+        " when k % 41 = 0 then 14.5 else case k % 5 when 0 then 3.0 when 1 then 6.0 when 2 then 12.0"
+        " when 3 then 3.5 else 0.5 end end as decimal(12,6))"
+    )
+    rows = read(spark, sf_dir, "orders").selectExpr("o_orderkey as k", "*")
+    twice = rows.selectExpr("*", "explode(if(k % 10 = 1, array(0, 1), array(0))) as copy")
+    return twice.selectExpr(
+        "k as line_id",
+        "case when k % 11 = 0 then null when k % 26 = 3 then k - 1 else k end as tranid",
+        "case when k % 13 = 0 then null when k % 3 = 0 then 1 else o_custkey end as customerid",
+        "case when k % 17 = 0 then null when k % 3 = 0 then 1 else k % 7 end as itemid",
+        "cast(k as string) as contractid",
+        f"if(k % 19 = 0, null, {start}) as startdate",
+        f"if(k % 23 = 0, null, date_add(add_months({start}, {months}), {days})) as enddate",
+        f"{term} as term",
+        "cast(o_totalprice as decimal(18,2)) as amount",
+    )
+
+
+def hard_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periods of the orders, and one that overlaps two months."""
+    extra = spark.range(1).selectExpr(
+        "cast(99 as int) as id",
+        "'Stub' as periodname",
+        "date'1997-03-10' as startdate",
+        "date'1997-04-20' as enddate",
+        "'F' as isquarter",
+        "'F' as isyear",
     )
+    return accounting_periods(spark, sf_dir).unionByName(extra)

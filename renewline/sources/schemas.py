@@ -43,6 +43,8 @@ ITEMS = T.StructType(
     [
         T.StructField("id", T.LongType()),
         T.StructField("displayname", T.StringType()),
+        # How a reference to the item is shown; its name can differ.
+        T.StructField("display", T.StringType()),
     ]
 )
 
@@ -50,5 +52,7 @@ TRANSACTIONS = T.StructType(
     [
         T.StructField("id", T.LongType()),
         T.StructField("trandisplayname", T.StringType()),
+        # How a reference to the transaction is shown; its name can differ.
+        T.StructField("display", T.StringType()),
     ]
 )

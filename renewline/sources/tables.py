@@ -4,15 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from renewline.operators.skew import split_by_keys
 from renewline.operators.timeline import KEY
 from renewline.sources.schemas import CONTRACT_LINES
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+    """The columns of the schema; folders of import batches are read as one table."""
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
+def next_line_id(spark: SparkSession, path: str) -> int:
+    """The id after the largest of the table, 1 for a table that does not exist yet."""
+    try:
+        last = read_table(spark, path, CONTRACT_LINES).agg(F.max("line_id")).first()[0]
+    except AnalysisException:
+        return 1
+    return 1 if last is None else last + 1
 
 
 def append_lines(lines: DataFrame, path: str) -> None:
@@ -25,20 +38,32 @@ def reset_lines(spark: SparkSession, path: str) -> None:
     spark.createDataFrame([], CONTRACT_LINES).write.mode("overwrite").parquet(path)
 
 
-def save_clustered(lines: DataFrame, table: str, buckets: int) -> None:
+def save_clustered(lines: DataFrame, table: str, buckets: int, hot: DataFrame | None = None) -> None:
     """Store contract lines bucketed by timeline.
 
     The timeline operators run on such a table without any exchange when called
     with ``clustered=True``. Writing exchanges the lines once by the same keys,
     so each task writes one bucket file instead of a piece of every bucket.
+
+    A bucket holds its timelines whole. Those named by ``hot``, as found by
+    ``hot_timelines``, go to the table ``<table>_hot`` instead, spread evenly and
+    unbucketed; ``read_clustered`` gives both.
     """
+    ordinary, big = (lines, None) if hot is None else split_by_keys(lines, KEY, hot)
     (
-        lines.repartition(buckets, *KEY)
+        ordinary.repartition(buckets, *KEY)
         .write.mode("overwrite")
         .bucketBy(buckets, *KEY)
         .sortBy(*KEY)
         .saveAsTable(table)
     )
+    big = lines.where("false") if big is None else big
+    big.write.mode("overwrite").saveAsTable(f"{table}_hot")
+
+
+def read_clustered(spark: SparkSession, table: str) -> tuple[DataFrame, DataFrame]:
+    """The bucketed lines, and those of the hot timelines."""
+    return spark.table(table), spark.table(f"{table}_hot")
 
 
 def save_report(report: DataFrame, path: str, format: str = "parquet") -> None:

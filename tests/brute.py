@@ -92,11 +92,11 @@ def longest(lines):
     return max(1, math.floor(max(terms))) if terms else 1
 
 
-def month_numbers(line, lines, cap="reference", between=None):
+def month_numbers(line, lines, truncated=False, between=None):
     if line["tranid"] is None or line["term"] is None:
         return []
     count = math.ceil(line["term"])
-    if cap == "reference":
+    if truncated:
         count = min(count, longest(lines))
     numbers = range(1, count + 1)
     if between is None:
@@ -127,10 +127,10 @@ def holding(day, periods):
     return found or [{"id": None, "periodname": None, "startdate": None}]
 
 
-def monthly(lines, periods, cap="reference"):
+def monthly(lines, periods, truncated=False):
     out = []
     for line in lines:
-        for k in month_numbers(line, lines, cap) or [None]:
+        for k in month_numbers(line, lines, truncated) or [None]:
             day = shifted(line["startdate"], k - 1) if k and line["startdate"] else None
             for p in holding(day, periods):
                 out.append(
@@ -140,12 +140,12 @@ def monthly(lines, periods, cap="reference"):
     return out
 
 
-def detail(lines, periods, cap="reference", between=None):
+def detail(lines, periods, truncated=False, between=None):
     """(tranid, customerid, itemid, type, previous, period id, period, mrr)"""
     rows = typed(lines)
     out = []
     for row in rows:
-        for k in month_numbers(row, lines, cap, between) or [None]:
+        for k in month_numbers(row, lines, truncated, between) or [None]:
             day = shifted(row["startdate"], k - 1) if k and row["startdate"] else None
             for p in holding(day, periods):
                 out.append(

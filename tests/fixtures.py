@@ -56,13 +56,13 @@ def periods_frame(spark, rows):
 
 
 CUSTOMERS = [
-    (2, "Ada", "Vale", "T", None),
-    (3, "Ben", "Ortiz", "T", None),
+    (2, "Ines", "Moreau", "T", None),
+    (3, "Karl", "Adeyemi", "T", None),
     (4, None, "X", "T", None),
-    (5, "Old", "Name", "F", "Acme"),
+    (5, "Old", "Name", "F", "Brick & Co"),
 ]
-ITEMS = [(1, "Films"), (2, "Music")]
-TRANSACTIONS = [(n, f"Invoice #{n}") for n in range(1, 10)]
+ITEMS = [(1, "Garden tools", "GT-1"), (2, "Roof tiles", "RT-2")]
+TRANSACTIONS = [(n, f"Bill {n}", f"B-{n}") for n in range(1, 10)]
 
 
 def dimensions(spark):

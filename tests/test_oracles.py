@@ -31,14 +31,14 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert entry.own_queries().keys() == entry.own_sql().keys()
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", entry.own_queries())
 def test_query_equals_sql(spark, duck, name):
-    result = entry.queries()[name](spark, DATA)
+    result = entry.own_queries()[name](spark, DATA)
     columns = sorted(result.columns)
-    expected = duck.execute(entry.oracle_sql()[name])
+    expected = duck.execute(entry.own_sql()[name])
     described = {c[0]: str(c[1]) for c in expected.description}
     assert sorted(described) == columns
     kinds = {f.name: f.dataType.simpleString() for f in result.schema}

@@ -21,12 +21,13 @@ from tests.fixtures import (
     random_lines,
 )
 
-STATE_A = [
-    line(1, 3, 2, 1, "2022-01-01", "2022-03-31", 3, "1650.00"),
-    line(101, 4, 3, 2, "2022-07-01", "2022-12-31", 6, "900.00"),
+#: Five whole months, and two and a half; then the first is renewed by an odd amount.
+BEFORE = [
+    line(5, 7, 3, 1, "2021-02-01", "2021-06-30", 5, "731.25"),
+    line(6, 2, 2, 2, "2021-05-01", "2021-07-15", "2.5", "400.00"),
 ]
-STATE_B = [*STATE_A, line(102, 5, 2, 1, "2022-04-01", "2022-06-30", 3, "1650.00")]
-PERIODS = month_rows(2022, 2023)
+AFTER = [*BEFORE, line(9, 8, 3, 1, "2021-07-01", "2021-08-31", 2, "301.01")]
+PERIODS = month_rows(2021, 2024)
 
 
 def D(text):
@@ -52,59 +53,83 @@ def detail(spark, lines, periods, dims, **options):
 
 
 def months(names, *row):
-    return [(*row[:-1], f"{name} 2022", row[-1]) for name in names.split()]
+    return [(*row[:-1], f"{name} 2021", row[-1]) for name in names.split()]
 
 
-SPOTIFY_LIKE = [
-    *months("Jul Aug Sep Oct Nov Dec", 4, "Music", "New", None, D("150.00")),
-    (None, "Music", "Churn", 4, "Jan 2023", D("150.00")),
+FIRST = months("Feb Mar Apr May Jun", 7, "GT-1", "New", None, D("146.25"))
+SECOND = [
+    *months("May Jun", 2, "RT-2", "New", None, D("160.00")),
+    *months("Jul", 2, "RT-2", "New", None, D("80.00")),
+    (None, "RT-2", "Churn", 2, "Jul 2021", D("160.00")),
 ]
 
 
 def test_detail_before_the_renewal(spark, periods, dims):
-    assert detail(spark, STATE_A, periods, dims) == [
-        *months("Jan Feb Mar", 3, "Films", "New", None, D("550.00")),
-        (None, "Films", "Churn", 3, "Apr 2022", D("550.00")),
-        *SPOTIFY_LIKE,
+    assert detail(spark, BEFORE, periods, dims) == [
+        *FIRST,
+        (None, "GT-1", "Churn", 7, "Jul 2021", D("146.25")),
+        *SECOND,
     ]
 
 
 def test_detail_after_the_renewal(spark, periods, dims):
-    assert detail(spark, STATE_B, periods, dims) == [
-        *months("Jan Feb Mar", 3, "Films", "New", None, D("550.00")),
-        *months("Apr May Jun", 5, "Films", "Renewal", 3, D("550.00")),
-        (None, "Films", "Churn", 5, "Jul 2022", D("550.00")),
-        *SPOTIFY_LIKE,
+    assert detail(spark, AFTER, periods, dims) == [
+        *FIRST,
+        *months("Jul", 8, "GT-1", "Renewal", 7, D("150.51")),
+        *months("Aug", 8, "GT-1", "Renewal", 7, D("150.50")),
+        (None, "GT-1", "Churn", 8, "Sep 2021", D("150.51")),
+        *SECOND,
     ]
 
 
-@pytest.mark.parametrize(("lines", "rows"), [(STATE_A, 11), (STATE_B, 14)])
-def test_summary_of_both_states(spark, periods, lines, rows):
-    got = [tuple(x) for x in r.report_summary(lines_frame(spark, lines), periods).collect()]
-    assert len(got) == rows
-    assert got[0] == ("Jan 2022", "New", D("550.00"))
-    assert got[-1] == ("Jan 2023", "Churn", D("150.00"))
-    if lines is STATE_B:
-        assert got[6:8] == [("Jul 2022", "Churn", D("550.00")), ("Jul 2022", "New", D("150.00"))]
+def test_summary_of_both_states(spark, periods):
+    def summary(lines):
+        return [tuple(x) for x in r.report_summary(lines_frame(spark, lines), periods).collect()]
+
+    until_june = [
+        *((f"{name} 2021", "New", D("146.25")) for name in ("Feb", "Mar", "Apr")),
+        *((f"{name} 2021", "New", D("306.25")) for name in ("May", "Jun")),
+    ]
+    assert summary(BEFORE) == [
+        *until_june,
+        ("Jul 2021", "Churn", D("306.25")),
+        ("Jul 2021", "New", D("80.00")),
+    ]
+    assert summary(AFTER) == [
+        *until_june,
+        ("Jul 2021", "Churn", D("160.00")),
+        ("Jul 2021", "New", D("80.00")),
+        ("Jul 2021", "Renewal", D("150.51")),
+        ("Aug 2021", "Renewal", D("150.50")),
+        ("Sep 2021", "Churn", D("150.51")),
+    ]
 
 
 def test_monthly_schedule(spark, periods, dims):
-    rows = r.monthly_mrr(lines_frame(spark, STATE_A), periods, dims[0]).collect()
-    assert [x["mrr"] for x in rows] == [D("550.00")] * 3 + [D("150.00")] * 6
-    assert tuple(rows[0]) == (
-        "Invoice #3", D("3"), D("1650.00"), date(2022, 1, 1), 1, "Jan 2022", D("550.00"),
-    )
+    rows = r.monthly_mrr(lines_frame(spark, BEFORE), periods, dims[0]).collect()
+    assert [x["mrr"] for x in rows] == [D("160.00")] * 2 + [D("80.00")] + [D("146.25")] * 5
+    assert tuple(rows[0]) == ("B-2", D("2.5"), D("400.00"), date(2021, 5, 1), 5, "May 2021", D("160.00"))
 
 
 def test_previous_transactions(spark, dims):
     transactions, items, customers = dims
-    rows = r.previous_transaction(lines_frame(spark, STATE_B), customers, transactions, items)
+    rows = r.previous_transaction(lines_frame(spark, AFTER), customers, transactions, items)
     assert [(x[0], x["previousenddate"], x["previoustranid"]) for x in rows.collect()] == [
-        (3, None, None),
-        (4, None, None),
-        (5, date(2022, 3, 31), 3),
+        (2, None, None),
+        (7, None, None),
+        (8, date(2021, 6, 30), 7),
     ]
-    assert tuple(rows.first())[1:4] == ("Invoice #3", "Ada Vale", "Films")
+    assert tuple(rows.first())[1:4] == ("B-2", "Ines Moreau", "RT-2")
+
+
+def test_display_values_and_names(spark, periods, dims):
+    """References are shown by their display value, names where a report names them."""
+    df = lines_frame(spark, BEFORE)
+    assert {(x["transaction"], x["item"]) for x in r.lifecycle(df, *dims).collect()} == {
+        ("Bill 7", "Garden tools"), ("Bill 2", "Roof tiles"), (None, "Garden tools"), (None, "Roof tiles"),
+    }
+    shown = r.lifecycle_mrr(df, periods, *dims).where("transaction is not null").collect()
+    assert {(x["transaction"], x["item"]) for x in shown} == {("Bill 7", "GT-1"), ("Bill 2", "RT-2")}
 
 
 def test_unknown_customers_are_left_out_of_previous_transactions_only(spark, periods, dims):
@@ -117,7 +142,7 @@ def test_unknown_customers_are_left_out_of_previous_transactions_only(spark, per
 
 @pytest.mark.parametrize(
     ("lines", "kinds"),
-    [(STATE_A, {"New": 2, "Churn": 2}), (STATE_B, {"New": 2, "Renewal": 1, "Churn": 2})],
+    [(BEFORE, {"New": 2, "Churn": 2}), (AFTER, {"New": 2, "Renewal": 1, "Churn": 2})],
 )
 def test_order_type_report(spark, dims, lines, kinds):
     rows = r.lifecycle(lines_frame(spark, lines), *dims).collect()
@@ -139,24 +164,42 @@ def test_names(spark, periods, dims):
     by_type = {x["transactionid"]: x["customer"] for x in r.lifecycle(df, *dims).collect()}
     assert (by_type[1], by_type[2]) == (" X", "Old Name")
     in_detail = {x["tranid"]: x["customer"] for x in r.lifecycle_mrr(df, periods, *dims).collect()}
-    assert (in_detail[1], in_detail[2]) == (" X", "Acme")
+    assert (in_detail[1], in_detail[2]) == (" X", "Brick & Co")
 
 
-def test_cap_drops_the_partial_month_of_the_longest_term(spark, periods, dims):
+def test_every_month_counts_unless_truncated(spark, periods, dims):
     short = line(1, 1, 2, 1, "2022-01-01", "2022-04-15", "3.5", 1000)
     year = line(2, 2, 3, 2, "2022-01-01", "2022-12-31", 12, 100)
-    alone = [x for x in detail(spark, [short], periods, dims) if x[0] == 1]
-    assert [x[-1] for x in alone] == [D("285.71")] * 3
-    assert detail(spark, [short], periods, dims)[-1] == (
-        None, "Films", "Churn", 1, "Apr 2022", D("285.71"),
-    )
-    uncapped = [x for x in detail(spark, [short], periods, dims, cap="none") if x[0] == 1]
-    assert [x[-1] for x in uncapped] == [D("285.71")] * 3 + [D("142.87")]
-    both = detail(spark, [short, year], periods, dims)
+    whole = [x for x in detail(spark, [short], periods, dims) if x[0] == 1]
+    assert [x[-1] for x in whole] == [D("285.71")] * 3 + [D("142.87")]
+    cut = detail(spark, [short], periods, dims, truncated=True)
+    assert [x[-1] for x in cut if x[0] == 1] == [D("285.71")] * 3
+    assert cut[-1] == (None, "GT-1", "Churn", 1, "Apr 2022", D("285.71"))
+    both = detail(spark, [short, year], periods, dims, truncated=True)
     assert [x[-1] for x in both if x[0] == 1] == [D("285.71")] * 3 + [D("142.87")]
     assert [x[-1] for x in both if x[0] == 2] == [D("8.33")] * 11 + [D("8.37")]
 
 
+def test_extreme_amounts_cost_their_own_line_only(spark, periods, dims):
+    lines = [
+        line(1, 1, 2, 1, "2022-01-01", "2022-01-31", "0.000001", "9999999999999999.99"),
+        line(2, 2, 3, 2, "2022-01-01", "2022-02-28", 2, "9999999999999999.99"),
+        line(3, 3, 3, 1, "2022-01-01", "2022-01-31", "-0.000001", "-9999999999999999.99"),
+        line(4, 4, 4, 1, "2022-01-01", "2022-01-31", 1, 10),
+        line(5, 5, 4, 2, "2022-01-01", "2022-01-31", "0.999999", "9999999999999999.99"),
+    ]
+    rows = detail(spark, lines, periods, dims)
+    shown = {x[0]: [y[-1] for y in rows if y[0] == x[0]] for x in rows if x[0]}
+    assert shown[1] == [D("9999999999999999.99")]
+    assert shown[2] == [D("5000000000000000.00"), D("4999999999999999.99")]
+    assert shown[4] == [D("10.00")]
+    churned = {x[3]: x[-1] for x in rows if x[2] == "Churn"}
+    assert (churned[1], churned[3], churned[4]) == (None, None, D("10.00"))
+    df = lines_frame(spark, lines)
+    assert r.report_summary(df, periods).count() > 0
+    assert r.monthly_mrr(df, periods, dims[0]).count() == 6
+
+
 def test_period_numbers(spark):
     def numbers(*terms):
         lines = [line(n, n, 2, 1, "2022-01-01", None, term, 1) for n, term in enumerate(terms)]
@@ -189,6 +232,7 @@ def test_no_expansion_without_positive_term_or_transaction(spark, periods, dims)
 
 
 def test_months_without_period_stay_in_detail_only(spark, periods, dims):
+    periods = periods.where("startdate < '2024-01-01'")
     lines = [line(1, 1, 2, 1, "2023-12-01", "2024-01-31", 2, 20)]
     assert [x[-2:] for x in detail(spark, lines, periods, dims)] == [
         ("Dec 2023", D("10.00")),
@@ -219,41 +263,44 @@ def test_month_end_starts_stay_at_month_end(spark, dims):
 
 def test_period_longer_than_centuries(spark, dims):
     ever = dict(PERIODS[0], startdate=date(1, 1, 1), enddate=date(9999, 12, 31), periodname="Ever")
-    rows = detail(spark, STATE_A, periods_frame(spark, [ever]), dims)
+    rows = detail(spark, BEFORE, periods_frame(spark, [ever]), dims)
     assert {x[-2] for x in rows} == {"Ever"}
 
 
 def test_filters(spark, periods, dims):
-    whole = detail(spark, STATE_B, periods, dims)
-    july = [x for x in whole if x[-2] == "Jul 2022"]
-    assert detail(spark, STATE_B, periods, dims, churn_period=7) == [x for x in july if x[2] == "Churn"]
-    assert detail(spark, STATE_B, periods, dims, period=7, ordertype="New") == [
-        x for x in july if x[2] == "New"
+    whole = detail(spark, AFTER, periods, dims)
+    july = [x for x in whole if x[-2] == "Jul 2021"]
+    assert len(july) == 3
+    assert detail(spark, AFTER, periods, dims, churn_period=7) == [x for x in july if x[2] == "Churn"]
+    for kind in ("New", "Renewal"):
+        assert detail(spark, AFTER, periods, dims, period=7, ordertype=kind) == [
+            x for x in july if x[2] == kind
+        ]
+    assert detail(spark, AFTER, periods, dims, period=8, ordertype="Renewal") == [
+        x for x in whole if x[-2] == "Aug 2021"
     ]
-    assert detail(spark, STATE_B, periods, dims, period=5, ordertype="Renewal") == [
-        x for x in whole if x[-2] == "May 2022"
-    ]
-    assert detail(spark, STATE_B, periods, dims, period=7, ordertype="Churn") == []
-    assert detail(spark, STATE_B, periods, dims, ordertype="Churn") == [
+    assert detail(spark, AFTER, periods, dims, period=7, ordertype="Churn") == []
+    assert detail(spark, AFTER, periods, dims, period=12345) == []
+    assert detail(spark, AFTER, periods, dims, ordertype="Churn") == [
         x for x in whole if x[2] == "Churn"
     ]
     with pytest.raises(ValueError, match="not both"):
-        detail(spark, STATE_B, periods, dims, period=7, churn_period=7)
+        detail(spark, AFTER, periods, dims, period=7, churn_period=7)
 
 
 def test_month_window_keeps_contracts_outside_it(spark, periods, dims):
-    rows = detail(spark, STATE_A, periods, dims, between=("2022-02-01", "2022-03-01"))
+    rows = detail(spark, BEFORE, periods, dims, between=("2021-03-01", "2021-04-01"))
     assert [x for x in rows if x[2] == "New"] == [
-        *months("Feb Mar", 3, "Films", "New", None, D("550.00")),
-        (4, "Music", "New", None, None, None),
+        *months("Mar Apr", 7, "GT-1", "New", None, D("146.25")),
+        (2, "RT-2", "New", None, None, None),
     ]
 
 
 def test_summary_window(spark, periods):
-    df = lines_frame(spark, STATE_B)
+    df = lines_frame(spark, AFTER)
     whole = r.report_summary(df, periods).collect()
-    shown = r.report_summary(df, periods, between=("2022-04-01", "2022-07-15")).collect()
-    assert shown == whole[3:8]
+    shown = r.report_summary(df, periods, between=("2021-04-01", "2021-07-15")).collect()
+    assert shown == whole[2:8]
 
 
 def random_setup(spark, seed):
@@ -267,27 +314,27 @@ def random_setup(spark, seed):
 @pytest.mark.parametrize("seed", range(3))
 def test_random_reports_equal_definition(spark, dims, seed):
     lines, rows, df, periods = random_setup(spark, seed)
-    cap = ["reference", "none", "reference"][seed]
+    truncated = [True, False, True][seed]
     between = [None, None, ("2020-03-15", "2020-11-20")][seed]
     hot = [None, df.select(*t.KEY).distinct(), None][seed]
 
-    want = brute.monthly(lines, rows, cap)
-    got = r.monthly_mrr(df, periods, dims[0], cap=cap)
+    want = brute.monthly(lines, rows, truncated)
+    got = r.monthly_mrr(df, periods, dims[0], truncated=truncated)
     assert Counter(x[1:] for x in want) == Counter(tuple(x)[1:] for x in got.collect())
 
-    want = brute.detail(lines, rows, cap, between)
-    got = r.report_drilldown(df, periods, between=between, cap=cap, hot=hot).collect()
+    want = brute.detail(lines, rows, truncated, between)
+    got = r.report_drilldown(df, periods, between=between, truncated=truncated, hot=hot).collect()
     assert Counter((x[3], x[5], x[6], x[7]) for x in want) == Counter(map(tuple, got))
-    got = r.lifecycle_mrr(df, periods, *dims, between=between, cap=cap, hot=hot).collect()
+    got = r.lifecycle_mrr(df, periods, *dims, between=between, truncated=truncated, hot=hot).collect()
     assert Counter((x[0], x[3], x[4], x[6], x[7]) for x in want) == Counter(
         (x["tranid"], x["ordertype"], x["previoustranid"], x["postingperiod"], x["mrr"]) for x in got
     )
 
-    got = r.report_summary(df, periods, months_between=between, cap=cap, hot=hot).collect()
+    got = r.report_summary(df, periods, months_between=between, truncated=truncated, hot=hot).collect()
     assert Counter(brute.summary(want, rows)) == Counter(map(tuple, got))
     window = ("2020-02-01", "2020-09-30")
     got = r.report_summary(
-        df, periods, between=window, months_between=between, cap=cap, hot=hot
+        df, periods, between=window, months_between=between, truncated=truncated, hot=hot
     ).collect()
     assert Counter(brute.summary(want, rows, window)) == Counter(map(tuple, got))
 
@@ -323,7 +370,7 @@ def test_unions_equal_definition(spark):
 
 def test_months_add_up_to_the_amount(spark, dims, periods):
     lines = [x for x in random_lines(21, 300, missing=0) if x["term"] > 0]
-    rows = r.monthly_mrr(lines_frame(spark, lines), periods.limit(0), dims[0], cap="none")
+    rows = r.monthly_mrr(lines_frame(spark, lines), periods.limit(0), dims[0])
     total = rows.agg({"mrr": "sum"}).first()[0]
     assert total == sum(x["amount"] for x in lines)
 
@@ -331,7 +378,9 @@ def test_months_add_up_to_the_amount(spark, dims, periods):
 def test_reports_are_ordered(spark, dims):
     lines, rows, df, periods = random_setup(spark, 5)
     _, items, customers = dims
-    numbers = df.where("tranid is not null").selectExpr("tranid as id", "lpad(tranid, 5, '0') as trandisplayname")
+    numbers = df.where("tranid is not null").selectExpr(
+        "tranid as id", "lpad(tranid, 5, '0') as trandisplayname", "lpad(tranid, 5, '0') as display"
+    )
     people = customers.unionByName(
         spark.createDataFrame([(n, "A", "B", "T", None) for n in (0, 1)], customers.schema)
     )

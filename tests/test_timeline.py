@@ -36,6 +36,42 @@ def test_order_types_equal_definition(spark, seed, way):
     assert by_line(rows) == by_line(brute.typed(lines))
 
 
+def repeated_lines(seed):
+    """Lines that occur several times, ids that repeat, and equal places with other amounts."""
+    lines = random_lines(seed, 120, customers=2, days=60, missing=0.08)
+    same = [dict(x) for n, x in enumerate(lines) if n % 3 == 0]
+    other = [dict(x, amount=x["amount"] and x["amount"] + 1) for n, x in enumerate(lines) if n % 5 == 0]
+    renamed = [dict(x, line_id=x["line_id"] + 7) for n, x in enumerate(lines) if n % 4 == 0]
+    return lines + same + same[:10] + other + renamed
+
+
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("columns", [slice(None), slice(0, 4)])
+def test_repeated_lines_give_the_same_rows_either_way(spark, seed, columns):
+    df = lines_frame(spark, repeated_lines(seed))
+    if columns.stop:
+        df = df.select("line_id", "tranid", *t.KEY, "startdate", "enddate")
+    keys = df.select(*t.KEY).distinct()
+    plain, *others = (
+        Counter(map(tuple, t.order_types(df, hot=hot).collect()))
+        for hot in (None, keys, keys.where("customerid is null or itemid = 1"))
+    )
+    assert sum(plain.values()) == df.count()
+    assert all(rows == plain for rows in others)
+
+
+def test_one_line_repeated_looks_before_once_and_behind_once(spark):
+    once = line(1, 1, 2, 1, "2022-01-01", "2022-03-31", 3, 300)
+    around = [
+        line(0, 9, 2, 1, "2021-10-01", "2021-12-31", 3, 300),
+        line(3, 8, 2, 1, "2022-04-01", "2022-06-30", 3, 300),
+    ]
+    df = lines_frame(spark, [once, once, once, *around])
+    for hot in (None, df.select(*t.KEY).distinct()):
+        gaps = [(r["gapwithprevious"], r["gapwithnext"]) for r in spark_rows(df, hot=hot) if r["line_id"] == 1]
+        assert sorted(gaps) == [(-89, -89), (-89, 1), (1, -89)]
+
+
 def test_hot_timelines_are_found_exactly(spark):
     lines = random_lines(3, 600, customers=5, missing=0.2)
     df = lines_frame(spark, lines)
