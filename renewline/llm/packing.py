@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from renewline.llm.common import positions, row_salt
+from renewline.llm.common import part_of, positions, row_salt
 
 BUCKETS = 16
 #: Padded tokens of a batch.
@@ -113,8 +113,9 @@ def pack(
     sizes = F.array(*(F.lit(b) for b in bounds))
     room = F.array(*(F.lit(max(1, budget // max(1, b))) for b in bounds))
     placed = rows.withColumn("bucket", bucket.cast("int"))
-    salt = F.pmod(F.xxhash64("doc_id", "n_tokens"), F.lit(row_salt(total, rows_per_task)))
-    placed = positions(placed, ["bucket"], [F.col("doc_id"), F.col("n_tokens")], salt)
+    order = ["doc_id", "n_tokens"]
+    salt = part_of(order, row_salt(total, rows_per_task))
+    placed = positions(placed, ["bucket"], [F.col(c) for c in order], salt)
     index = F.col("bucket") + 1
     return placed.select(
         "doc_id",

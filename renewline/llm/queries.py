@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from renewline.llm import langid, licenses, mainhtml, neighbours, packing, repeats, secrets, sharding, simhash, tiling
+from renewline.llm import (
+    langid,
+    licenses,
+    mainhtml,
+    neighbours,
+    oracles,
+    packing,
+    repeats,
+    secrets,
+    sharding,
+    simhash,
+    tiling,
+)
 
 QUERIES = {
     "op1_secret_scan": secrets.op1_secret_scan,
@@ -16,5 +28,4 @@ QUERIES = {
     "op9_nearest_neighbours": neighbours.op9_nearest_neighbours,
     "op10_language_id": langid.op10_language_id,
 }
-
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = oracles.ORACLE_SQL

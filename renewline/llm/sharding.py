@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from renewline.llm.common import row_salt
+from renewline.llm.common import materialize, part_of, row_salt
 
 SHARDS = 8
 #: Bits of each dimension.
@@ -101,7 +101,7 @@ def shard_by_curve(
     The slot numbers the rows of a shard from 0 in curve order.
     """
     total = rows.count()
-    salt = F.pmod(F.xxhash64(*order), F.lit(row_salt(total, rows_per_task)))
+    salt = part_of(order, row_salt(total, rows_per_task))
     parts = rows.withColumns(
         {"_coarse": F.shiftright(F.col(index), index_bits - coarse_bits), "_part": salt}
     )
@@ -156,7 +156,10 @@ def op2_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         text_size(F.col("text")).alias("size"),
         F.coalesce(F.crc32("text"), F.lit(0)).cast("long").alias("text_crc32"),
     )
-    cells = sized.select("doc_id", "size", "text_crc32", hilbert_index(levels(sized)).alias("hilbert"))
+    # Texts are read once; numbering works on the narrow rows.
+    cells = materialize(
+        sized.select("doc_id", "size", "text_crc32", hilbert_index(levels(sized)).alias("hilbert"))
+    )
     sharded = shard_by_curve(cells, "hilbert", ["doc_id", "size", "text_crc32"])
     return sharded.select(
         "doc_id",
