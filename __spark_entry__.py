@@ -60,7 +60,7 @@ def _period_numbers(spark, d):
 
 def _expand_term(spark, d):
     expanded = schedule.expand_term(orders.contract_lines(spark, d))
-    return expanded.withColumn("computed", F.round("computed", 2).cast("decimal(18,2)"))
+    return expanded.withColumn("computed", F.col("computed").cast("decimal(38,15)"))
 
 
 def _monthly_mrr(spark, d):
@@ -581,7 +581,8 @@ FROM (SELECT DISTINCT line_id, cents FROM lines WHERE tranid IS NOT NULL AND t >
         + "SELECT CAST(unnest(range(1, n + 1)) AS INTEGER) AS period FROM longest",
         "expand_term": _with(_LINES, _EXPANDED)
         + f"""SELECT tranid AS id, customerid, itemid, {_TERM} AS term, {_money("cents")} AS amount,
-       period, {_money("rate")} AS computed,
+       period, CAST(CAST((2 * CAST(cents AS HUGEINT) * 1000000000000000 + t) // (2 * t) AS DECIMAL(22,0))
+                    * CAST(0.000000000000001 AS DECIMAL(16,15)) AS DECIMAL(38,15)) AS computed,
        CASE WHEN t % 100 = 0 THEN 'No' ELSE 'Yes' END AS ispartialterm
 FROM expanded""",
         "monthly_mrr": _with(_LINES, _PERIODS, _EXPANDED)
