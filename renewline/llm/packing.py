@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from renewline.llm.common import part_of, positions, row_salt
+from renewline.llm.common import materialize, part_of, positions, row_salt
 
 BUCKETS = 16
 #: Padded tokens of a batch.
@@ -105,7 +105,8 @@ def pack(
     Batches are numbered from 0 within a bucket; rows come in a hashed order.
     """
     tokens = length if length is not None else word_count(F.col(text))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), tokens.cast("int").alias("n_tokens"))
+    # Texts are read once; the histogram and the numbering work on the narrow rows.
+    rows = materialize(docs.select(F.col(doc_id).alias("doc_id"), tokens.cast("int").alias("n_tokens")))
     bins = histogram(rows)
     bounds = boundaries(bins, buckets) or [0]
     total = sum(b[1] for b in bins)
