@@ -10,8 +10,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Rows of one Arrow batch. Texts can be long, so batches are kept small.
+#: Rows and bytes of one Arrow batch. Texts can be long, so batches are kept small.
 BATCH_ROWS = 512
+BATCH_BYTES = 32 << 20
 
 
 def scratch_folder(spark: SparkSession) -> str:
@@ -51,11 +52,12 @@ def _delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Limit the rows of an Arrow batch, so that Python workers hold few texts at once."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(name, "10000")) > rows:
-        spark.conf.set(name, str(rows))
+def small_batches(spark: SparkSession) -> None:
+    """Limit the rows and bytes of an Arrow batch, so that Python workers hold few texts at once."""
+    prefix = "spark.sql.execution.arrow."
+    if int(spark.conf.get(f"{prefix}maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set(f"{prefix}maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set(f"{prefix}maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def row_salt(df_rows: int, rows_per_task: int) -> int:
