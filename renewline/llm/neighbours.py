@@ -98,9 +98,12 @@ class Tables:
 
 def usable(vectors: DataFrame, vec_id: str, vector: str) -> tuple[DataFrame, int, float, float]:
     """Rows that take part as (id, v), their dimension, largest and smallest length."""
-    v = F.col("v")
+    v = F.col("v").cast("array<double>")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    rows = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    # Single-precision vectors are moved as they are and widened where they are scored.
+    kind = vectors.schema[vector].dataType.simpleString()
+    moved = F.col(vector) if kind == "array<float>" else F.col(vector).cast("array<double>")
+    rows = vectors.select(F.col(vec_id).cast("long").alias("id"), moved.alias("v"))
     rows = rows.where(F.col("id").isNotNull() & v.isNotNull() & (F.size(v) > 0))
     rows = rows.where(finite & F.exists(v, lambda x: x != 0))
     length = F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
@@ -115,7 +118,7 @@ def usable(vectors: DataFrame, vec_id: str, vector: str) -> tuple[DataFrame, int
 
 def _matrix(column: pa.ChunkedArray | pa.Array, dims: int) -> np.ndarray:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims).astype(np.float64)
 
 
 def _with_buckets(rows: DataFrame, dims: int, buckets) -> DataFrame:
@@ -129,7 +132,8 @@ def _with_buckets(rows: DataFrame, dims: int, buckets) -> DataFrame:
                 listed = pa.ListArray.from_arrays(offsets, pa.array(found.ravel().astype(np.int32)))
                 yield pa.record_batch([*batch.columns, listed], names=["id", "v", "b"])
 
-    return rows.select("id", "v").mapInArrow(add, "id long, v array<double>, b array<int>")
+    kind = rows.schema["v"].dataType.simpleString()
+    return rows.select("id", "v").mapInArrow(add, f"id long, v {kind}, b array<int>")
 
 
 def _best(query_ids, queries, ids, vectors, count: int):
@@ -218,8 +222,10 @@ def nearest(
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     index = Tables(dims, longest, shortest, tables)
     asked = rows.where(F.col("id") % every == 0)
-    filed = _with_buckets(rows, dims, index.file)
-    found = _search(filed, _with_buckets(asked, dims, lambda v: index.probe(v, probes)), dims, count, chunk_rows)
+    # Hashed once; the bucket counts and the search both read the stored buckets.
+    filed = materialize(_with_buckets(rows, dims, index.file))
+    probed = materialize(_with_buckets(asked, dims, lambda v: index.probe(v, probes)))
+    found = _search(filed, probed, dims, count, chunk_rows)
     found = materialize(_top(found, count))
     enough = found.groupBy("query_id").count().where(F.col("count") >= count)
     short = materialize(asked.join(enough, asked.id == enough.query_id, "left_anti"))
