@@ -40,6 +40,8 @@ BLOCK = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table "
     "caption tbody td tfoot th thead tr ul".split()
 )
+#: They mark the article.
+MARKS = ("article", "main")
 HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 #: Never article text.
 SKIPPED = frozenset(
@@ -61,15 +63,19 @@ CLOSES = {
 #: Implied ends don't reach beyond these.
 SCOPE = frozenset("article aside body blockquote div footer header html main nav section table td th ul ol dl form".split())
 
-#: Words of a class or id that name boilerplate.
+#: Classes and ids that name boilerplate as a whole.
 BOILERPLATE = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments "
-    "comment-list commentlist respond disqus cookie cookies cookie-banner cookie-notice consent gdpr notice notices "
-    "alert popup modal overlay footer site-footer page-footer site-header page-header masthead menu navbar nav "
-    "navigation topbar toolbar sidebar side-bar related recommended promo promotion share sharing social "
-    "social-share newsletter subscribe signup login search pagination pager skip-link widget sponsor sponsored "
-    "reader-comments user-comments reviews-list tags toc".split()
+    "ad ads adv adsense footer nav notice notices alert overlay topbar toolbar masthead search pagination pager "
+    "skip-link widget tags toc signup login subscribe site-footer page-footer site-header page-header respond".split()
 )
+#: And those that name it as one of their words, as in comments-area or post-comments.
+BOILERPLATE_WORDS = frozenset(
+    "advert adverts advertisement advertisements advertising banner breadcrumb breadcrumbs comment comments "
+    "commentlist disqus cookie cookies consent gdpr popup modal menu navbar navigation sidebar related recommended "
+    "promo promotion share sharing social newsletter sponsor sponsored".split()
+)
+#: A class that starts with one of these tells about the page, not about the part.
+STATES = frozenset("has with without no is not".split())
 ROLES = frozenset("navigation banner contentinfo complementary search alert dialog menu menubar form".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
@@ -80,32 +86,50 @@ _BROKEN = re.compile(r"<(?:/?[A-Za-z][^<>]*|!-?-?[^>]*)\Z")
 
 
 class Node:
-    __slots__ = ("name", "parent", "children", "skipped", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("name", "parent", "children", "skipped", "suspect", "marked", "chars", "tags", "link_chars", "link_tags", "density", "sum")
 
     def __init__(self, name: str, parent: Node | None, skipped: bool):
         self.name, self.parent, self.skipped = name, parent, skipped
+        self.suspect = self.marked = False
         self.children: list[Node | str] = []
 
 
-def _boilerplate(name: str, attributes: str, parent: Node) -> bool:
+def _never(name: str, attributes: str, parent: Node) -> bool:
+    """Whether an element is left out with all it holds."""
     if name in SKIPPED:
         return True
     if name == "header":
-        return not _inside(parent, ("article", "main"))
-    if not attributes or name in ("html", "body", "article", "main"):
-        return False
-    for m in _ATTRIBUTE.finditer(attributes):
-        key = m[1].lower()
-        value = (m[2] or m[3] or m[4] or "").lower()
-        if key in ("class", "id") and not BOILERPLATE.isdisjoint(re.split(r"[\s_]+", value)):
-            return True
-        if key == "role" and value in ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
+        return not _inside(parent, MARKS)
+    for key, value in _attributes(name, attributes):
+        if key == "hidden" or key == "aria-hidden" and value == "true":
             return True
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return True
     return False
 
 
+def _suspect(name: str, attributes: str, parent: Node) -> bool:
+    """Whether class, id or role name an element as boilerplate; it stays if it holds the article."""
+    for key, value in _attributes(name, attributes):
+        if key == "role" and value in ROLES:
+            return True
+        if key in ("class", "id"):
+            for part in re.split(r"[\s_]+", value):
+                words = part.split("-")
+                if part in BOILERPLATE or words[0] not in STATES and not BOILERPLATE_WORDS.isdisjoint(words):
+                    return True
+                if part == "header" and not _inside(parent, MARKS):
+                    return True
+    return False
+
+
+def _attributes(name: str, attributes: str) -> list[tuple[str, str]]:
+    if not attributes or name in ("html", "body", *MARKS):
+        return []
+    found = _ATTRIBUTE.finditer(attributes)
+    return [(m[1].lower(), (m[2] or m[3] or m[4] or "").lower()) for m in found]
+
+
 def _inside(node: Node | None, names: tuple[str, ...]) -> bool:
     while node is not None:
         if node.name in names:
@@ -138,7 +162,7 @@ def parse(page: str) -> Node:
                 here = _open(here, name, False)
             continue
         here = _imply(here, name)
-        skipped = here.skipped or _boilerplate(name, m[3], here)
+        skipped = here.skipped or _never(name, m[3], here)
         if name in VOID or m[3].endswith("/") and name not in BLOCK and name not in RAW:
             if name in ("br", "hr", "wbr", "img") and not skipped:
                 here.children.append(" " if name != "wbr" else "")
@@ -153,10 +177,22 @@ def parse(page: str) -> Node:
             tail = page.find(">", closing.start()) if closing else end
             at = tail + 1 if tail >= 0 else end
             continue
+        suspect = not skipped and _suspect(name, m[3], here)
         here = _open(here, name, skipped)
+        here.suspect = suspect
+    _prune(root)
     return root
 
 
+def _prune(root: Node) -> None:
+    """Take out suspect elements, unless the page marks its article within them."""
+    order = _nodes(root)
+    for node in reversed(order):
+        node.marked = node.name in MARKS or any(isinstance(c, Node) and c.marked for c in node.children)
+    for node in order:
+        node.children = [c for c in node.children if isinstance(c, str) or not c.suspect or c.marked]
+
+
 def _open(here: Node, name: str, skipped: bool) -> Node:
     node = Node(name, here, skipped)
     if not skipped:
@@ -235,7 +271,7 @@ def _marked(root: Node) -> Node:
     found, stack = [], [root]
     while stack:
         node = stack.pop()
-        if node.name in ("article", "main") and node.chars:
+        if node.name in MARKS and node.chars:
             found.append(node)
         else:
             stack += [c for c in node.children if isinstance(c, Node)]

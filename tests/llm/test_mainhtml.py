@@ -26,6 +26,15 @@ CASES = {
         f'<section id="comments"><p>{C}</p></section><div role="alert">Careful</div></main><div class="cookie-notice">We use</div>{SIDE}</body>',
         ["T", A, B],
     ),
+    "boilerplate by one word of a class": (
+        f'<body class="has-sidebar"><div class="layout with-sidebar"><article><p>{A}</p><div class="post-comments"><p>no</p></div>'
+        f'<div class="comments-area" id="c1"><p>no</p></div><p>{B}</p></article></div><div class="left_sidebar"><p>{C}</p></div></body>',
+        [A, B],
+    ),
+    "article within a suspect element": (
+        f'<body><div class="banner wrapper"><p>no</p><main><p>{A}</p></main></div><div class="header"><p>Site</p></div></body>',
+        [A],
+    ),
     "blocks and white space": (
         "<article><p>a  b\n\tc<br>d</p><ul><li>one<li>two</ul>loose <i>text</i> here<table><tr><td>x<td>y</table><pre>p  q</pre></article>",
         ["a b c d", "one", "two", "loose text here", "x", "y", "p q"],
