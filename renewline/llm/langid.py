@@ -126,7 +126,9 @@ class ByteNet:
         grads["embed"] = embed
         return grads
 
-    def fit(self, data: np.ndarray, target: np.ndarray, epochs: int = EPOCHS, batch: int = 64, rate: float = 3e-3, seed: int = 7) -> ByteNet:
+    def fit(
+        self, data: np.ndarray, target: np.ndarray, epochs: int = EPOCHS, batch: int = 64, rate: float = 3e-3, seed: int = 7
+    ) -> ByteNet:
         """Adam over shuffled batches."""
         rng = np.random.default_rng(seed)
         mean = {k: np.zeros_like(v) for k, v in self.weights.items()}

@@ -301,11 +301,11 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **opti
     """
     found = near_duplicates(docs, doc_id, text, **options)
     first = found.where(F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id")))
-    chosen = first.groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("k"))
+    chosen = first.groupBy("root", "component_id").agg(F.min("text_hash").alias("_hash"))
     chosen = chosen.select(
-        F.coalesce("k.doc_id", F.lit(0).cast("long")).alias("_id"),
-        F.col("k.doc_id").isNull().alias("_missing"),
-        F.col("k.text_hash").alias("_hash"),
+        F.coalesce("component_id", F.lit(0).cast("long")).alias("_id"),
+        F.col("component_id").isNull().alias("_missing"),
+        "_hash",
     )
     key = ["_id", "_missing", "_hash"]
     keyed = docs.withColumns(
