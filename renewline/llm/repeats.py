@@ -19,7 +19,8 @@ bucket, so they meet there.
    periodic text, is flagged when it is made and goes on.)
 2. If all runs of a bucket have the same content, all their strings are repeated.
 3. The rest is refined: runs of equal content become one, and the strings of each are
-   sorted on (bucket, bucket of full length). Only these positions move one by one.
+   sorted on (bucket, bucket of full length). The names of a run move as one list, unless
+   its bucket has many runs; then every position moves on its own.
 
 A bucket of any size only meets aggregations with map-side combining and joins whose
 row side can be split. The two names a match is judged by have 128 bits together.
@@ -34,13 +35,16 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from renewline.llm.common import materialize, small_batches
 
 #: Bytes of a repeated string.
 LENGTH = 400
+#: Runs of a bucket up to which its strings are compared in one task. Beyond that, they
+#: are counted map-side and looked up by their names, whatever the number.
+TOGETHER = 250
 #: Bytes that are named at once; longer texts are cut into overlapping pieces.
 BLOCK = 1 << 18
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -177,7 +181,7 @@ def _all_runs(keyed: DataFrame, length: int) -> DataFrame:
     return keyed.select("k1", "k2", "text").mapInArrow(make, _RUNS)
 
 
-def _marks(keyed: DataFrame, length: int) -> DataFrame:
+def _marks(keyed: DataFrame, length: int, together: int) -> DataFrame:
     """Per document key: ``whole``, runs repeated throughout, and ``parts``, runs to refine.
 
     Of parts with equal content one document's run stands for all; those runs are whole
@@ -201,7 +205,9 @@ def _marks(keyed: DataFrame, length: int) -> DataFrame:
     classes = materialize(classes)
     mixed = mixed.join(classes, ["bucket", "content"])
     span = F.struct("start", "n")
-    part = F.struct("bucket", "start", "n", (F.col("copies") == 1).alias("alone"))
+    part = F.struct(
+        "bucket", "start", "n", (F.col("copies") == 1).alias("alone"), (F.col("rows") <= together).alias("together")
+    )
     keys = ["k1", "k2"]
     rows = whole.select(*keys, span.alias("whole"), F.lit(None).alias("part")).unionByName(
         mixed.select(
@@ -235,11 +241,14 @@ def _kept(data: bytes, removed: list[tuple[int, int]]) -> bytes:
     return b"".join(out)
 
 
-_PARTS = "array<struct<bucket:long,start:int,n:int,alone:boolean>>"
+_PARTS = "array<struct<bucket:long,start:int,n:int,alone:boolean,together:boolean>>"
+
 
+def _windows(texts: DataFrame, length: int, together: bool) -> DataFrame:
+    """The names of all strings of the parts, in lists: bucket, document key, start, alone, names.
 
-def _windows(texts: DataFrame, length: int) -> DataFrame:
-    """The strings of all parts: bucket, name, document key, start, alone."""
+    ``together`` picks the parts of buckets that are compared in one task, or the others.
+    """
 
     def make(batches):
         for batch in batches:
@@ -248,10 +257,12 @@ def _windows(texts: DataFrame, length: int) -> DataFrame:
             for k1, k2, text, parts in zip(table["k1"], table["k2"], table["text"], table["parts"]):
                 data = text.encode()
                 for part in parts:
+                    if part["together"] != together:
+                        continue
                     # A long run goes in cuts, so that no group is larger than a block.
                     for at in range(part["start"], part["start"] + part["n"], BLOCK):
                         n = min(BLOCK, part["start"] + part["n"] - at)
-                        pending.append((k1, k2, part["bucket"], part["alone"], at, n, data[at : at + n + length - 1]))
+                        pending.append((part["bucket"], k1, k2, at, part["alone"], n, data[at : at + n + length - 1]))
                         size += n + length
                         if size >= BLOCK:
                             yield _named(pending, length)
@@ -259,40 +270,60 @@ def _windows(texts: DataFrame, length: int) -> DataFrame:
             if pending:
                 yield _named(pending, length)
 
-    schema = "bucket long, name long, k1 long, k2 long, start int, alone boolean"
+    schema = "bucket long, k1 long, k2 long, start int, alone boolean, names array<long>"
     return texts.select("k1", "k2", "text", "parts").mapInArrow(make, schema)
 
 
 def _named(pending: list[tuple], length: int) -> pa.RecordBatch:
-    k1, k2, bucket, alone, at, n, data = zip(*pending)
+    *columns, n, data = zip(*pending)
     n = np.array(n)
     _, full = names(np.frombuffer(b"".join(data), np.uint8), length)
     begin = np.concatenate(([0], np.cumsum(n + length - 1)[:-1]))
-    within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    columns = [
-        pa.array(np.repeat(np.array(bucket, np.int64), n)),
-        _long(full[np.repeat(begin, n) + within]),
-        pa.array(np.repeat(np.array(k1, np.int64), n)),
-        pa.array(np.repeat(np.array(k2, np.int64), n)),
-        pa.array((np.repeat(np.array(at), n) + within).astype(np.int32)),
-        pa.array(np.repeat(np.array(alone, bool), n)),
-    ]
-    return pa.record_batch(columns, names=["bucket", "name", "k1", "k2", "start", "alone"])
-
-
-def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
+    ends = np.cumsum(n)
+    within = np.arange(ends[-1]) - np.repeat(ends - n, n)
+    listed = pa.ListArray.from_arrays(
+        pa.array(np.concatenate(([0], ends)).astype(np.int32)), _long(full[np.repeat(begin, n) + within])
+    )
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()]
+    arrays = [*(pa.array(c, k) for c, k in zip(columns, kinds)), listed]
+    return pa.record_batch(arrays, names=["bucket", "k1", "k2", "start", "alone", "names"])
+
+
+def _positions(lists: DataFrame) -> DataFrame:
+    """One row per string: bucket, name, document key, start, alone."""
+    exploded = lists.select("bucket", "k1", "k2", "start", "alone", F.posexplode("names").alias("at", "name"))
+    return exploded.select("bucket", "name", "k1", "k2", (F.col("start") + F.col("at")).alias("start"), "alone")
+
+
+def _repeated_starts(open_: DataFrame, length: int) -> DataFrame:
+    """Document key and start of every string of a lone part that occurs elsewhere too."""
+    # Buckets of few runs: the lists meet by bucket, and are sorted on the names there.
+    near = _positions(_windows(open_, length, True).repartition("bucket"))
+    places = F.count("*").over(Window.partitionBy("bucket", "name"))
+    near = near.withColumn("places", places).where("places > 1 and alone").select("k1", "k2", "start")
+    # Buckets of many: names are counted on the map side, and strings look theirs up.
+    far = _positions(_windows(open_, length, False))
+    repeated = far.groupBy("bucket", "name").agg(F.count("*").alias("places")).where("places > 1")
+    repeated = materialize(repeated.select("bucket", "name"))
+    found = far.where("alone").join(repeated, ["bucket", "name"]).select("k1", "k2", "start")
+    return near.unionByName(found)
+
+
+def remove_repeats(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, together: int = TOGETHER
+) -> DataFrame:
     """Remove every byte under a string of ``length`` bytes that starts anywhere else too.
 
     One row per document: ``doc_id``, ``n_bytes``, ``n_removed``, ``spans`` (maximal
     removed runs as start and end in bytes) and ``kept``, the remaining bytes.
     """
-    return _removed(docs, doc_id, text, length, digest=False)
+    return _removed(docs, doc_id, text, length, together, digest=False)
 
 
-def _removed(docs: DataFrame, doc_id: str, text: str, length: int, digest: bool) -> DataFrame:
+def _removed(docs: DataFrame, doc_id: str, text: str, length: int, together: int, digest: bool) -> DataFrame:
     small_batches(docs.sparkSession)
     keyed = _keyed(docs, doc_id, text)
-    marks = materialize(_marks(keyed, length))
+    marks = materialize(_marks(keyed, length, together))
     joined = keyed.join(marks, ["k1", "k2"], "left")
     # What depends on no part is settled here, so that its text moves once.
     kept = "kept string" if digest else "kept binary"
@@ -309,7 +340,8 @@ def _removed(docs: DataFrame, doc_id: str, text: str, length: int, digest: bool)
 
     def first(batches):
         more = ["k1", "k2", "text", "whole", "parts"]
-        part = pa.struct([("bucket", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("alone", pa.bool_())])
+        part = [("bucket", pa.int64()), ("start", pa.int32()), ("n", pa.int32())]
+        part = pa.struct([*part, ("alone", pa.bool_()), ("together", pa.bool_())])
         run = pa.struct([("start", pa.int32()), ("n", pa.int32())])
         types = [*kinds, pa.int64(), pa.int64(), pa.string(), pa.list_(run), pa.list_(part)]
         for batch in batches:
@@ -332,10 +364,7 @@ def _removed(docs: DataFrame, doc_id: str, text: str, length: int, digest: bool)
     stage = materialize(stage)
     done = stage.where("parts is null").select(*columns)
     open_ = stage.where("parts is not null").select("doc_id", "k1", "k2", "text", "whole", "parts")
-    windows = _windows(open_, length)
-    repeated = windows.groupBy("bucket", "name").agg(F.count("*").alias("places")).where("places > 1")
-    repeated = materialize(repeated.select("bucket", "name"))
-    starts = windows.where("alone").join(repeated, ["bucket", "name"]).select("k1", "k2", "start")
+    starts = _repeated_starts(open_, length)
     # Starts within one document, so no more than its length.
     starts = starts.groupBy("k1", "k2").agg(F.collect_set("start").alias("starts"))
 
@@ -356,7 +385,7 @@ def _removed(docs: DataFrame, doc_id: str, text: str, length: int, digest: bool)
 def op3_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes removed from every document, and a digest of the rest."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    found = _removed(docs, "doc_id", "text", LENGTH, digest=True)
+    found = _removed(docs, "doc_id", "text", LENGTH, TOGETHER, digest=True)
     return found.select(
         "doc_id",
         "n_bytes",
