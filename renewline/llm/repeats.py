@@ -44,7 +44,7 @@ from renewline.llm.common import materialize, small_batches
 LENGTH = 400
 #: Runs of a bucket up to which its strings are compared in one task. Beyond that, they
 #: are counted map-side and looked up by their names, whatever the number.
-TOGETHER = 250
+TOGETHER = 1_000
 #: Bytes that are named at once; longer texts are cut into overlapping pieces.
 BLOCK = 1 << 18
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
