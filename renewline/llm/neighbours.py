@@ -4,9 +4,11 @@ A table rotates unit vectors with a fast pseudo-rotation (three rounds of random
 and a Hadamard transform) and files each under its nearest signed axis. A query probes,
 in every table, the axes it is nearest to; the rows filed there are scored exactly.
 
-Nearness is the largest inner product of the original vectors. Where lengths differ,
-candidates get one more component that brings them to the largest length, and queries
-get 0 there; angles then order candidates as inner products do.
+Nearness is the largest inner product of the original vectors. Candidates are put into
+ranges of length, each reaching a fifth down from its longest, and filed by direction
+within their range, so that angles order a range nearly as inner products do.
+A query probes every range. Neighbouring ranges of few rows are joined into one bucket
+that every query searches: long vectors are near at wide angles, where hashing misses.
 
 Buckets are of any size: one above ``chunk_rows`` candidates or queries is cut into a
 grid of chunks, each row of chunks meeting each column of chunks once, so no pair is
@@ -29,8 +31,12 @@ from pyspark.sql import functions as F
 from renewline.llm.common import materialize
 
 TABLES = 8
-#: Axes that a query probes in each table.
+#: Axes that a query probes in each table and range, at least.
 PROBES = 16
+#: Longest length of a range by its shortest.
+RANGE = 1.25
+#: Where lengths differ, ranges below this many rows per neighbour asked for are searched whole.
+WHOLE = 25
 CHUNK_ROWS = 8_192
 NEIGHBOURS = 20
 #: Scores held at once.
@@ -60,40 +66,57 @@ def axes(vectors: np.ndarray, signs: np.ndarray) -> np.ndarray:
 
 
 class Tables:
-    """The pseudo-rotations of all tables, for vectors of ``dims`` components."""
+    """The pseudo-rotations of all tables, for vectors of ``dims`` components, and their ranges of length."""
 
     def __init__(self, dims: int, longest: float, shortest: float, tables: int = TABLES, seed: int = 11):
         self.longest = longest
-        # Lengths that agree up to rounding need no further component.
-        self.extend = shortest < longest * (1 - 1e-6)
-        self.dims = 1 << max(1, int(np.ceil(np.log2(dims + self.extend))))
+        # A range of length reaches down to a fixed share of its longest; rounding opens none.
+        self.ranges = 1 + max(0, int(np.log(longest / shortest) / np.log(RANGE) - 1e-6))
+        self.dims = 1 << max(1, int(np.ceil(np.log2(dims))))
         self.signs = np.random.default_rng(seed).choice([-1.0, 1.0], (tables, _ROUNDS, self.dims))
-
-    def _unit(self, vectors: np.ndarray, candidate: bool) -> np.ndarray:
-        lengths = np.linalg.norm(vectors, axis=1, keepdims=True)
-        if not self.extend:
-            return vectors / lengths
-        if not candidate:
-            return np.concatenate([vectors / lengths, np.zeros_like(lengths)], axis=1)
-        scaled = vectors / self.longest
-        rest = np.sqrt(np.maximum(0, 1 - (lengths / self.longest) ** 2))
-        return np.concatenate([scaled, rest], axis=1)
-
-    def file(self, vectors: np.ndarray) -> np.ndarray:
-        """One bucket per table for each candidate."""
-        unit = self._unit(vectors, True)
+        self.group(np.zeros(self.ranges, np.int64), 0)
+
+    def group(self, sizes: np.ndarray, least: int) -> None:
+        """Give each range its buckets; neighbouring ones of fewer than ``least`` rows share a single bucket."""
+        least = least if self.ranges > 1 else 0
+        self.first, self.hashed = np.zeros(self.ranges, np.int64), sizes >= least
+        at = held = 0
+        for i, n in enumerate(sizes.tolist()):
+            # A joined bucket ends where a hashed range or one row too many follows.
+            if held and (self.hashed[i] or held + n > least):
+                at, held = at + 1, 0
+            self.first[i] = at
+            if self.hashed[i]:
+                at += 2 * self.dims * len(self.signs)
+            else:
+                held += n
+        # Each joined bucket once; ranges without rows need none.
+        self.whole = np.unique(self.first[~self.hashed & (sizes > 0)])
+
+    def range_of(self, vectors: np.ndarray) -> np.ndarray:
+        """The range of length of each vector, from 0 for the longest."""
+        down = np.log(self.longest / np.linalg.norm(vectors, axis=1)) / np.log(RANGE) - 1e-6
+        return np.clip(down.astype(np.int64), 0, self.ranges - 1)
+
+    def file(self, vectors: np.ndarray) -> list[np.ndarray]:
+        """One bucket per table for each candidate, or the only one of its range."""
+        unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
         found = [axes(unit, s).argmax(axis=1) + 2 * self.dims * t for t, s in enumerate(self.signs)]
-        return np.stack(found, axis=1)
+        at = self.range_of(vectors)
+        every = np.stack(found, axis=1) + self.first[at, None]
+        return [row if hashed else np.array([first]) for row, hashed, first in zip(every, self.hashed[at], self.first[at])]
 
     def probe(self, vectors: np.ndarray, probes: int, tables: int | None = None) -> np.ndarray:
-        """The nearest ``probes`` buckets per table for each query."""
-        unit = self._unit(vectors, False)
+        """The nearest ``probes`` buckets per table and range for each query, and all joined buckets."""
+        unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
         probes = min(probes, 2 * self.dims)
         found = []
         for t, s in enumerate(self.signs[:tables]):
             near = np.argpartition(-axes(unit, s), probes - 1, axis=1)[:, :probes]
             found.append(near + 2 * self.dims * t)
-        return np.concatenate(found, axis=1)
+        near = np.concatenate(found, axis=1)
+        whole = np.broadcast_to(self.whole, (len(vectors), len(self.whole)))
+        return np.concatenate([*(near + first for first in self.first[self.hashed]), whole], axis=1)
 
 
 def usable(vectors: DataFrame, vec_id: str, vector: str) -> tuple[DataFrame, int, float, float]:
@@ -128,14 +151,32 @@ def _with_buckets(rows: DataFrame, dims: int, buckets) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 found = buckets(_matrix(batch.column(1), dims))
-                offsets = np.arange(0, found.size + 1, found.shape[1], dtype=np.int32)
-                listed = pa.ListArray.from_arrays(offsets, pa.array(found.ravel().astype(np.int32)))
+                offsets = np.cumsum([0, *(len(row) for row in found)], dtype=np.int32)
+                listed = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(found).astype(np.int32)))
                 yield pa.record_batch([*batch.columns, listed], names=["id", "v", "b"])
 
     kind = rows.schema["v"].dataType.simpleString()
     return rows.select("id", "v").mapInArrow(add, f"id long, v {kind}, b array<int>")
 
 
+def _range_sizes(rows: DataFrame, dims: int, index: Tables) -> np.ndarray:
+    """Rows in each range of length."""
+
+    def count(batches):
+        sizes = np.zeros(index.ranges, np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                sizes += np.bincount(index.range_of(_matrix(batch.column(0), dims)), minlength=index.ranges)
+        held = np.flatnonzero(sizes)
+        yield pa.record_batch([pa.array(held), pa.array(sizes[held])], names=["range", "n"])
+
+    found = rows.select("v").mapInArrow(count, "range long, n long").groupBy("range").agg(F.sum("n").alias("n"))
+    sizes = np.zeros(index.ranges, np.int64)
+    for r in found.collect():
+        sizes[r["range"]] = r["n"]
+    return sizes
+
+
 def _best(query_ids, queries, ids, vectors, count: int):
     """Per query the ``count`` candidates of largest score, ties to smaller ids."""
     order = np.argsort(ids, kind="stable")
@@ -221,6 +262,10 @@ def nearest(
     if not dims:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     index = Tables(dims, longest, shortest, tables)
+    if index.ranges > 1:
+        index.group(_range_sizes(rows, dims, index), WHOLE * count)
+    # More axes need more probes for the same recall.
+    probes = max(probes, index.dims // 3 if index.dims > 64 else 0)
     asked = rows.where(F.col("id") % every == 0)
     # Hashed once; the bucket counts and the search both read the stored buckets.
     filed = materialize(_with_buckets(rows, dims, index.file))

@@ -88,3 +88,34 @@ def test_rotation_keeps_angles():
     x = np.random.default_rng(5).normal(size=(20, 24))
     turned = neighbours.axes(x, neighbours.Tables(24, 1.0, 1.0).signs[0])[:, :32]
     assert np.allclose(turned @ turned.T, x @ x.T)
+
+
+@pytest.mark.parametrize("lengths", ["outlier", "uniform", "lognormal"])
+def test_recall_where_lengths_differ(spark, lengths):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(4_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if lengths == "outlier":
+        x[7] *= 2
+    else:
+        x *= (rng.uniform(0.5, 2, 4_000) if lengths == "uniform" else rng.lognormal(size=4_000))[:, None]
+    vectors = {i: v.astype(np.float32).astype(np.float64) for i, v in enumerate(x)}
+    found = collected(neighbours.nearest(table(spark, [v.tolist() for v in x])))
+    expected = brute(vectors)
+    assert found.keys() == expected.keys() and all(len(f) == 20 for f in found.values())
+    got = recall(found, expected)
+    print(f"recall {lengths} {got:.4f}")
+    assert got >= 0.95
+
+
+def test_every_range_has_its_buckets():
+    index = neighbours.Tables(8, 4.0, 0.001)
+    sizes = np.array([3, 0, 4, 900, 2, 0, 5, 700, *[6] * (index.ranges - 8)])
+    index.group(sizes, 10)
+    assert index.hashed.tolist() == [n >= 10 for n in sizes]
+    # Ranges that share a bucket lie side by side and hold no more rows than one may.
+    for first in index.whole:
+        at = np.flatnonzero(index.first == first)
+        assert at.tolist() == list(range(at[0], at[-1] + 1)) and sizes[at].sum() <= 10 and not index.hashed[at].any()
+    starts = [(f, 2 * index.dims * len(index.signs) if h else 1) for f, h in sorted(set(zip(index.first.tolist(), index.hashed.tolist())))]
+    assert all(f + n <= g for (f, n), (g, _) in zip(starts, starts[1:]))
