@@ -11,8 +11,11 @@ with counts of 0 taken as 1. A node's sum is the sum of its children's densities
 node with the largest sum is the core of the article. The smallest density on the path
 from it up to the body, the body left out, is the threshold: beside the core, every
 subtree that hangs off that path and reaches the threshold belongs to the article too,
-and so do headings, of which only the first rank counts right below the body. Where the
-page marks an article or main element, the one of largest sum is taken whole.
+and so do headings, of which only the first rank counts right below the body.
+
+Article and main elements are a weight and a check on that. Beside the core, parts
+within a marked element count ``MARK_WEIGHT`` times their density. Where marked parts
+hold most of the text chosen, all of them that were chosen stay and the rest goes.
 
 The text comes block by block in page order, character references decoded, white space
 within a block as one blank, blocks joined by two line breaks. Null and empty pages,
@@ -42,6 +45,8 @@ BLOCK = frozenset(
 )
 #: They mark the article.
 MARKS = ("article", "main")
+#: Density of a part within a marked element, as compared with the threshold.
+MARK_WEIGHT = 4.0
 HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 #: Never article text.
 SKIPPED = frozenset(
@@ -266,47 +271,61 @@ def _nodes(node: Node) -> list[Node]:
     return out
 
 
-def _marked(root: Node) -> Node:
-    """The article or main element of largest sum, outermost ones only; else the root."""
+def _marks(root: Node) -> list[Node]:
+    """The outermost article and main elements that hold text, in page order."""
     found, stack = [], [root]
     while stack:
         node = stack.pop()
         if node.name in MARKS and node.chars:
             found.append(node)
         else:
-            stack += [c for c in node.children if isinstance(c, Node)]
+            stack += [c for c in reversed(node.children) if isinstance(c, Node)]
     # Within a main element, a single article is the closer mark.
     if len(found) == 1 and found[0].name == "main":
         inner = [n for n in _nodes(found[0]) if n.name == "article" and n.chars]
         if len(inner) == 1:
-            return inner[0]
-    return max(found, key=lambda n: (n.sum, n.chars)) if found else root
+            return inner
+    return found
 
 
 def select(root: Node) -> list[Node]:
     """Subtrees that make up the article, in page order."""
-    top = _marked(root)
-    if top is not root:
-        # The page says where its article ends; only what was skipped is left out.
-        return [top]
-    core = max(_nodes(top), key=lambda n: (n.sum, n.chars))
+    chosen = _dense(root)
+    marks = _marks(root)
+    within = {id(n) for mark in marks for n in _nodes(mark)}
+    starts = {id(mark) for mark in marks}
+    kept: list[Node] = []
+    for node in chosen:
+        # A part outside the marks is cut down to those it holds.
+        kept += [node] if id(node) in within else [n for n in _nodes(node) if id(n) in starts]
+    if 2 * sum(n.chars for n in kept) > sum(n.chars for n in chosen):
+        return kept
+    return chosen
+
+
+def _dense(root: Node) -> list[Node]:
+    """The core and what reaches the threshold beside it, in page order."""
+    core = max(_nodes(root), key=lambda n: (n.sum, n.chars))
     path = [core]
     threshold = core.density
-    while path[-1] is not top:
+    while path[-1] is not root:
         path.append(path[-1].parent)
         if path[-1].name not in ("html", "body"):
             threshold = min(threshold, path[-1].density)
 
-    def belongs(child: Node | str, parent: Node) -> bool:
+    def belongs(child: Node | str, parent: Node, weight: float) -> bool:
         ranks = ("h1",) if parent.name in ("html", "body") else HEADINGS
-        return isinstance(child, Node) and child.chars > 0 and (child.density >= threshold or child.name in ranks)
+        return isinstance(child, Node) and child.chars > 0 and (child.density * weight >= threshold or child.name in ranks)
 
     before: list[Node] = []
     after: list[list[Node]] = []
+    weight = 1.0
     for parent, inner in zip(reversed(path), reversed(path[:-1])):
+        if parent.name in MARKS:
+            weight = MARK_WEIGHT
         at = next(i for i, child in enumerate(parent.children) if child is inner)
-        before += [c for c in parent.children[:at] if belongs(c, parent)]
-        after.append([c for c in parent.children[at + 1 :] if belongs(c, parent)])
+        before += [c for c in parent.children[:at] if belongs(c, parent, weight)]
+        after.append([c for c in parent.children[at + 1 :] if belongs(c, parent, weight)])
     return [*before, core, *(c for group in reversed(after) for c in group)]
 
 

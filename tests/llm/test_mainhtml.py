@@ -91,3 +91,20 @@ def test_query(spark, tmp_path):
     assert {r.text for r in rows if r.page_id == 100} == {""}
     empty = data.parquet(df.where("false"), tmp_path, "pages")
     assert mainhtml.op7_main_text(spark, empty).count() == 0
+
+
+D, E = (data.prose(s, 60) for s in (4, 5))
+
+
+@pytest.mark.parametrize("page,blocks", [
+    # All parts of a split article stay, text between them goes.
+    (f"<body>{MENU}<article><p>{A}</p><p>{B}</p></article><p>Advertisement</p><article><p>{C}</p></article><article><p>{D}</p></article></body>", [A, B, C, D]),
+    # A mark on a teaser does not outweigh the dense part of the page.
+    (f"<body><article><p>Short teaser.</p></article><div><p>{A}</p><p>{B}</p><p>{C}</p></div></body>", [A, B, C]),
+    # A list of links within the mark falls short of the threshold.
+    (f"<body><article><div><p>{A}</p><p>{B}</p><p>{C}</p></div><ul>" + "".join(f'<li><a href="/{i}">link {i}</a></li>' for i in range(9)) + "</ul></article></body>", [A, B, C]),
+    # Sections below the average density of their article stay.
+    (f"<body><article><section><p>{A}</p><p>{B}</p><p>{C}</p></section><section><p>{D}</p><p>{E[:90]}</p><p>{E[:60]}</p></section></article></body>", [A, B, C, D, E[:90].strip(), E[:60].strip()]),
+])
+def test_density_decides_on_marked_pages(page, blocks):
+    assert mainhtml.main_text(page) == "\n\n".join(blocks)
