@@ -6,8 +6,10 @@ the text, and a rule runs only if its keyword occurs. Matches are accepted in th
 of priority, then length, then place; a match inside an accepted one of another rule is
 suppressed. Three base phrases are counted beside that and never suppressed.
 
-Rules are made of hand-written names and hand-written frames ("licensed under the ...",
-"spdx license identifier ...") and of hand-written passages of single licenses.
+Rules are made of hand-written names and hand-written frames ("licensed under the ..."),
+of SPDX identifiers after their tag, alone or in expressions, of short names where a
+license is spoken of ("released under the MIT", "AGPL licensed"), and of hand-written
+passages of single licenses.
 
 Words are runs of ASCII letters and digits and of all other non-ASCII characters, with
 A-Z in lower case. Null and empty texts have no words, no labels and score 0.
@@ -87,15 +89,104 @@ NAMES = {
     "proprietary": ["proprietary license", "commercial license", "end user license agreement"],
 }
 
+_UNDER = r"(?:is |are )?(?:released|licensed|distributed|available|provided|published) under (?:the )?(?:terms of (?:the )?)?"
+
 #: Frames around a name: expression, priority, score.
 FRAMES = [
-    (r"spdx license identifier {name}", 90, 1.0),
-    (r"(?:is |are )?(?:released|licensed|distributed|available|provided|published) under (?:the )?(?:terms of (?:the )?)?{name}", 80, 0.95),
+    (_UNDER + "{name}", 80, 0.95),
     (r"(?:subject to|governed by|covered by) (?:the )?(?:terms of (?:the )?)?{name}", 75, 0.9),
     (r"(?:see|read) (?:the )?{name}", 65, 0.8),
     (r"{name}", 50, 0.7),
 ]
 
+#: SPDX identifiers as words; they count after their tag only.
+SPDX = {
+    "mit": ["mit", "x11", "mit cmu", "mit modern variant"],
+    "mit-0": ["mit 0"],
+    "apache-1.0": ["apache 1 0"],
+    "apache-1.1": ["apache 1 1"],
+    "apache-2.0": ["apache 2(?: 0)?"],
+    "gpl-1.0": ["gpl 1 0(?: only| or later)?"],
+    "gpl-2.0": ["gpl 2(?: 0)?(?: only| or later)?", "gplv2"],
+    "gpl-3.0": ["gpl 3(?: 0)?(?: only| or later)?", "gplv3"],
+    "lgpl-2.0": ["lgpl 2 0(?: only| or later)?"],
+    "lgpl-2.1": ["lgpl 2 1(?: only| or later)?", "lgplv2 1"],
+    "lgpl-3.0": ["lgpl 3(?: 0)?(?: only| or later)?", "lgplv3"],
+    "agpl-1.0": ["agpl 1 0(?: only| or later)?"],
+    "agpl-3.0": ["agpl 3(?: 0)?(?: only| or later)?", "agplv3"],
+    "0bsd": ["0bsd"],
+    "bsd-1-clause": ["bsd 1 clause"],
+    "bsd-2-clause": ["bsd 2 clause(?: patent| views)?"],
+    "bsd-3-clause": ["bsd 3 clause(?: clear| lbnl| attribution| modification)?"],
+    "bsd-4-clause": ["bsd 4 clause(?: uc| shortened)?"],
+    "mpl-1.0": ["mpl 1 0"],
+    "mpl-1.1": ["mpl 1 1"],
+    "mpl-2.0": ["mpl 2 0(?: no copyleft exception)?"],
+    "epl-1.0": ["epl 1 0"],
+    "epl-2.0": ["epl 2 0"],
+    "isc": ["isc"],
+    "zlib": ["zlib", "zlib acknowledgement", "libpng(?: 2 0)?"],
+    "boost": ["bsl 1 0"],
+    "unlicense": ["unlicense"],
+    "cc0": ["cc0 1 0"],
+    "cc-by": ["cc by(?: [1-4] [05])?"],
+    "cc-by-sa": ["cc by sa(?: [1-4] [05])?"],
+    "cc-by-nc": ["cc by nc(?: [1-4] [05])?"],
+    "cc-by-nd": ["cc by nd(?: [1-4] [05])?"],
+    "cc-by-nc-sa": ["cc by nc sa(?: [1-4] [05])?"],
+    "cc-by-nc-nd": ["cc by nc nd(?: [1-4] [05])?"],
+    "artistic": ["artistic 1 0(?: perl| cl8)?", "artistic 2 0"],
+    "cddl": ["cddl 1 0", "cddl 1 1"],
+    "cpl": ["cpl 1 0"],
+    "eupl": ["eupl 1 [012]"],
+    "ofl": ["ofl 1 0(?: rfn| no rfn)?", "ofl 1 1(?: rfn| no rfn)?"],
+    "osl": ["osl [123] [01]"],
+    "afl": ["afl [123] [012]"],
+    "psf": ["psf 2 0", "python 2 0(?: 1)?"],
+    "php": ["php 3 0", "php 3 01"],
+    "ruby": ["ruby"],
+    "postgresql": ["postgresql"],
+    "openssl": ["openssl"],
+    "wtfpl": ["wtfpl"],
+    "ms-pl": ["ms pl"],
+    "ms-rl": ["ms rl"],
+    "upl": ["upl 1 0"],
+    "ncsa": ["ncsa"],
+    "gfdl": ["gfdl 1 1(?: only| or later)?", "gfdl 1 2(?: only| or later)?", "gfdl 1 3(?: only| or later)?", "gfdl 1 [123] (?:no )?invariants(?: only| or later)"],
+    "odbl": ["odbl 1 0"],
+    "sspl": ["sspl 1 0"],
+    "busl": ["busl 1 1"],
+    "blueoak": ["blueoak 1 0 0"],
+    "mulan": ["mulanpsl [12] 0"],
+    "vim": ["vim"],
+    "curl": ["curl"],
+    "zpl": ["zpl [12] [01]"],
+}
+#: Any one identifier of an expression, and what joins two; "or later" belongs to an identifier.
+_ONE = r"(?:(?!(?:or(?! later(?![^ ]))|and) )[a-z0-9]+ ){1,8}(?:or|and) "
+_TAG = "spdx license identifier "
+#: Frames around an identifier: first, second and third of an expression.
+SPDX_FRAMES = [(_TAG + _ONE * n + "{name}", 90 - n, 1.0) for n in range(3)]
+
+#: Short names; they count where a license is spoken of.
+SHORT = {
+    "mit": "mit", "apache": "apache", "gpl": "gpl", "lgpl": "lgpl", "agpl": "agpl", "bsd": "bsd", "isc": "isc",
+    "mpl": "mpl", "epl": "epl", "zlib": "zlib", "cc0": "cc0", "cddl": "cddl", "cpl": "cpl", "eupl": "eupl",
+    "ofl": "ofl", "osl": "osl", "afl": "afl", "gfdl": "gfdl", "odbl": "odbl", "sspl": "sspl", "busl": "busl",
+    "ncsa": "ncsa", "upl": "upl", "unlicense": "unlicense", "ms-pl": "ms pl", "ms-rl": "ms rl",
+}
+_SHORT_ONE = rf"(?:gnu )?(?:{'|'.join(SHORT.values())})(?: licen[cs]e)?(?: (?:version )?v?[1-4](?: [0-9])?)? (?:and |or )(?:the )?(?:gnu )?"
+#: A longer name goes on here, which rules of its own find.
+_LONGER = r"(?! (?:licen[cs]e|(?:version )?v?[1-4])(?![^ ]))"
+#: Frames around a short name, with a word that they hold besides.
+SHORT_FRAMES = [
+    (_UNDER + "{name}", 80, 0.95, "under"),
+    (_UNDER + _SHORT_ONE + "{name}" + _LONGER, 79, 0.95, "under"),
+    (_UNDER + _SHORT_ONE * 2 + "{name}" + _LONGER, 78, 0.95, "under"),
+    ("{name} licen[cs]ed", 65, 0.8, "licen"),
+    ("{name} licen[cs]e", 50, 0.7, "licen"),
+]
+
 #: Passages that single licenses hold, with their labels.
 PASSAGES = {
     "mit": [
@@ -158,6 +249,8 @@ class Rule:
     keyword: str
     priority: int
     score: float
+    #: A second keyword that every match holds.
+    also: str = ""
 
 
 def _keyword(pattern: str) -> str:
@@ -167,12 +260,22 @@ def _keyword(pattern: str) -> str:
 
 
 def rules() -> list[Rule]:
-    """All rules: every name in every frame, and the passages."""
+    """All rules: every name, identifier and short name in every frame of its kind, and the passages."""
     out = []
     for label, names in NAMES.items():
         for name in names:
             for frame, priority, score in FRAMES:
                 out.append(Rule(label, frame.format(name=name), _keyword(name), priority, score))
+    for label, names in SPDX.items():
+        for name in names:
+            for frame, priority, score in SPDX_FRAMES:
+                out.append(Rule(label, frame.replace("{name}", name), _keyword(name), priority, score, "spdx"))
+    written = {rule.pattern for rule in out}
+    for label, name in SHORT.items():
+        for frame, priority, score, also in SHORT_FRAMES:
+            pattern = frame.replace("{name}", name)
+            if pattern.replace("[cs]", "c") not in written:
+                out.append(Rule(label, pattern, _keyword(name), priority, score, also))
     for label, passages in PASSAGES.items():
         priority, score = _WEAK.get(label, (_PASSAGE_PRIORITY, _PASSAGE_SCORE))
         out += [Rule(label, p, _keyword(p), priority, score) for p in passages]
@@ -196,14 +299,17 @@ class Scanner:
         for i, rule in enumerate(self.rules):
             self.by_keyword.setdefault(rule.keyword, []).append(i)
         self.automaton = ahocorasick.Automaton()
-        for keyword in {*self.by_keyword, *BASE}:
-            self.automaton.add_word(keyword, keyword)
+        for keyword in {*self.by_keyword, *BASE, *(rule.also for rule in self.rules if rule.also)}:
+            # Short ones stand in many words, as mit in limit, and count as whole words only.
+            self.automaton.add_word(f" {keyword} " if len(keyword) < 5 else keyword, keyword)
         self.automaton.make_automaton()
 
     def detections(self, flat: str, keywords: set[str]) -> list[tuple[int, int, Rule]]:
         """Accepted matches (start, end, rule), in characters of the joined words."""
         found = []
         for i in sorted(i for k in keywords for i in self.by_keyword.get(k, ())):
+            if self.rules[i].also and self.rules[i].also not in keywords:
+                continue
             for m in self.compiled[i].finditer(flat):
                 found.append((m.start(), m.end(), self.rules[i]))
         found.sort(key=lambda d: (-d[2].priority, d[0] - d[1], d[0], d[2].label))
@@ -221,7 +327,7 @@ class Scanner:
         if not words:
             return 0, 0, None, None, "", "", 0.0, []
         flat = b" ".join(words).decode()
-        keywords = {k for _, k in self.automaton.iter(flat)}
+        keywords = {k for _, k in self.automaton.iter(f" {flat} ")}
         if not keywords:
             return len(words), 0, None, None, "", "", 0.0, []
         spaces = [m.start() for m in re.finditer(" ", flat)]

@@ -98,3 +98,37 @@ def test_intervals():
 
 def test_empty_table(spark, tmp_path):
     assert licenses.op6_license_scan(spark, data.parquet(data.documents(spark, []), tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize("text,expected", [
+    *((f"# SPDX-License-Identifier: {name}", label) for name, label in [
+        ("MIT", "mit"), ("MIT-0", "mit-0"), ("ISC", "isc"), ("Zlib", "zlib"), ("Unlicense", "unlicense"), ("BSL-1.0", "boost"),
+        ("Artistic-2.0", "artistic"), ("CDDL-1.0", "cddl"), ("OFL-1.1", "ofl"), ("PostgreSQL", "postgresql"), ("NCSA", "ncsa"),
+        ("MS-PL", "ms-pl"), ("GPL-2.0-or-later", "gpl-2.0"), ("CC-BY-NC-SA-4.0", "cc-by-nc-sa"), ("Apache-2.0 OR MIT", "apache-2.0,mit"),
+        ("(GPL-2.0-or-later OR MIT) AND BSD-3-Clause", "bsd-3-clause,gpl-2.0,mit"),
+    ]),
+    ("Released under the MIT", "mit"), ("Released under the GPL.", "gpl"), ("licensed under the LGPL", "lgpl"),
+    ("AGPL licensed", "agpl"), ("BSD licensed", "bsd"), ("Dual licensed under MIT and GPL", "gpl,mit"),
+    ("available under ISC or the MPL, and", "isc,mpl"), ("licensed under MIT and GPL v3", "gpl-3.0,mit"),
+    ("no limit under MIT rules", ""), ("the disc under mpl", ""),
+])
+def test_identifiers_and_short_names(scanner, text, expected):
+    found = scanner.scan(text)
+    assert found[5] == expected and (found[6] >= 0.8) == bool(expected)
+
+
+def test_every_identifier_and_short_name_in_every_frame(scanner):
+    for label, names in licenses.SPDX.items():
+        for name in names:
+            one = re.sub(r"\(\?:[^()]*\)\?", "", name).replace("  ", " ")
+            one = re.sub(r"\[(.)[^]]*\]", r"\1", one) if "invariants" not in one else "gfdl 1 1 invariants only"
+            for before in ("", "mit or ", "gpl 2 0 or later or mit and "):
+                assert label in labels(scanner, f"x spdx license identifier {before}{one}"), (label, before, one)
+    for label, name in licenses.SHORT.items():
+        for text in (f"released under the {name}", f"licensed under mit or {name}", f"licensed under bsd and mit and {name}", f"{name} licensed", f"{name} license"):
+            assert label in labels(scanner, text), text
+
+
+def test_no_two_rules_are_the_same():
+    found = licenses.rules()
+    assert len({r.pattern for r in found}) == len(found)
