@@ -4,7 +4,8 @@ Each stage takes (spark, docs, sf_dir), works on all rows the stage before kept,
 returns a DataFrame that is written as Parquet and read again by the next one. All but
 the last return the columns of ``documents``, extra ones included.
 
-1. ``language_id`` drops documents without a language (null text, no letter).
+1. ``language_id`` drops documents without a language (null text, no letter). Where no
+   document has a label to learn from, those with a letter all stay.
 2. ``simhash_dedup`` keeps the document with the smallest id of each group of near
    duplicates.
 3. ``decontaminate`` drops documents that hold at least half of a benchmark item.

@@ -237,14 +237,21 @@ def predict(docs: DataFrame, net: ByteNet | None, text: str = "text", columns: l
 
 
 def keep_identified(docs: DataFrame, net: ByteNet | None, text: str = "text") -> DataFrame:
-    """The rows whose text gets a label, all columns unchanged; rows without a letter go."""
+    """The rows whose text gets a label, all columns unchanged; rows without a letter go.
+
+    Without a network, where no row has a label to learn, every text with a letter stays.
+    """
     small_batches(docs.sparkSession)
     at = docs.columns.index(text)
 
     def keep(batches):
         for batch in batches:
-            names, _ = classify(net, batch.column(at).to_pylist())
-            yield batch.filter(pa.array([name != UNKNOWN for name in names], pa.bool_()))
+            texts = batch.column(at).to_pylist()
+            if net:
+                kept = [name != UNKNOWN for name in classify(net, texts)[0]]
+            else:
+                kept = [bool(t and _LETTER.search(t)) for t in texts]
+            yield batch.filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 from renewline.llm import langid, packing, tiling
 from tests.llm import data
 from tests.llm.test_secrets import brute
@@ -69,3 +70,15 @@ def test_stages_take_empty_tables(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet").where("false")
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, folder).count() == 0, name
+
+
+def test_documents_without_any_language_label_stay(spark, folder, tmp_path):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    bare = docs.withColumn("lang", F.lit(None).cast("string"))
+    data.parquet(bare, tmp_path)
+    data.parquet(spark.read.parquet(f"{folder}/benchmark.parquet"), tmp_path, "benchmark")
+    kept = corpus_pipeline.language_id(spark, bare, str(tmp_path)).collect()
+    expected = [r.doc_id for r in docs.collect() if r.text and langid._LETTER.search(r.text)]
+    assert sorted(map(str, expected)) == sorted(str(r.doc_id) for r in kept) and kept
+    found = {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    assert found == {r.doc_id for r in corpus_pipeline.run(spark, folder).collect()}
