@@ -1,16 +1,18 @@
 """Benchmark decontamination by greedy string tiling.
 
-Documents and test items are split into lower-case words. Items that share a run of
-``min_match`` words with a document are its candidates. A candidate whose shared runs
+Documents and test items are split into lower-case words; in scripts written without
+spaces every character is a word. Items that share a run of ``min_match`` words with a
+document are its candidates; items shorter than that must be found as a whole. A candidate whose shared runs
 could cover the threshold is tiled: search for common runs of a length by Karp-Rabin
 hashes, mark the longest that overlap nothing marked, halve the length, repeat down to
 ``min_match``. Coverage is the share of an item's words under tiles, so a passage whose
 sentences were reordered is found as well.
 
 The items go to the tasks in blocks of bounded size, so documents are not shuffled; a
-benchmark beyond one block takes one pass over the documents per block.
+benchmark beyond one block takes one pass over the documents per block, and the driver
+holds one block at a time.
 
-Null, empty and shorter texts than ``min_match`` words match nothing, on either side.
+Null texts and texts without words match nothing, on either side.
 Repeated documents are reported once per row, repeated items once.
 """
 
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from renewline.llm.common import small_batches
+from renewline.llm.common import materialize, small_batches
 
 #: Words a common run must have.
 MIN_MATCH = 5
@@ -32,12 +34,22 @@ THRESHOLD = 0.5
 #: Characters of items sent to every task at once.
 BLOCK_CHARS = 16_000_000
 
-_WORD = re.compile(r"\w+")
+#: Scripts written without spaces: Thai, Lao, Myanmar, Khmer, Tai, Balinese and Javanese, kana, bopomofo, Yi, Han.
+_UNSPACED = (
+    "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u1950-\u19df\u1a20-\u1aaf\u1b00-\u1b7f\u3005-\u3007\u3040-\u312f"
+    "\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\ua4cf\ua980-\ua9df\uaa60-\uaadf\uf900-\ufaff\uff66-\uff9f"
+    "\U0001b000-\U0001b16f\U00020000-\U0003ffff"
+)
+_SINGLE = re.compile(f"[{_UNSPACED}]")
+_PLAIN = re.compile(r"\w+")
+_WORD = re.compile(rf"(?=[{_UNSPACED}])\w|[^\W{_UNSPACED}]+")
 _BASE = 0x9E3779B97F4A7C15
 
 
 def words(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
+    if not text:
+        return []
+    return (_WORD if _SINGLE.search(text) else _PLAIN).findall(text.lower())
 
 
 def _hashes(ids: np.ndarray, length: int) -> np.ndarray:
@@ -121,7 +133,10 @@ def _scan(item, doc, item_used, doc_used, length: int) -> list[tuple[int, int, i
 
 
 class Items:
-    """A block of test items with an index of their runs of ``min_match`` words."""
+    """A block of test items with an index of their runs of ``min_match`` words.
+
+    Items of fewer words are indexed whole, by their length.
+    """
 
     def __init__(self, rows: list[tuple[int | None, str | None]], min_match: int = MIN_MATCH):
         self.min_match = min_match
@@ -130,17 +145,21 @@ class Items:
         self.words: list[np.ndarray] = []
         for item_id, text in rows:
             found = words(text)
-            if len(found) >= min_match:
+            if found:
                 numbers = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in found]
                 self.ids.append(item_id)
                 self.words.append(np.array(numbers, np.int64))
-        hashes = [_hashes(w, min_match) for w in self.words]
+        runs = np.array([min(min_match, len(w)) for w in self.words], np.int64)
+        self.index = {int(n): self._index(n, np.flatnonzero(runs == n)) for n in np.unique(runs)}
+
+    def _index(self, length: int, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes of all runs of ``length`` words of the given items in order, with item and place of each."""
+        hashes = [_hashes(self.words[i], length) for i in which]
         sizes = [len(h) for h in hashes]
-        every = np.concatenate([np.zeros(0, np.uint64), *hashes])
+        every = np.concatenate(hashes)
         order = np.argsort(every, kind="stable")
-        self.hashes = every[order]
-        self.item = np.repeat(np.arange(len(sizes)), sizes)[order]
-        self.place = np.concatenate([np.zeros(0, np.int64), *(np.arange(n) for n in sizes)])[order]
+        place = np.concatenate([np.arange(n) for n in sizes])
+        return every[order], np.repeat(which, sizes)[order], place[order]
 
     def number(self, text: str | None) -> np.ndarray:
         """Word numbers of a text; 0 for words that no item has."""
@@ -150,22 +169,26 @@ class Items:
 
     def candidates(self, doc: np.ndarray, threshold: float) -> list[int]:
         """Items whose runs shared with the document could cover the threshold."""
-        clear = np.flatnonzero(_clear(doc == 0, self.min_match)) if len(doc) >= self.min_match else []
-        if not len(clear) or not len(self.hashes):
+        return sorted(i for length in self.index for i in self._candidates(doc, length, threshold))
+
+    def _candidates(self, doc: np.ndarray, length: int, threshold: float) -> list[int]:
+        hashes, items, places = self.index[length]
+        clear = np.flatnonzero(_clear(doc == 0, length)) if len(doc) >= length else []
+        if not len(clear):
             return []
-        seeds = np.unique(_hashes(doc, self.min_match)[clear])
-        lo, hi = np.searchsorted(self.hashes, seeds), np.searchsorted(self.hashes, seeds, side="right")
+        seeds = np.unique(_hashes(doc, length)[clear])
+        lo, hi = np.searchsorted(hashes, seeds), np.searchsorted(hashes, seeds, side="right")
         n = hi - lo
         if not n.any():
             return []
         rows = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-        item, place = self.item[rows], self.place[rows]
+        item, place = items[rows], places[rows]
         order = np.lexsort((place, item))
         item, place = item[order], place[order]
         # Words under the union of the shared runs, per item.
-        step = np.full(len(item), self.min_match)
+        step = np.full(len(item), length)
         same = item[1:] == item[:-1]
-        step[:-1][same] = np.minimum(self.min_match, np.diff(place)[same])
+        step[:-1][same] = np.minimum(length, np.diff(place)[same])
         most = np.bincount(item, weights=step, minlength=len(self.words))
         return [i for i in np.unique(item).tolist() if most[i] >= threshold * len(self.words[i])]
 
@@ -174,31 +197,45 @@ class Items:
         doc = self.number(text)
         out = []
         for i in self.candidates(doc, threshold):
-            found = tiles(self.words[i], doc, self.min_match)
+            found = tiles(self.words[i], doc, min(self.min_match, len(self.words[i])))
             covered = sum(n for _, _, n in found)
             if found and covered >= threshold * len(self.words[i]):
                 out.append((i, covered, len(found)))
         return out
 
 
+class Blocks:
+    """The items in blocks of bounded size, each collected when it is its turn."""
+
+    def __init__(self, rows: DataFrame, count: int, min_match: int):
+        self.rows, self.count, self.min_match = rows, count, min_match
+
+    def __len__(self) -> int:
+        return self.count
+
+    def __iter__(self):
+        for n in range(self.count):
+            yield self._collect(n)
+
+    def _collect(self, n: int) -> Items:
+        block = F.pmod(F.xxhash64("text"), F.lit(self.count))
+        found = [tuple(r) for r in self.rows.where(block == n).collect()]
+        return Items(sorted(found, key=lambda r: (r[0] is None, r)), self.min_match)
+
+
 def item_blocks(
     benchmark: DataFrame, item_id: str = "item_id", text: str = "text",
     min_match: int = MIN_MATCH, block_chars: int = BLOCK_CHARS,
-) -> list[Items]:
+) -> Blocks:
     """The items in as many blocks as their total size needs, at least one."""
     rows = benchmark.select(F.col(item_id).cast("long").alias("id"), F.col(text).alias("text"))
     rows = rows.where("text is not null").distinct()
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    count = max(1, -(-total // block_chars))
-    block = F.pmod(F.xxhash64("text"), F.lit(count))
-    return [
-        Items(sorted((tuple(r) for r in rows.where(block == n).collect()), key=lambda r: (r[0] is None, r)), min_match)
-        for n in range(count)
-    ]
+    return Blocks(rows, max(1, -(-total // block_chars)), min_match)
 
 
 def find_leaks(
-    docs: DataFrame, blocks: list[Items], doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD
+    docs: DataFrame, blocks: Blocks, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD
 ) -> DataFrame:
     """One row per document and leaked item: ids, words of the item, words covered, tiles, coverage."""
     small_batches(docs.sparkSession)
@@ -219,17 +256,21 @@ def find_leaks(
         return run
 
     schema = "doc_id long, item_id long, item_words long, matched_words long, n_tiles long, coverage double"
-    found = [rows.mapInArrow(search(items), schema) for items in blocks]
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
+    out = None
+    for items in blocks:
+        found = rows.mapInArrow(search(items), schema)
+        if len(blocks) > 1:
+            found = materialize(found)
+        out = found if out is None else out.unionByName(found)
+        # Let go before the next block is collected.
+        del items
     return out
 
 
 LEAK_COLUMNS = ["doc_id", "item_id", "item_words", "matched_words", "n_tiles", "coverage"]
 
 
-def drop_leaked(docs: DataFrame, blocks: list[Items], text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def drop_leaked(docs: DataFrame, blocks: Blocks, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows in which no item reaches the threshold, all columns unchanged."""
     small_batches(docs.sparkSession)
     at = docs.columns.index(text)
@@ -244,6 +285,9 @@ def drop_leaked(docs: DataFrame, blocks: list[Items], text: str = "text", thresh
 
     for items in blocks:
         docs = docs.mapInArrow(clean(items), docs.schema)
+        if len(blocks) > 1:
+            docs = materialize(docs)
+        del items
     return docs
 
 

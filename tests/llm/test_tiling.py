@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import gc
 import random
 
 import numpy as np
@@ -129,3 +130,39 @@ def test_odd_texts_and_empty_tables(spark, benchmark, tmp_path):
 def test_long_document_repeating_a_passage(spark):
     items = tiling.Items([(1, ITEMS[0])])
     assert [x[1:] for x in items.leaks((ITEMS[0] + " and ") * 3_000, 0.5)] == [(40, 1)]
+
+
+@pytest.mark.parametrize("item,text,covered", [
+    ("what is seven times", "He asked: What is seven times eight?", 4),
+    ("what is seven times", "what is six times seven, what is", None),
+    ("北京是中国的首都吗", "问：北京是中国的首都吗？答：是。", 9),
+    ("東京タワーはどこ", "昔、東京タワーはどこにあるか", 8),
+    ("東京タワーはどこ", "京都タワー、どこ", None),
+    ("กรุงเทพ", "ฉันอยู่กรุงเทพนะ", 6),
+    ("python 3 的作者是谁", "请问Python 3的作者是谁呢", 7),
+])
+def test_short_items_and_scripts_without_spaces(item, text, covered):
+    found = tiling.Items([(1, item), (2, ITEMS[0])]).leaks(text, 0.5)
+    assert [x[1] for x in found] == ([covered] if covered else [])
+
+
+def test_words_of_spaced_scripts_are_as_before():
+    text = "Größe naïve don't 3,5 слово कक한국어 北"
+    assert tiling.words(text)[:-1] == tiling._PLAIN.findall(text.lower())[:-1] and tiling.words("北京 ab") == ["北", "京", "ab"]
+
+
+def test_one_block_is_held_at_a_time(spark, benchmark, monkeypatch):
+    alive = []
+    plain = tiling.Items
+
+    class Counted(plain):
+        def __init__(self, *args):
+            gc.collect()
+            alive.append(sum(isinstance(o, plain) for o in gc.get_objects()))
+            super().__init__(*args)
+
+    monkeypatch.setattr(tiling, "Items", Counted)
+    blocks = tiling.item_blocks(benchmark, block_chars=300)
+    assert not alive and len(blocks) > 2
+    tiling.drop_leaked(data.documents(spark, leak_texts()), blocks).count()
+    assert len(alive) == len(blocks) and len(set(alive)) == 1
