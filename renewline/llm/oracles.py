@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from renewline.llm import packing, secrets, sharding
+from renewline.llm import packing, periodic, secrets, sharding
 
 
 def _quoted(text: str) -> str:
@@ -208,8 +208,52 @@ SELECT doc_id, n_tokens, bucket, bucket_len, bucket_len - n_tokens AS padding,
 FROM numbered"""
 
 
+#: The words of a text, parted by ASCII white space.
+_WORDS = "regexp_extract_all(coalesce({text}, ''), '[^\\x09-\\x0D\\x20]+')"
+
+
+def periodic_runs() -> str:
+    """Runs as islands of places whose word comes again one period on; the smallest period of a stretch counts."""
+    least, copies = periodic.MIN_LENGTH, periodic.COPIES
+    words = _WORDS.format(text="text")
+    return f"""WITH {_CRC_TABLE},
+raw AS (
+  SELECT row_number() OVER () AS row, doc_id, {words} AS w,
+         CASE WHEN doc_id IS NOT NULL THEN {_crc(_bytes("CAST(doc_id AS VARCHAR)"))} END AS h
+  FROM documents, crc_table),
+sized AS (
+  SELECT *, len(w) AS n, h // 10 AS g, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a,
+         CASE WHEN len(w) > 0 THEN 1 + (len(w) - (h // 10) % len(w)) // (3 + (h // 10) % 8) END AS p FROM raw),
+docs AS (
+  SELECT row, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN
+           list_transform(range(n), lambda i: w[CASE WHEN i < a THEN i + 1 ELSE a + (i - a) % p + 1 END]) ELSE w END AS w
+  FROM sized),
+words AS (SELECT row, n, unnest(w) AS word, unnest(range(n)) AS i FROM docs),
+again AS (
+  SELECT x.row, x.i, y.i - x.i AS q FROM words x JOIN words y
+    ON x.row = y.row AND x.word = y.word AND y.i > x.i AND {copies} * (y.i - x.i) <= x.n),
+marked AS (SELECT *, i - row_number() OVER (PARTITION BY row, q ORDER BY i) AS island FROM again),
+stretches AS (
+  SELECT row, q, min(i) AS start, count(*) + q AS length FROM marked GROUP BY row, q, island
+  HAVING count(*) + q >= greatest({least}, {copies} * q)),
+runs AS (SELECT row, start, length, min(q) AS period FROM stretches GROUP BY row, start, length),
+best AS (
+  SELECT row, count(*) AS n_runs, arg_min([start, length, period], [-length, start, period]) AS top,
+         string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS shown
+  FROM runs GROUP BY row),
+kept AS (
+  SELECT row, string_agg(word, ' ' ORDER BY i) AS body FROM words
+  WHERE NOT EXISTS (SELECT 1 FROM runs r WHERE r.row = words.row AND i >= r.start + r.period AND i < r.start + r.length)
+  GROUP BY row)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, top[1] AS start, top[2] AS length, top[3] AS period,
+       1000 * top[2] // top[3] AS exponent_milli, sha256(coalesce(shown, '')) AS runs_sha256,
+       sha256(coalesce(body, '')) AS collapsed_sha256
+FROM docs LEFT JOIN best USING (row) LEFT JOIN kept USING (row)"""
+
+
 ORACLE_SQL = {
     "op1_secret_scan": secret_scan(),
     "op2_hilbert_shards": hilbert_shards(),
     "op4_length_buckets": length_buckets(),
+    "op11_periodic_runs": periodic_runs(),
 }

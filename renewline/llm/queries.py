@@ -9,6 +9,7 @@ from renewline.llm import (
     neighbours,
     oracles,
     packing,
+    periodic,
     repeats,
     secrets,
     sharding,
@@ -27,5 +28,6 @@ QUERIES = {
     "op8_decontamination": tiling.op8_decontamination,
     "op9_nearest_neighbours": neighbours.op9_nearest_neighbours,
     "op10_language_id": langid.op10_language_id,
+    "op11_periodic_runs": periodic.op11_periodic_runs,
 }
 ORACLE_SQL = oracles.ORACLE_SQL
