@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from renewline.llm import packing, periodic, secrets, sharding
+from renewline.llm import negatives, packing, periodic, secrets, sharding
 
 
 def _quoted(text: str) -> str:
@@ -251,9 +251,32 @@ SELECT doc_id, coalesce(n_runs, 0) AS n_runs, top[1] AS start, top[2] AS length,
 FROM docs LEFT JOIN best USING (row) LEFT JOIN kept USING (row)"""
 
 
+def hard_negatives() -> str:
+    """All products of anchors with all rows, ranked."""
+    n = negatives
+    return f"""WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor({n.SCALE} * CAST(x AS DOUBLE))) AS q
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM rows a JOIN rows b ON a.vec_id % {n.ANCHORS_EVERY} = 0 AND a.vec_id <> b.vec_id),
+positive AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= {n.POSITIVES})
+SELECT anchor_id, positive_id, CAST(row_number() OVER hard AS INTEGER) AS rank, vec_id AS negative_id, positive_score,
+       score AS negative_score
+FROM positive JOIN scored USING (anchor_id)
+WHERE NOT same AND {n.SHARE} * positive_score <= 100 * score AND score <= positive_score
+WINDOW hard AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER hard <= {n.NEGATIVES}"""
+
+
 ORACLE_SQL = {
     "op1_secret_scan": secret_scan(),
     "op2_hilbert_shards": hilbert_shards(),
     "op4_length_buckets": length_buckets(),
     "op11_periodic_runs": periodic_runs(),
+    "op13_hard_negatives": hard_negatives(),
 }

@@ -6,6 +6,7 @@ from renewline.llm import (
     langid,
     licenses,
     mainhtml,
+    negatives,
     neighbours,
     oracles,
     packing,
@@ -29,5 +30,6 @@ QUERIES = {
     "op9_nearest_neighbours": neighbours.op9_nearest_neighbours,
     "op10_language_id": langid.op10_language_id,
     "op11_periodic_runs": periodic.op11_periodic_runs,
+    "op13_hard_negatives": negatives.op13_hard_negatives,
 }
 ORACLE_SQL = oracles.ORACLE_SQL

