@@ -15,6 +15,7 @@ from renewline.llm import (
     secrets,
     sharding,
     simhash,
+    suffixtree,
     tiling,
 )
 
@@ -30,6 +31,7 @@ QUERIES = {
     "op9_nearest_neighbours": neighbours.op9_nearest_neighbours,
     "op10_language_id": langid.op10_language_id,
     "op11_periodic_runs": periodic.op11_periodic_runs,
+    "op12_lm_scoring": suffixtree.op12_lm_scoring,
     "op13_hard_negatives": negatives.op13_hard_negatives,
 }
 ORACLE_SQL = oracles.ORACLE_SQL
