@@ -19,10 +19,12 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from renewline.llm.common import small_batches
+from renewline.llm.common import map_batches, small_batches
 
 #: Bytes of a window.
 WINDOW = 256
@@ -40,7 +42,8 @@ MAX_LABELS = 256
 EPOCHS = 6
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
+#: A letter is a code point of category L: no digits, fractions, or numerals in circles.
+_LETTER = regex.compile(r"\p{L}")
 _OTHER = re.compile(rb"[^a-z\x80-\xff]+")
 
 
@@ -236,24 +239,26 @@ def predict(docs: DataFrame, net: ByteNet | None, text: str = "text", columns: l
     return kept.mapInArrow(label, schema)
 
 
-def keep_identified(docs: DataFrame, net: ByteNet | None, text: str = "text") -> DataFrame:
-    """The rows whose text gets a label, all columns unchanged; rows without a letter go.
+def keep_identified(docs: DataFrame, net: ByteNet | None, text: str = "text", label: str = "lang") -> DataFrame:
+    """The rows whose text gets a label; a missing ``label`` becomes the predicted one, other columns are unchanged.
 
-    Without a network, where no row has a label to learn, every text with a letter stays.
+    Rows without a letter go. Without a network, where no row has a label to learn, every
+    text with a letter stays as it is.
     """
     small_batches(docs.sparkSession)
-    at = docs.columns.index(text)
-
-    def keep(batches):
-        for batch in batches:
-            texts = batch.column(at).to_pylist()
-            if net:
-                kept = [name != UNKNOWN for name in classify(net, texts)[0]]
-            else:
-                kept = [bool(t and _LETTER.search(t)) for t in texts]
-            yield batch.filter(pa.array(kept, pa.bool_()))
-
-    return docs.mapInArrow(keep, docs.schema)
+    at, lang = docs.columns.index(text), docs.columns.index(label)
+
+    def keep(batch):
+        texts = batch.column(at).to_pylist()
+        if net is None:
+            return batch.filter(pa.array([bool(t and _LETTER.search(t)) for t in texts], pa.bool_()))
+        names, _ = classify(net, texts)
+        columns = list(batch.columns)
+        columns[lang] = pc.coalesce(columns[lang], pa.array(names, columns[lang].type))
+        filled = pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+        return filled.filter(pa.array([name != UNKNOWN for name in names], pa.bool_()))
+
+    return map_batches(docs, keep)
 
 
 def held_out(doc_id: Column) -> Column:

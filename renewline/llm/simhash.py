@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from renewline.llm.common import materialize, small_batches
+from renewline.llm.common import key_filter, materialize, passing, small_batches, whole_row
 from renewline.llm.components import connected_components
 
 BITS = 64
@@ -293,31 +293,52 @@ def near_duplicates(
     return fps.join(classes, "fp", "left").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
+def fates(found: DataFrame) -> DataFrame:
+    """Keys (``id``, ``missing``, ``hash``) of the rows that do not simply stay, with ``goes``.
+
+    Of a group the row with its smallest id stays, or that with the smallest text hash where several
+    rows have that id or none has one. Keys that stay are listed only where they repeat. Keys are
+    narrow, and a group is never brought together: all but the rows of its smallest id go at once.
+    """
+    keys = found.groupBy("root", "component_id", "doc_id", "text_hash").agg(F.count("*").alias("rows"))
+    own = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    first = keys.where(own)
+    least = first.groupBy(F.col("root").alias("of")).agg(F.min("text_hash").alias("least"))
+    first = first.join(least, F.col("root") == F.col("of")).withColumn("goes", F.col("text_hash") != F.col("least"))
+    every = first.where("goes or rows > 1").unionByName(keys.where(~own).withColumn("goes", F.lit(True)), True)
+    return every.select(*_key(F.col("doc_id"), F.col("text_hash")), "goes")
+
+
+def _key(doc_id: Column, text_hash: Column) -> list[Column]:
+    zero = F.lit(0).cast("long")
+    return [
+        F.coalesce(doc_id.cast("long"), zero).alias("id"),
+        doc_id.cast("long").isNull().alias("missing"),
+        text_hash.alias("hash"),
+    ]
+
+
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """One row of each group of near duplicates, all columns unchanged.
+    """One row of each group of near duplicates, all columns unchanged, whatever their names.
 
     It is the row with the smallest id, or with the smallest text hash where no row of
     the group has an id; of rows that repeat both id and text, any one.
+
+    Groups are decided on ids and hashes. A filter of fixed size then tells which rows may
+    have to go; the others, nearly all that stay, are not moved. Rows that may have to go look
+    their fate up, and those that repeat a key that stays are reduced map-side to one.
     """
-    found = near_duplicates(docs, doc_id, text, **options)
-    first = found.where(F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id")))
-    chosen = first.groupBy("root", "component_id").agg(F.min("text_hash").alias("_hash"))
-    chosen = chosen.select(
-        F.coalesce("component_id", F.lit(0).cast("long")).alias("_id"),
-        F.col("component_id").isNull().alias("_missing"),
-        "_hash",
-    )
-    key = ["_id", "_missing", "_hash"]
-    keyed = docs.withColumns(
-        {
-            "_id": F.coalesce(F.col(doc_id).cast("long"), F.lit(0).cast("long")),
-            "_missing": F.col(doc_id).isNull(),
-            "_hash": F.xxhash64(text),
-        }
-    )
-    row = F.row_number().over(Window.partitionBy(*key).orderBy(*key))
-    kept = keyed.join(materialize(chosen), key, "left_semi").withColumn("_row", row)
-    return kept.where("_row = 1").select(*docs.columns)
+    spark = docs.sparkSession
+    decided = materialize(fates(near_duplicates(docs, doc_id, text, **options)))
+    key = ["id", "missing", "hash"]
+    name = F.xxhash64(*_key(F.col(doc_id), F.xxhash64(text)))
+    bits = key_filter(decided.select(F.xxhash64(*key).alias("key")))
+    may_go = passing(spark, bits, name)
+    doubtful = docs.where(may_go).select(whole_row(docs).alias("row"), *_key(F.col(doc_id), F.xxhash64(text)))
+    doubtful = doubtful.join(decided, key, "left").where("goes is null or not goes")
+    alone = doubtful.where("goes is null").select("row.*")
+    once = doubtful.where("not goes").groupBy(*key).agg(F.first("row").alias("row")).select("row.*")
+    return docs.where(~may_go).unionByName(alone).unionByName(once)
 
 
 def fingerprint_hex(fp: Column) -> Column:

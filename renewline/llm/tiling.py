@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from renewline.llm.common import materialize, small_batches
+from renewline.llm.common import map_batches, materialize, small_batches
 
 #: Words a common run must have.
 MIN_MATCH = 5
@@ -276,15 +276,14 @@ def drop_leaked(docs: DataFrame, blocks: Blocks, text: str = "text", threshold:
     at = docs.columns.index(text)
 
     def clean(items: Items):
-        def run(batches):
-            for batch in batches:
-                kept = [not items.leaks(value, threshold) for value in batch.column(at).to_pylist()]
-                yield batch.filter(pa.array(kept, pa.bool_()))
+        def change(batch):
+            kept = [not items.leaks(value, threshold) for value in batch.column(at).to_pylist()]
+            return batch.filter(pa.array(kept, pa.bool_()))
 
-        return run
+        return change
 
     for items in blocks:
-        docs = docs.mapInArrow(clean(items), docs.schema)
+        docs = map_batches(docs, clean(items))
         if len(blocks) > 1:
             docs = materialize(docs)
         del items

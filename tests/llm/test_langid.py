@@ -100,3 +100,60 @@ def test_stage_keeps_rows_with_a_language(spark, labelled):
     assert kept.columns == docs.columns
     ids = [r.doc_id for r in kept.collect()]
     assert sorted(i for i in ids if i is not None) == [4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 13]
+
+
+def test_numerals_are_no_letters(spark, labelled, tmp_path):
+    texts = ["½ ² ① Ⅷ", "٣ 12_", "x²", "ª", "中文", "Ⅷ é"]
+    docs = spark.createDataFrame([(i, t, "bb" if t is None else None) for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    rows = labelled.withColumn("doc_id", F.col("doc_id") + 100).unionByName(docs)
+    found = {r.doc_id: r.lang_pred for r in langid.op10_language_id(spark, data.parquet(rows, tmp_path)).collect()}
+    assert [found[i] == "und" for i in range(6)] == [True, True, False, False, False, False]
+
+
+def plain_prediction(net, text):
+    """Label and score of a text window by window, with loops instead of array arithmetic."""
+    cleaned, blank = bytearray(), True
+    for b in text.encode().lower():
+        letter = 97 <= b <= 122 or b >= 128
+        if letter or not blank:
+            cleaned.append(b if letter else 32)
+        blank = not letter
+    body = bytes(cleaned).strip()
+    total, votes, means = 0, np.zeros(len(net.labels)), np.zeros(len(net.labels))
+    for at in range(0, max(1, len(body)), langid.WINDOW):
+        window = body[at : at + langid.WINDOW]
+        size = max(1, len(window))
+        codes = list(window.ljust(langid.WINDOW))
+        pooled = []
+        for width in langid.WIDTHS:
+            kernel, shift = net.weights[f"filter{width}"], net.weights[f"shift{width}"]
+            best = np.full(langid.FILTERS, -np.inf)
+            for place in range(0, langid.WINDOW - width + 1, langid.STRIDE):
+                seen = np.concatenate([net.weights["embed"][c] for c in codes[place : place + width]])
+                best = np.maximum(best, seen @ kernel + shift)
+            pooled.append(np.maximum(best, 0))
+        logits = np.concatenate(pooled) @ net.weights["out"] + net.weights["bias"]
+        odds = np.exp(logits - logits.max())
+        odds /= odds.sum()
+        total += size
+        votes += size * np.log(odds + 1e-12)
+        means += size * odds
+    best = int(votes.argmax())
+    return net.labels[best], means[best] / total
+
+
+def test_predictions_equal_a_plain_computation(spark, labelled, tmp_path):
+    rng = random.Random(8)
+    docs = labelled.unionByName(data.documents(spark, [t for t in data.odd_texts() if not t or len(t) < 4_000]).select("doc_id", "text", "lang"))
+    folder = data.parquet(docs, tmp_path)
+    known = docs.where(~langid.held_out(F.col("doc_id")) & F.col("doc_id").isNotNull())
+    net = langid.train(known)
+    found = {(r.doc_id, r.lang_pred, round(r.score, 4)) for r in langid.op10_language_id(spark, folder).collect()}
+    rows = docs.collect()
+    for r in rng.sample(rows, 40) + rows[-12:]:
+        if r.text and any(langid._LETTER.match(c) for c in r.text):
+            label, score = plain_prediction(net, r.text)
+            near = [x for x in found if x[0] == r.doc_id and x[1] == label and abs(x[2] - score) < 2e-3]
+        else:
+            near = [x for x in found if x == (r.doc_id, "und", 0.0)]
+        assert near, (r.doc_id, r.text)

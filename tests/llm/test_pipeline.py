@@ -82,3 +82,34 @@ def test_documents_without_any_language_label_stay(spark, folder, tmp_path):
     assert sorted(map(str, expected)) == sorted(str(r.doc_id) for r in kept) and kept
     found = {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     assert found == {r.doc_id for r in corpus_pipeline.run(spark, folder).collect()}
+
+
+def test_extra_columns_named_like_helpers_stay(spark, folder):
+    names = ["_id", "_row", "_hash", "_missing", "_spans", "text_hash", "secret_spans", "id", "hash", "goes", "row", "part", "b.c"]
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("doc_id is not null").select("doc_id", "text", "lang", "source", "n_chars")
+    for i, name in enumerate(names):
+        docs = docs.withColumn(name, F.col("doc_id") * 100 + i)
+    for stage, apply in corpus_pipeline.STAGES[:-1]:
+        kept = apply(spark, docs, folder)
+        assert kept.columns == docs.columns, stage
+        rows = kept.collect()
+        assert rows
+        for r in rows:
+            assert [r[n] for n in names] == [r.doc_id * 100 + i for i in range(len(names))], (stage, r.doc_id)
+
+
+def test_missing_languages_are_filled(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    net = langid.train(docs)
+    kept = corpus_pipeline.language_id(spark, docs, folder).collect()
+    assert kept and all(r.lang for r in kept)
+    before = {(r.doc_id, r.text): r.lang for r in docs.collect()}
+    for r in kept:
+        assert r.lang == (before[r.doc_id, r.text] or langid.classify(net, [r.text])[0][0])
+
+
+def test_one_of_rows_repeated_many_times_stays(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
+    rows = [(7, data.prose(5, 90))] * 400 + [(None, data.prose(6, 90))] * 300 + [(8, data.prose(7, 90)), (9, data.prose(5, 90))]
+    many = docs.unionByName(spark.createDataFrame(rows, "doc_id long, text string"), allowMissingColumns=True)
+    assert sorted(str(r.doc_id) for r in corpus_pipeline.simhash_dedup(spark, many, folder).collect()) == ["7", "8", "None"]
