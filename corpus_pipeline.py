@@ -4,8 +4,8 @@ Each stage takes (spark, docs, sf_dir), works on all rows the stage before kept,
 returns a DataFrame that is written as Parquet and read again by the next one. All but
 the last return the columns of ``documents``, extra ones included.
 
-1. ``language_id`` drops documents without a language (null text, no letter). Where no
-   document has a label to learn from, those with a letter all stay.
+1. ``language_id`` drops documents without a language (null text, no letter) and gives those without
+   ``lang`` the predicted one. Where no document has a label to learn from, those with a letter stay as they are.
 2. ``simhash_dedup`` keeps the document with the smallest id of each group of near
    duplicates.
 3. ``decontaminate`` drops documents that hold at least half of a benchmark item.
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from renewline.llm import langid, packing, secrets, simhash, tiling
-from renewline.llm.common import materialize
+from renewline.llm.common import free_name, materialize
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,10 +37,11 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    spans = F.col("_spans")
-    masked = secrets.find_secrets(docs, name="_spans").withColumn("text", secrets.redact(F.col("text"), spans))
+    name = free_name(docs, "secret_spans")
+    spans = F.col(name)
+    masked = secrets.find_secrets(docs, name=name).withColumn("text", secrets.redact(F.col("text"), spans))
     n_chars = F.when(F.size(spans) > 0, F.length("text")).otherwise(F.col("n_chars"))
-    return masked.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType)).drop("_spans")
+    return masked.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType)).drop(name)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
