@@ -6,21 +6,24 @@ row that cannot be read or resolved is kept apart with its text and the reasons,
 so every row of the file is either accepted or rejected. Empty fields are legal:
 no field is mandatory unless the caller says so.
 
-Every imported line gets a new id; an id in the file names a record elsewhere and
+Every row of a file gets a new id, without gaps; an id in the file names a record elsewhere and
 stays in the text of a rejected row only. Quotes within quoted fields are doubled.
-A line break within a quoted field is read with ``multiline=True``, which gives up
-splitting files; without it the pieces of such a row are rejected as unreadable.
+Line breaks within quoted fields are read with ``multiline="split"``, which finds the records
+of a file in splits, or with ``multiline=True``, which reads a file in one task; without
+either the pieces of such a row are rejected as unreadable.
 """
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from renewline.functions.money import MONEY, TERM
+from renewline.sources.quoted import whole_records
 from renewline.sources.schemas import CONTRACT_LINES
 
 # Fixed values of the import format. Its text is in windows-1252, which Spark does
@@ -68,28 +71,86 @@ def _decoded(column: str) -> Column:
     return F.translate(F.col(column), read, meant)
 
 
-def read_contract_csv(spark: SparkSession, path: str | list[str], multiline: bool = False) -> DataFrame:
-    """The mapped columns of the files as text; others are dropped, a missing id is blank."""
-    options = csv_options() | {"multiLine": str(multiline).lower()}
-    header = spark.read.options(**options).csv(path).columns
+def file_headers(spark: SparkSession, paths: str | list[str]) -> dict[str, tuple[str, ...]]:
+    """The column names of every file, found in one job over their first splits."""
+    text = spark.read.option("lineSep", "\n").text(paths).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+        F.decode(F.col("value").cast("binary"), READ_AS).alias("value"),
+    )
+    first = text.where("block = 0").groupBy("path").agg(F.min_by("value", "at").alias("value")).collect()
+    return {r["path"]: tuple(c.strip() for c in next(csv.reader([r["value"].rstrip("\r")]), ())) for r in first}
+
+
+def _mapped(raw: DataFrame, header: tuple[str, ...]) -> DataFrame:
+    own_id = F.col(ID_HEADER) if ID_HEADER in header else F.lit(None).cast("string").alias(ID_HEADER)
+    return raw.select(own_id, *HEADERS, UNREADABLE)
+
+
+def _schema(header: tuple[str, ...]) -> T.StructType:
     missing = [h for h in HEADERS if h not in header]
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
-    schema = T.StructType([T.StructField(h, T.StringType()) for h in [*header, UNREADABLE]])
+    return T.StructType([T.StructField(h, T.StringType()) for h in [*header, UNREADABLE]])
+
+
+def _read_split(spark: SparkSession, path: str | list[str], header: tuple[str, ...]) -> DataFrame:
+    """Records with line breaks in quoted fields, found in splits and then parsed one by one."""
+    records = whole_records(spark, path).where("not first")
+    text = F.regexp_replace(F.decode("record", READ_AS), r"\r$", "")
+    records = records.select(text.alias("text")).where(F.trim("text") != "")
+    options = {k: v for k, v in csv_options().items() if k not in ("header", "encoding", "enforceSchema")}
+    options |= {"multiLine": "true", "columnNameOfCorruptRecord": UNREADABLE}
+    # Line breaks in fields are read as one character; the text of an unreadable row stays as it is.
+    fields = F.regexp_replace("text", "\r\n", "\n")
+    parsed = F.from_csv(fields, F.lit(", ".join(f"`{f.name}` string" for f in _schema(header))), options)
+    rows = records.select("text", parsed.alias("row")).select("text", "row.*")
+    rows = rows.withColumn(UNREADABLE, F.when(F.col(UNREADABLE).isNotNull(), F.col("text")))
+    return _mapped(rows, header)
+
+
+def read_contract_csv(spark: SparkSession, path: str | list[str], multiline: bool | str = False) -> DataFrame:
+    """The mapped columns of the files as text; others are dropped, a missing id is blank."""
+    if multiline == "split":
+        headers = set(file_headers(spark, path).values())
+        if len(headers) > 1:
+            raise ValueError("files with different headers: use read_by_header")
+        return _read_split(spark, path, headers.pop() if headers else ())
+    options = csv_options() | {"multiLine": str(multiline).lower()}
+    header = spark.read.options(**options).csv(path).columns
+    schema = _schema(tuple(header))
     raw = spark.read.schema(schema).options(**options, columnNameOfCorruptRecord=UNREADABLE).csv(path)
-    own_id = F.col(ID_HEADER) if ID_HEADER in header else F.lit(None).cast("string").alias(ID_HEADER)
-    return raw.select(own_id, *HEADERS, UNREADABLE)
+    return _mapped(raw, tuple(header))
 
 
-def read_by_header(spark: SparkSession, paths: list[str], multiline: bool = False) -> DataFrame:
+def read_by_header(spark: SparkSession, paths: list[str], multiline: bool | str = False) -> DataFrame:
     """The rows of several files whose columns can stand in different orders."""
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        groups.setdefault(tuple(spark.read.options(**csv_options()).csv(path).columns), []).append(path)
+    for path, header in sorted(file_headers(spark, paths).items()):
+        groups.setdefault(header, []).append(path)
     parts = [read_contract_csv(spark, files, multiline) for files in groups.values()]
     return reduce(DataFrame.unionByName, parts)
 
 
+def numbered(rows: DataFrame, first_id: int, name: str) -> DataFrame:
+    """Add ``name``: numbers upwards from ``first_id``, as many as there are rows, without gaps.
+
+    Rows are counted per partition, and a running sum over the partitions gives each its first
+    number. The rows are read twice and must fall into the same partitions both times, as those of files do.
+    """
+    part, place = "renewline part", "renewline place"
+    placed = rows.withColumn(part, F.spark_partition_id()).withColumn(place, F.monotonically_increasing_id())
+    counts = placed.groupBy(part).agg(F.count("*").alias("rows"))
+    # One row for each partition.
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(part, F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
+    # The lower bits of the place count within the partition.
+    within = F.col(place).bitwiseAND(F.lit((1 << 33) - 1).cast("long"))
+    joined = placed.join(starts, part)
+    return joined.select((F.lit(first_id).cast("long") + F.col("start") + within).alias(name), *rows.columns)
+
+
 def _parsed(raw: DataFrame) -> dict[str, Column]:
     return {
         "Start Date": F.try_to_date(F.col("Start Date"), DATE_FORMAT),
@@ -102,7 +163,7 @@ def _parsed(raw: DataFrame) -> dict[str, Column]:
 def typed_lines(raw: DataFrame, first_id: int, required: list[str] = ()) -> DataFrame:
     """Parse the text columns; ``problems`` lists the fields that did not parse.
 
-    Lines are numbered upwards from ``first_id``, with holes. ``required`` names the
+    Rows are numbered upwards from ``first_id``, without holes. ``required`` names the
     headers of mandatory fields. ``raw`` keeps the text of all columns.
     """
     unknown = [h for h in required if h not in HEADERS]
@@ -115,8 +176,8 @@ def typed_lines(raw: DataFrame, first_id: int, required: list[str] = ()) -> Data
     ]
     wrong += [F.when(whole & F.col(h).isNull(), f"missing {h}") for h in required]
     wrong.append(F.when(~whole, "unreadable row"))
-    return raw.select(
-        (F.monotonically_increasing_id() + first_id).alias("line_id"),
+    return numbered(raw, first_id, "line_id").select(
+        "line_id",
         _decoded("Transaction").alias("transaction"),
         _decoded("Customer").alias("customer"),
         _decoded("Item").alias("item"),
@@ -177,7 +238,7 @@ def import_contract_csv(
     items: DataFrame,
     first_id: int,
     required: list[str] = (),
-    multiline: bool = False,
+    multiline: bool | str = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Accepted contract lines and rejected rows of a file or folder.
 

@@ -1,0 +1,240 @@
+"""Ids without gaps, files imported once, records with line breaks, tables replaced as a whole."""
+
+from __future__ import annotations
+
+import random
+import threading
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from renewline.operators import checks
+from renewline.sources import contract_csv, ledger, quoted, schemas, tables
+from renewline.sources.files import FileSystem
+from tests.fixtures import line, lines_frame
+from tests.test_sources import HEADER, ROWS, names, write  # noqa: F401
+
+
+def ids(spark, path):
+    return sorted(r[0] for r in spark.read.option("recursiveFileLookup", "true").parquet(path).select("line_id").collect())
+
+
+# Ids -------------------------------------------------------------------------
+
+
+def test_numbers_have_no_gaps_over_many_partitions(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(0, 30_000, 1, 400).where("id % 7 < 3 and id % 1000 > 300").write.parquet(path)
+    rows = spark.read.option("maxPartitionBytes", 1).parquet(path)
+    got = contract_csv.numbered(rows, 500, "n").select("n", "id").collect()
+    assert sorted(r.n for r in got) == list(range(500, 500 + len(got))) and len(got) == rows.count() > 5_000
+    assert {r.id for r in got} == {r.id for r in rows.collect()}
+
+
+def test_numbers_of_no_rows(spark):
+    assert contract_csv.numbered(spark.range(0), 1, "n").count() == 0
+
+
+def test_import_uses_as_many_ids_as_rows(spark, tmp_path, names, monkeypatch):  # noqa: F811
+    for i in range(5):
+        write(tmp_path / f"{i}.csv", *ROWS, "broken,row", "1,Bill 99,2 Ines Moreau,Roof tiles,9,7/1/2020,8/31/2020,2,1")
+    good, bad = contract_csv.import_contract_csv(spark, str(tmp_path), *names, first_id=11)
+    given = [r.line_id for r in good.collect()] + [r.line_id for r in bad.collect()]
+    assert sorted(given) == list(range(11, 31))
+
+
+def test_claims_never_overlap(spark, tmp_path):
+    path = str(tmp_path / "lines")
+    tables.append_lines(lines_frame(spark, [line(41, 1, 1, 1, "2020-01-01", "2020-01-31", 1, 5)]), path)
+    start = tables.next_line_id(spark, path)
+    claims: list[tuple[int, int]] = []
+
+    def claim(count):
+        claims.append((ledger.claim_ids(spark, path, count), count))
+
+    threads = [threading.Thread(target=claim, args=(n,)) for n in (5, 1, 7, 3, 11, 2, 4, 6)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    claims.sort()
+    assert claims[0][0] == start and len(claims) == 8
+    assert all(a + n == b for (a, n), (b, _) in zip(claims, claims[1:]))
+
+
+def test_a_named_claim_is_kept(spark, tmp_path):
+    path = str(tmp_path / "lines")
+    first = ledger.claim_ids(spark, path, 5, "a")
+    other = ledger.claim_ids(spark, path, 5, "b")
+    assert (first, other, ledger.claim_ids(spark, path, 5, "a")) == (1, 6, 1)
+    assert ledger.claim_ids(spark, path, 6, "a") == 11 and ledger.claim_ids(spark, path, 1) == 17
+
+
+def test_an_unfinished_claim_is_reported(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ledger, "PATIENCE", 0.2)
+    path = str(tmp_path / "lines")
+    fs = FileSystem(spark, path)
+    fs.make(f"{path}_claims")
+    assert fs.create(f"{path}_claims/claim-000000000000", "") and not fs.create(f"{path}_claims/claim-000000000000", "1 1\n")
+    with pytest.raises(TimeoutError, match="never finished"):
+        ledger.claim_ids(spark, path, 1)
+
+
+# Once per file ---------------------------------------------------------------
+
+
+@pytest.fixture
+def place(tmp_path):
+    (tmp_path / "in").mkdir()
+    return tmp_path / "in", str(tmp_path / "lines"), str(tmp_path / "rejects")
+
+
+def test_a_folder_imported_twice_adds_nothing(spark, place, names):  # noqa: F811
+    folder, lines, rejects = place
+    write(folder / "a.csv", *ROWS, "broken,row")
+    write(folder / "b.csv", ROWS[0].replace("40,", "43,"))
+    write(folder / "same.csv", *ROWS, "broken,row")
+    assert ledger.import_files(spark, str(folder), lines, rejects, *names) == 2
+    stored, refused = ids(spark, lines), len(ids(spark, rejects))
+    assert len(stored) == 3 and refused == 1
+    assert ledger.import_files(spark, str(folder), lines, rejects, *names) == 0
+    assert ids(spark, lines) == stored and len(ids(spark, rejects)) == refused
+    write(folder / "c.csv", ROWS[1].replace("41,", "44,"))
+    assert ledger.import_files(spark, str(folder), lines, rejects, *names) == 1
+    assert ids(spark, lines) == [*stored, 5] and ledger.imported(spark, lines).count() == 3
+    assert tables.read_table(spark, lines, schemas.CONTRACT_LINES).count() == 4
+
+
+@pytest.mark.parametrize("fails", ["accepted", "rename", "rejected"])
+def test_a_failed_import_is_run_again(spark, place, names, monkeypatch, fails):  # noqa: F811
+    folder, lines, rejects = place
+    write(folder / "a.csv", *ROWS, "broken,row")
+
+    def failing(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(*((FileSystem, "rename") if fails == "rename" else (ledger, fails)), failing)
+        with pytest.raises(RuntimeError):
+            ledger.import_files(spark, str(folder), lines, rejects, *names)
+    assert not FileSystem(spark, lines).names(lines) or ledger.imported(spark, lines).count() == 0
+    assert ledger.import_files(spark, str(folder), lines, rejects, *names) == 1
+    assert ledger.import_files(spark, str(folder), lines, rejects, *names) == 0
+    assert ids(spark, lines) == [1, 2] and ids(spark, rejects) == [3]
+    assert [n for n in FileSystem(spark, lines).names(lines) if n.startswith("_")] == []
+
+
+def test_fingerprints_tell_contents_apart(spark, place):
+    folder, *_ = place
+    write(folder / "a.csv", *ROWS)
+    write(folder / "b.csv", *reversed(ROWS))
+    write(folder / "c.csv", ROWS[0], ROWS[0])
+    write(folder / "d.csv", ROWS[0])
+    (folder / "e.csv").write_bytes(b"")
+    found = {r.path[-5:]: r.fingerprint for r in ledger.fingerprints(spark, str(folder)).collect()}
+    assert sorted(found) == ["a.csv", "b.csv", "c.csv", "d.csv"]
+    assert found["a.csv"] == found["b.csv"] and len(set(found.values())) == 3
+
+
+# Line breaks within quotes ---------------------------------------------------
+
+
+def odd_file(rng: random.Random, rows: int) -> bytes:
+    fields = ["", "plain", '""', "a,b", "two\r\nlines", "x\ny\n\nz", 'q""q\n', " padded ", "Zoë “€”", "\r\n"]
+    out = [HEADER]
+    for i in range(rows):
+        cells = [f'"{rng.choice(fields)}"' if rng.random() < 0.5 else rng.choice(["", "7", "Bill 3"]) for _ in range(9)]
+        out.append(",".join(cells[: rng.choice([9, 9, 9, 9, 8])]))
+        if rng.random() < 0.05:
+            out.append("")
+    return "\r\n".join(out).encode("windows-1252") + rng.choice([b"", b"\r\n"])
+
+
+def rows(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_records_equal_those_of_a_whole_reader(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    for i in range(3):
+        (tmp_path / f"{i}.csv").write_bytes(odd_file(rng, 120))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        # Splits of a few lines, so that records and runs of records reach over several.
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(rng.choice([60, 150, 700])))
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        got = contract_csv.read_contract_csv(spark, str(tmp_path), "split")
+        assert quoted._lines(spark, str(tmp_path)).rdd.getNumPartitions() > 10
+        want = contract_csv.read_contract_csv(spark, str(tmp_path), True)
+        assert got.schema == want.schema
+        assert rows(got) == rows(want) and want.count() > 300
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_import_of_names_with_line_breaks(spark, tmp_path, names):  # noqa: F811
+    transactions, customers, items = names
+    customers = customers.unionByName(spark.createDataFrame([(77, "Two\nlines")], "id long, name string"))
+    row = '1,Bill 3,"Two\nlines",Roof tiles,1,5/1/2020,5/31/2020,1,8.00'
+    path = write(tmp_path / "a.csv", ROWS[0], row)
+    good, bad = contract_csv.import_contract_csv(spark, path, transactions, customers, items, 1, multiline="split")
+    assert sorted(r.customerid for r in good.collect()) == [3, 77] and bad.count() == 0
+
+
+def test_headers_in_one_job(spark, tmp_path):
+    write(tmp_path / "a.csv", *ROWS)
+    write(tmp_path / "b.csv", header="Term, Extra ,Total Amount")
+    found = {p[-5:]: h for p, h in contract_csv.file_headers(spark, str(tmp_path)).items()}
+    assert found == {"a.csv": tuple(HEADER.split(",")), "b.csv": ("Term", "Extra", "Total Amount")}
+
+
+# Replacing -------------------------------------------------------------------
+
+
+def test_a_failing_report_leaves_the_old_output(spark, tmp_path):
+    path = str(tmp_path / "out" / "report")
+    tables.save_report(spark.range(3), path)
+    failing = spark.range(5).select(F.when(F.col("id") == 4, F.raise_error(F.lit("bad row"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="bad row"):
+        tables.save_report(failing, path)
+    assert spark.read.parquet(path).count() == 3
+    tables.save_report(spark.range(7), path)
+    assert spark.read.parquet(path).count() == 7
+    assert FileSystem(spark, path).names(str(tmp_path / "out")) == ["report"]
+    # A report over what it replaces.
+    tables.save_report(spark.read.parquet(path).where("id < 2"), path)
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_a_switch_cut_off_is_recovered(spark, tmp_path):
+    path = str(tmp_path / "report")
+    tables.save_report(spark.range(3), path)
+    fs = FileSystem(spark, path)
+    fs.rename(path, str(tmp_path / "_old-report-1"))
+    assert tables.recover_table(spark, path) and spark.read.parquet(path).count() == 3
+    assert not tables.recover_table(spark, path)
+
+
+def test_deleted_references_rewrite_their_files_only(spark, tmp_path):
+    path = str(tmp_path / "lines")
+    for i in range(6):
+        rows_ = [line(10 * i + k, 10 * i + k, i, k % 3, "2020-01-01", "2020-01-31", 1, k) for k in range(10)]
+        lines_frame(spark, rows_).coalesce(1).write.mode("append").parquet(path)
+    before = spark.read.parquet(path)
+    parents = {k: before.select(F.col(k).alias("id")).distinct() for k in ("tranid", "customerid", "itemid")}
+    deleted = {"customerid": spark.createDataFrame([(2,), (4,), (99,)], "id long"), "tranid": spark.createDataFrame([(25,)], "id long")}
+    left = [parents["tranid"].where("id <> 25"), parents["customerid"].where("id not in (2, 4)"), parents["itemid"]]
+    want = rows(checks.null_dangling(before, *left))
+    names_before = set(FileSystem(spark, path).names(path))
+    touched = tables.null_deleted(spark, path, deleted)
+    names_after = set(FileSystem(spark, path).names(path))
+    assert len(touched) == 2 and len({n for n in names_before - names_after if n.endswith('.parquet') and n[0] != '.'}) == 2
+    assert len({n for n in names_after - names_before if n.endswith('.parquet') and n[0] != '.'}) == 2
+    spark.catalog.refreshByPath(path)
+    assert rows(spark.read.parquet(path)) == want
+    assert tables.null_deleted(spark, path, deleted) == []
+    with pytest.raises(ValueError):
+        tables.null_deleted(spark, path, {"contractid": deleted["customerid"]})
