@@ -18,14 +18,17 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from renewline.operators import checks, lifecycle, periods, schedule, timeline  # noqa: E402
 from renewline.plans import reports  # noqa: E402
-from renewline.sources import contract_csv, orders  # noqa: E402
+from renewline.sources import contract_csv, files, ledger, orders, schemas, tables  # noqa: E402
+from renewline.sources.timeline_store import TimelineStore  # noqa: E402
 
 
 def _optional(name: str):
-    """A module of the part that can be left out, or None where it is."""
+    """A module of the part that can be left out, or None where it is. Other missing modules are errors."""
     try:
         return importlib.import_module(name)
-    except ModuleNotFoundError:
+    except ModuleNotFoundError as error:
+        if error.name not in ("renewline.llm", "renewline.llm.queries", "corpus_pipeline"):
+            raise
         return None
 
 
@@ -274,6 +277,109 @@ def _whole_amounts(spark, d):
     return sums
 
 
+def _stored_in_batches(spark, d, lines, months, batches: int = 4) -> TimelineStore:
+    """The lines appended to a new store in several batches, each line id in one of them."""
+    store = TimelineStore(spark, files.shared_folder(spark))
+    for n in range(batches):
+        batch = lines.where(F.pmod(F.xxhash64("line_id"), F.lit(batches)) == n)
+        store.append(batch, months, f"batch-{n}", hot=None)
+    return store
+
+
+def _maintained_timeline(spark, d):
+    """Typed lines after appends that order only the timelines they touch."""
+    store = _stored_in_batches(spark, d, orders.hard_lines(spark, d), orders.hard_periods(spark, d))
+    return store.lines().drop("contractid", "firstday", "lastday", "bucket")
+
+
+def _maintained_summary(spark, d):
+    """The summary added up from what each append changes."""
+    store = _stored_in_batches(spark, d, orders.hard_lines(spark, d), orders.hard_periods(spark, d))
+    return store.summary(ordered=False)
+
+
+def _maintained_window(spark, d):
+    """A window of the summary, from the stored lines that post in it."""
+    months = orders.accounting_periods(spark, d)
+    store = _stored_in_batches(spark, d, orders.contract_lines(spark, d), months, 2)
+    return store.summary_between(months, SUMMARY_WINDOW)
+
+
+def _import_file(spark, d) -> str:
+    """The lines as a folder of import files, with line breaks, quotes and commas in the customers' names."""
+    folder = files.shared_folder(spark)
+    lines = orders.contract_lines(spark, d)
+    number = F.lpad(F.col("customerid").cast("string"), 9, "0")
+    rows = lines.select(
+        F.lit("7").alias(contract_csv.ID_HEADER),
+        F.concat(F.lit("Order #"), F.col("tranid")).alias("Transaction"),
+        F.concat(F.lit('The "first", or\nCustomer#'), number).alias("Customer"),
+        F.concat(F.lit("Supplier#"), F.lpad(F.col("itemid").cast("string"), 9, "0")).alias("Item"),
+        F.col("contractid").alias("Contract"),
+        F.date_format("startdate", contract_csv.DATE_FORMAT).alias("Start Date"),
+        F.date_format("enddate", contract_csv.DATE_FORMAT).alias("End Date"),
+        F.col("term").alias("Term"),
+        F.col("amount").alias("Total Amount"),
+    )
+    rows.write.options(header="true", quote='"', escape='"', quoteAll="true").csv(folder)
+    return folder
+
+
+def _imported(spark, d) -> tuple[str, str]:
+    """A table and its rejected rows after the same files were imported twice; customers in debt are not known."""
+    folder = _import_file(spark, d)
+    lines, rejects = files.shared_folder(spark), files.shared_folder(spark)
+    known = orders.read(spark, d, "customer").where("c_acctbal >= 0")
+    lookups = (
+        orders.transactions(spark, d).withColumnRenamed("trandisplayname", "name"),
+        known.select(F.col("c_custkey").alias("id"), F.concat(F.lit('The "first", or\n'), "c_name").alias("name")),
+        orders.read(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name")),
+    )
+    for _ in range(2):
+        ledger.import_files(spark, folder, lines, rejects, *lookups, multiline="split")
+    return lines, rejects
+
+
+def _imported_lines(spark, d):
+    lines, _ = _imported(spark, d)
+    return tables.read_table(spark, lines, schemas.CONTRACT_LINES).drop("line_id")
+
+
+def _imported_ids(spark, d):
+    """Ids given to accepted and rejected rows: as many as there are rows, without gaps."""
+    lines, rejects = _imported(spark, d)
+    accepted = tables.read_table(spark, lines, schemas.CONTRACT_LINES).select("line_id")
+    refused = spark.read.option("recursiveFileLookup", "true").parquet(rejects).select("line_id")
+    given = accepted.unionByName(refused)
+    return given.agg(
+        F.min("line_id").alias("first_id"),
+        F.max("line_id").alias("last_id"),
+        F.countDistinct("line_id").alias("ids"),
+        F.count("*").alias("rows"),
+    )
+
+
+def _deleted_references(spark, d):
+    """Customers in debt and cheap parts are deleted from stored lines, file by file."""
+    folder = files.shared_folder(spark)
+    tables.append_lines(orders.contract_lines(spark, d), folder)
+    debtors = orders.read(spark, d, "customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("id"))
+    parts = orders.read(spark, d, "part").select(F.col("p_partkey").alias("id"), "p_retailprice")
+    missing = orders.contract_lines(spark, d).select(F.col("itemid").alias("id")).distinct()
+    missing = missing.join(parts.where("p_retailprice > 900"), "id", "left_anti")
+    tables.null_deleted(spark, folder, {"customerid": debtors, "itemid": missing})
+    stored = tables.read_table(spark, folder, schemas.CONTRACT_LINES)
+    return stored.select("line_id", "tranid", "customerid", "itemid")
+
+
+def _replaced_report(spark, d):
+    """The summary stored, then stored again over itself."""
+    folder = files.shared_folder(spark)
+    tables.save_report(_report_summary(spark, d), folder)
+    tables.save_report(spark.read.parquet(folder), folder)
+    return spark.read.parquet(folder)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every registered query; those on documents only where their part is there."""
     more = dict(llm_queries.QUERIES) if llm_queries else {}
@@ -325,6 +431,13 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "monthly_mrr_hard": _hard(_hard_monthly()),
         "monthly_mrr_truncated": _hard(_hard_monthly(truncated=True)),
         "monthly_mrr_total": _whole_amounts,
+        "maintained_timeline": _maintained_timeline,
+        "maintained_summary": _maintained_summary,
+        "maintained_window": _maintained_window,
+        "imported_lines": _imported_lines,
+        "imported_ids": _imported_ids,
+        "deleted_references": _deleted_references,
+        "replaced_report": _replaced_report,
     }
 
 
@@ -648,6 +761,23 @@ LEFT JOIN people c ON c.id = u.customerid LEFT JOIN part p ON p.p_partkey = u.it
         + summary.format(
             window="AND period_start BETWEEN DATE '{}' AND DATE '{}'".format(*SUMMARY_WINDOW)
         ),
+        "maintained_timeline": hard_timeline,
+        "maintained_summary": hard_summary,
+        "maintained_window": _with(*posted)
+        + summary.format(
+            window="AND period_start BETWEEN DATE '{}' AND DATE '{}'".format(*SUMMARY_WINDOW)
+        ),
+        "replaced_report": _with(*posted) + summary.format(window=""),
+        "imported_lines": _with(_LINES)
+        + f"""SELECT tranid, customerid, s_suppkey AS itemid, CAST(tranid AS VARCHAR) AS contractid, startdate, enddate,
+       {_TERM} AS term, {_money("cents")} AS amount
+FROM lines JOIN customer ON c_custkey = customerid AND c_acctbal >= 0 JOIN supplier ON s_suppkey = itemid""",
+        "imported_ids": _with(_LINES)
+        + """SELECT CAST(1 AS BIGINT) AS first_id, count(*) AS last_id, count(*) AS ids, count(*) AS rows FROM lines""",
+        "deleted_references": _with(_LINES)
+        + """SELECT tranid AS line_id, tranid, c_custkey AS customerid, p_partkey AS itemid
+FROM lines LEFT JOIN customer ON c_custkey = customerid AND c_acctbal >= 0
+LEFT JOIN part ON p_partkey = itemid AND p_retailprice > 900""",
         "resolve_references": _with(_LINES)
         + f"""SELECT tranid AS line_id, tranid, customerid, itemid,
        CAST(tranid AS VARCHAR) AS contractid, startdate, enddate, {_TERM} AS term,

@@ -329,15 +329,56 @@ def report_summary(
 
     ``between`` keeps the periods that start in a window, ``months_between``
     the contract months dated in one.
+    """
+    typed = order_types(lines.select(*PLACE, *VALUE), **options)
+    count = month_count(lines, truncated)
+    return summarise(typed, periods, between, months_between, ordered, count)
+
+
+def summarise(
+    typed: DataFrame,
+    periods: DataFrame,
+    between: Days | None = None,
+    months_between: Days | None = None,
+    ordered: bool = True,
+    count: Column | None = None,
+) -> DataFrame:
+    """``report_summary`` of lines whose order types and gaps are known, as those of a store are."""
+    months = months_starting(periods, between)
+    posted = _posted_sums(_summed(typed, []), months, month_count(typed) if count is None else count, months_between)
+    summary = posted.groupBy(*SUMMARY_KEY).agg(F.sum(_posting_amount()).alias("mrr"))
+    return _sorted(summary, ["periodstart", "ordertype", "postingperiodid"], ordered).select(
+        F.col("postingperiod").alias("period"), "ordertype", "mrr"
+    )
+
+
+SUMMARY_KEY = ["postingperiodid", "postingperiod", "periodstart", "ordertype"]
+
+
+def months_starting(periods: DataFrame, between: Days | None) -> DataFrame:
+    """Month periods, of a window of starts if given."""
+    months = monthly_periods(periods)
+    if between is None:
+        return months
+    low, high = (F.to_date(F.lit(day)) for day in between)
+    return months.where(F.col("startdate").between(low, high))
+
+
+def _summed(typed: DataFrame, more: list[Column], sign: Column | None = None) -> DataFrame:
+    """Monthly amounts of all lines that post to the same periods.
 
     Lines of one order type that start on one day with one term post to the
     same periods, so their monthly amounts are added up first, on the map side
-    of the exchange, and only the sums are spread over months.
+    of the exchange, and only the sums are spread over months. ``sign`` tells
+    lines to take away from lines to add.
     """
-    typed = order_types(lines.select(*PLACE, *VALUE), **options)
     rows = with_churn_rows(with_amounts(typed))
     churned = F.col("churned")
-    sums = (
+
+    def signed(amount: Column) -> Column:
+        return amount if sign is None else F.when(sign < 0, -amount).otherwise(amount)
+
+    return (
         rows.where(churned | (F.col("tranid").isNotNull() & (F.col("term") > 0)))
         .groupBy(
             "churned",
@@ -347,21 +388,67 @@ def report_summary(
             F.when(~churned, F.col("term")).alias("term"),
         )
         .agg(
-            F.sum("rate").alias("rate"),
-            F.sum(F.when(~churned, F.col("closing"))).alias("closing"),
+            F.sum(signed(F.col("rate"))).alias("rate"),
+            F.sum(signed(F.when(~churned, F.col("closing")))).alias("closing"),
+            *more,
         )
     )
-    numbers = F.when(churned, F.array(F.lit(0))).otherwise(month_list())
-    months = monthly_periods(periods)
-    if between is not None:
-        low, high = (F.to_date(F.lit(day)) for day in between)
-        months = months.where(F.col("startdate").between(low, high))
-    bounded = with_month_bounds(sums, month_count(lines, truncated), months_between)
-    spread = bounded.withColumn("period", F.explode(numbers))
-    posted = posting_period(spread, _posting_day(), months, "inner")
-    summary = posted.groupBy("postingperiodid", "postingperiod", "periodstart", "ordertype").agg(
-        F.sum(_posting_amount()).alias("mrr")
+
+
+def _posted_sums(
+    sums: DataFrame, months: DataFrame, count: Column, months_between: Days | None = None
+) -> DataFrame:
+    numbers = F.when(F.col("churned"), F.array(F.lit(0))).otherwise(month_list())
+    spread = with_month_bounds(sums, count, months_between).withColumn("period", F.explode(numbers))
+    return posting_period(spread, _posting_day(), months, "inner")
+
+
+# Summary kept up to date -----------------------------------------------------
+
+
+def summary_changes(before: DataFrame, after: DataFrame, periods: DataFrame) -> DataFrame:
+    """What a summary gains and loses where the typed lines ``before`` are replaced by ``after``.
+
+    One row per period and order type: the change of ``mrr``, of the ``rows`` behind it and of the
+    ``amounts`` among them that are not missing. Lines that stay as they were cancel out before
+    they are spread over months. Added up over all changes, counts tell which groups are left, and which have amounts.
+    """
+    columns = [*PLACE, *VALUE, "ordertype", "gapwithnext"]
+    both = after.select(*columns, F.lit(1).alias("weight")).unionByName(
+        before.select(*columns, F.lit(-1).alias("weight"))
     )
-    return _sorted(summary, ["periodstart", "ordertype", "postingperiodid"], ordered).select(
-        F.col("postingperiod").alias("period"), "ordertype", "mrr"
+    weight = F.col("weight")
+    counts = [
+        F.sum(weight).alias("rows"),
+        F.coalesce(F.sum(F.when(F.col("rate").isNotNull(), weight)), F.lit(0)).alias("rated"),
+        F.coalesce(F.sum(F.when(F.col("closing").isNotNull(), weight)), F.lit(0)).alias("closed"),
+    ]
+    sums = _summed(both, counts, weight)
+    changed = [F.coalesce(F.col(c), F.lit(0)) != 0 for c in ("rows", "rated", "closed", "rate", "closing")]
+    sums = sums.where(changed[0] | changed[1] | changed[2] | changed[3] | changed[4])
+    posted = _posted_sums(sums, monthly_periods(periods), month_count(sums))
+    last = F.col("period") >= F.col("term")
+    return posted.groupBy(*SUMMARY_KEY).agg(
+        F.coalesce(F.sum(_posting_amount()), F.lit(0)).cast("decimal(38,2)").alias("mrr"),
+        F.sum("rows").alias("rows"),
+        F.sum(F.when(last, F.col("closed")).otherwise(F.col("rated"))).alias("amounts"),
+    )
+
+
+def summary_after(changes: DataFrame, ordered: bool = True) -> DataFrame:
+    """The summary that all changes add up to."""
+    totals = changes.groupBy(*SUMMARY_KEY).agg(
+        F.sum("mrr").alias("mrr"), F.sum("rows").alias("rows"), F.sum("amounts").alias("amounts")
+    )
+    left = totals.where("rows > 0").withColumn("mrr", F.when(F.col("amounts") > 0, F.col("mrr")))
+    return _sorted(left, ["periodstart", "ordertype", "postingperiodid"], ordered).select(
+        F.col("postingperiod").alias("period"), "ordertype", F.col("mrr").cast("decimal(38,2)").alias("mrr")
     )
+
+
+def posting_days(typed: DataFrame) -> tuple[Column, Column]:
+    """First and last day on which a line or its churn can post; NULL where none does."""
+    posts = F.col("tranid").isNotNull() & (F.col("term") > 0)
+    churn = F.when(has_churn(), churn_day())
+    last = add_months_keep_end(F.col("startdate"), F.ceil("term").cast("int") - 1)
+    return F.least(F.when(posts, F.col("startdate")), churn), F.greatest(F.when(posts, last), churn)
