@@ -138,7 +138,7 @@ def row_salt(df_rows: int, rows_per_task: int) -> int:
     return max(1, -(-df_rows // rows_per_task))
 
 
-def part_of(columns: list[str], parts: int) -> Column:
+def part_of(columns: list[str], parts: int | Column) -> Column:
     """A part for each row, from a checksum of its columns."""
     return F.crc32(F.concat_ws("|", *(F.col(c).cast("string") for c in columns))) % parts
 

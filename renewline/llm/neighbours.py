@@ -17,8 +17,9 @@ its chunk for each query, never all pairs. A query that finds fewer rows than as
 searches all buckets of the first table, which hold every row.
 
 Vectors that are null, empty, zero, or hold null or non-finite components take no part,
-nor do vectors of another length than most have. A query never finds rows of its own id;
-rows that repeat an id count once, with their largest score. Ties go to the smaller id.
+nor do vectors of another number of components than most have. A query never finds rows of its own id;
+rows that repeat an id count once, with their largest score. Ties go to the smaller id. A score beyond
+doubles is infinite and stands first or last; one of infinite terms of both signs counts as the lowest.
 """
 
 from __future__ import annotations
@@ -65,13 +66,24 @@ def axes(vectors: np.ndarray, signs: np.ndarray) -> np.ndarray:
     return np.concatenate([out, -out], axis=1)
 
 
+def directions(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors of length one, and the logarithms of lengths; the largest component is taken out first."""
+    largest = np.abs(vectors).max(axis=1, keepdims=True)
+    scaled = vectors / largest
+    length = np.linalg.norm(scaled, axis=1, keepdims=True)
+    return scaled / length, (np.log(largest) + np.log(length))[:, 0]
+
+
 class Tables:
-    """The pseudo-rotations of all tables, for vectors of ``dims`` components, and their ranges of length."""
+    """The pseudo-rotations of all tables, for vectors of ``dims`` components, and their ranges of length.
+
+    ``longest`` and ``shortest`` are logarithms of lengths, as lengths themselves may not fit a double.
+    """
 
     def __init__(self, dims: int, longest: float, shortest: float, tables: int = TABLES, seed: int = 11):
         self.longest = longest
         # A range of length reaches down to a fixed share of its longest; rounding opens none.
-        self.ranges = 1 + max(0, int(np.log(longest / shortest) / np.log(RANGE) - 1e-6))
+        self.ranges = 1 + max(0, int((longest - shortest) / np.log(RANGE) - 1e-6))
         self.dims = 1 << max(1, int(np.ceil(np.log2(dims))))
         self.signs = np.random.default_rng(seed).choice([-1.0, 1.0], (tables, _ROUNDS, self.dims))
         self.group(np.zeros(self.ranges, np.int64), 0)
@@ -95,12 +107,12 @@ class Tables:
 
     def range_of(self, vectors: np.ndarray) -> np.ndarray:
         """The range of length of each vector, from 0 for the longest."""
-        down = np.log(self.longest / np.linalg.norm(vectors, axis=1)) / np.log(RANGE) - 1e-6
+        down = (self.longest - directions(vectors)[1]) / np.log(RANGE) - 1e-6
         return np.clip(down.astype(np.int64), 0, self.ranges - 1)
 
     def file(self, vectors: np.ndarray) -> list[np.ndarray]:
         """One bucket per table for each candidate, or the only one of its range."""
-        unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+        unit, _ = directions(vectors)
         found = [axes(unit, s).argmax(axis=1) + 2 * self.dims * t for t, s in enumerate(self.signs)]
         at = self.range_of(vectors)
         every = np.stack(found, axis=1) + self.first[at, None]
@@ -108,7 +120,7 @@ class Tables:
 
     def probe(self, vectors: np.ndarray, probes: int, tables: int | None = None) -> np.ndarray:
         """The nearest ``probes`` buckets per table and range for each query, and all joined buckets."""
-        unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+        unit, _ = directions(vectors)
         probes = min(probes, 2 * self.dims)
         found = []
         for t, s in enumerate(self.signs[:tables]):
@@ -120,7 +132,7 @@ class Tables:
 
 
 def usable(vectors: DataFrame, vec_id: str, vector: str) -> tuple[DataFrame, int, float, float]:
-    """Rows that take part as (id, v), their dimension, largest and smallest length."""
+    """Rows that take part as (id, v), their dimension, largest and smallest length as logarithms."""
     v = F.col("v").cast("array<double>")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     # Single-precision vectors are moved as they are and widened where they are scored.
@@ -129,7 +141,10 @@ def usable(vectors: DataFrame, vec_id: str, vector: str) -> tuple[DataFrame, int
     rows = vectors.select(F.col(vec_id).cast("long").alias("id"), moved.alias("v"))
     rows = rows.where(F.col("id").isNotNull() & v.isNotNull() & (F.size(v) > 0))
     rows = rows.where(finite & F.exists(v, lambda x: x != 0))
-    length = F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
+    # Without the largest component no square leaves the range of doubles.
+    largest = F.array_max(F.transform(v, F.abs))
+    shares = F.zip_with(v, F.array_repeat(largest, F.size(v)), lambda x, most: x / most)
+    length = F.ln(largest) + 0.5 * F.ln(F.aggregate(shares, F.lit(0.0), lambda s, x: s + x * x))
     sizes = rows.groupBy(F.size("v").alias("d")).agg(
         F.count("*").alias("n"), F.max(length).alias("longest"), F.min(length).alias("shortest")
     )
@@ -185,7 +200,9 @@ def _best(query_ids, queries, ids, vectors, count: int):
     out = []
     for at in range(0, len(queries), step):
         # Summed in the same order for every pair, so equal vectors score equal.
-        scores = np.einsum("qd,cd->qc", queries[at : at + step], vectors)
+        with np.errstate(over="ignore", invalid="ignore"):
+            scores = np.einsum("qd,cd->qc", queries[at : at + step], vectors)
+        scores[np.isnan(scores)] = -np.inf
         own = query_ids[at : at + step, None] == ids[None, :]
         scores[own] = -np.inf
         if len(ids) > count:

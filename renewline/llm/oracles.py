@@ -151,11 +151,12 @@ cells AS (
          least(length(bin(size)) - 1, {top - 1}) AS x2,
          coalesce((doc_id - low) * {top} // (high - low + 1), 0) AS x3
   FROM raw, bounds),{_hilbert("cells")},
+counted AS (SELECT *, count(*) OVER (PARTITION BY hilbert) AS cell FROM {_last_step()}),
 numbered AS (
   SELECT doc_id, size, text_crc32, hilbert, n, row_number() OVER (ORDER BY hilbert,
-           {_crc(_bytes("concat_ws('|', doc_id, size, text_crc32)"))} % ((n + {sharding.ROWS_PER_TASK - 1}) // {sharding.ROWS_PER_TASK}),
+           {_crc(_bytes("concat_ws('|', doc_id, size, text_crc32)"))} % ((cell + {sharding.ROWS_PER_TASK - 1}) // {sharding.ROWS_PER_TASK}),
            doc_id NULLS FIRST, size, text_crc32) - 1 AS pos
-  FROM {_last_step()})
+  FROM counted)
 SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(pos * {k} // n AS INTEGER) AS shard,
        pos - (pos * {k} // n * n + {k - 1}) // {k} AS slot, CAST(NULL AS INTEGER) AS grown_shard, hilbert
 FROM numbered"""

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from renewline.llm.common import materialize, part_of, row_salt
+from renewline.llm.common import materialize, part_of, whole_row
 
 SHARDS = 8
 #: Bits of each dimension.
@@ -101,30 +101,30 @@ def shard_by_curve(
     The slot numbers the rows of a shard from 0 in curve order.
     """
     total = rows.count()
-    salt = part_of(order, row_salt(total, rows_per_task))
-    parts = rows.withColumns(
-        {"_coarse": F.shiftright(F.col(index), index_bits - coarse_bits), "_part": salt}
+    at = F.col("index")
+    held = rows.select(whole_row(rows).alias("row"), F.col(index).alias("index"))
+    # Each cell is cut by its own count, so there are about as many parts as cells and full tasks together.
+    cells = held.groupBy("index").agg(F.count("*").alias("cell"))
+    cuts = F.ceil(F.col("cell") / rows_per_task).cast("int")
+    inner = [f"row.{c}" for c in order]
+    parts = held.join(cells, "index").select(
+        "row", "index", F.shiftright(at, index_bits - coarse_bits).alias("coarse"), part_of(inner, cuts).alias("part")
     )
-    part = ["_coarse", index, "_part"]
-    counts = parts.groupBy(*part).agg(F.count("*").alias("_rows"))
+    part = ["coarse", "index", "part"]
+    counts = parts.groupBy(*part).agg(F.count("*").alias("rows"))
     # Coarse cells are at most 2 ** coarse_bits rows; the rest is numbered within each.
-    coarse = counts.groupBy("_coarse").agg(F.sum("_rows").alias("_all"))
-    before = Window.orderBy("_coarse").rowsBetween(Window.unboundedPreceding, -1)
-    coarse = coarse.select("_coarse", F.coalesce(F.sum("_all").over(before), F.lit(0)).alias("_base"))
-    within = Window.partitionBy("_coarse").orderBy(index, "_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.withColumn("_start", F.coalesce(F.sum("_rows").over(within), F.lit(0)))
-    starts = starts.join(coarse, "_coarse").select(*part, (F.col("_base") + F.col("_start")).alias("_start"))
-    numbered = parts.withColumn("_row", F.row_number().over(Window.partitionBy(*part).orderBy(*order)) - 1)
-    placed = numbered.join(starts, part).withColumn("_at", F.col("_start") + F.col("_row"))
+    coarse = counts.groupBy("coarse").agg(F.sum("rows").alias("all"))
+    before = Window.orderBy("coarse").rowsBetween(Window.unboundedPreceding, -1)
+    coarse = coarse.select("coarse", F.coalesce(F.sum("all").over(before), F.lit(0)).alias("base"))
+    within = Window.partitionBy("coarse").orderBy("index", "part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.withColumn("start", F.coalesce(F.sum("rows").over(within), F.lit(0)))
+    starts = starts.join(coarse, "coarse").select(*part, (F.col("base") + F.col("start")).alias("start"))
+    numbered = parts.withColumn("number", F.row_number().over(Window.partitionBy(*part).orderBy(*inner)) - 1)
+    placed = numbered.join(starts, part).withColumn("at", F.col("start") + F.col("number"))
     # Shard k begins at the smallest position p with p * shards >= k * total.
-    shard = F.expr(f"(_at * {shards}) div {max(total, 1)}")
-    first = F.expr(f"(_shard * {total} + {shards - 1}) div {shards}")
-    return (
-        placed.withColumn("_shard", shard)
-        .withColumn("slot", F.col("_at") - first)
-        .withColumn("shard", F.col("_shard").cast("int"))
-        .drop("_coarse", "_part", "_start", "_row", "_at", "_shard")
-    )
+    placed = placed.withColumn("run", F.expr(f"(at * {shards}) div {max(total, 1)}"))
+    first = F.expr(f"(run * {total} + {shards - 1}) div {shards}")
+    return placed.select("row.*", (F.col("at") - first).alias("slot"), F.col("run").cast("int").alias("shard"))
 
 
 def text_size(text: Column) -> Column:

@@ -119,3 +119,25 @@ def test_every_range_has_its_buckets():
         assert at.tolist() == list(range(at[0], at[-1] + 1)) and sizes[at].sum() <= 10 and not index.hashed[at].any()
     starts = [(f, 2 * index.dims * len(index.signs) if h else 1) for f, h in sorted(set(zip(index.first.tolist(), index.hashed.tolist())))]
     assert all(f + n <= g for (f, n), (g, _) in zip(starts, starts[1:]))
+
+
+@pytest.mark.parametrize("scale", [1e200, 1e-200, 1e300, 5e-324])
+def test_lengths_beyond_doubles(spark, scale):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(200, 8))
+    x[7] = np.where(x[7] >= 0, 1.0, -1.0) * scale
+    x[40] *= 1e3
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = collected(neighbours.nearest(docs))
+    expected = brute({i: np.array(v) for i, v in rows})
+    assert found.keys() == expected.keys() and all(len(f) == 20 for f in found.values())
+    assert recall(found, expected) >= 0.9
+
+
+def test_scores_beyond_doubles_have_an_order(spark):
+    rows = [(0, [1e200, 1e200]), (1, [1e200, 1e200]), (2, [1e200, -1e200]), (3, [-1e200, -1e200]), (4, [1.0, 1.0]), (5, [1e200, 1e199])]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = collected(neighbours.nearest(docs))[0]
+    assert [i for i, _ in found] == [1, 5, 4, 2, 3]
+    assert [s for _, s in found] == [np.inf, np.inf, 2e200, -np.inf, -np.inf]

@@ -77,3 +77,18 @@ def test_written_shards_keep_their_rows(spark, tmp_path):
     rows = spark.range(100).select(F.col("id").alias("doc_id"), (F.col("id") % 9).alias("h"))
     sharding.write_shards(sharding.shard_by_curve(rows, "h", ["doc_id"]), f"{tmp_path}/out")
     assert spark.read.parquet(f"{tmp_path}/out").select("doc_id").distinct().count() == 100
+
+
+def test_parts_follow_the_rows_of_a_cell(spark):
+    """One cell holds most rows: it alone is cut, so a window over parts sees few rows."""
+    rows = spark.range(30_000).selectExpr("id AS doc_id", "if(id < 29000, 7, id) % 4096 AS cell", "id % 3 AS row", "id AS part")
+    rows = sharding.shard_by_curve(rows, "cell", ["doc_id"], rows_per_task=1_000, coarse_bits=2, index_bits=12)
+    got = rows.collect()
+    assert rows.columns == ["doc_id", "cell", "row", "part", "slot", "shard"]
+    assert sorted((r.shard, r.slot) for r in got) == [(k, n) for k in range(8) for n in range(3_750)]
+    assert all(r.part == r.doc_id and r.row == r.doc_id % 3 for r in got)
+    plan = rows._jdf.queryExecution().executedPlan()
+    counted = rows.groupBy("cell").count().count()
+    assert counted < 1_100 and "Window" in plan.toString()
+    ordered = sorted(got, key=lambda r: (r.shard, r.slot))
+    assert [r.cell for r in ordered] == sorted(r.cell for r in got)
