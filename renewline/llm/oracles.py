@@ -35,7 +35,7 @@ def _hot(name: str, kind: int, bound: float) -> str:
     allowed = " OR ".join(f"regexp_matches(whole, {_quoted(p)})" for p in secrets.ALLOWED)
     return f"""
 {name}_window AS (
-  SELECT row, start AS run, start + i AS pos,
+  SELECT row, start AS run, start + i AS pos, whole,
          list_aggregate(string_split(substr(whole, CAST(i + 1 AS INTEGER), {w}), ''), 'entropy') AS bits
   FROM {name}, LATERAL (SELECT unnest(range(0, length(whole) - {w} + 1)) AS i)
   WHERE length(whole) >= {w} AND NOT ({allowed})),
@@ -45,7 +45,10 @@ def _hot(name: str, kind: int, bound: float) -> str:
 {name}_part AS (
   SELECT *, sum(opens) OVER (PARTITION BY row, run ORDER BY pos) AS part FROM {name}_mark),
 {name}_span AS (
-  SELECT row, {kind} AS kind, min(pos) AS start, max(pos) + {w} AS stop FROM {name}_part GROUP BY row, run, part)"""
+  SELECT row, {kind} AS kind, min(pos) AS start, max(pos) + {w} AS stop FROM {name}_part GROUP BY row, run, part
+  HAVING NOT regexp_matches(
+    substr(any_value(whole), CAST(min(pos) - run + 1 AS INTEGER), CAST(max(pos) + {w} - min(pos) AS INTEGER)),
+    {_quoted(secrets.PLACEHOLDER)}))"""
 
 
 def secret_scan() -> str:

@@ -8,8 +8,8 @@ Four kinds of shapes and runs are looked for in a text:
     Parts of a candidate run whose Shannon entropy within a window of fixed width
     reaches the bound of its character class. The window slides by one character;
     two counts change at each step and the sum over the counts is corrected by
-    their two differences. An allow list keeps identifiers, placeholders, paths
-    and plain words out.
+    their two differences. An allow list keeps runs out that are an identifier, a path or
+    a plain word as a whole, and stretches that hold a placeholder.
 
 Positions are code points. A null text counts as empty; an empty text has no spans.
 Everything is built from SQL functions.
@@ -41,15 +41,16 @@ CLASSES = {
 }
 KINDS = ["assign", "access", "hex", *CLASSES]
 
-#: Candidates that match one of these are no secrets.
+#: Candidate runs that are one of these as a whole are no secrets: words, numbers, paths of words, identifiers, rules.
 ALLOWED = [
     r"^[A-Za-z]+$",
     r"^[0-9]+$",
     r"^[A-Za-z]+([-_/][A-Za-z]+)+/?$",
-    r"(?i)example|placeholder|sample|dummy|changeme|xxxx",
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"^[-_=+/]+$",
 ]
+#: A hot stretch that holds one of these is a placeholder; other stretches of its run are judged by themselves.
+PLACEHOLDER = r"(?i)example|placeholder|sample|dummy|changeme|xxxx"
 
 #: Counts enter the entropy as n * log2(n), kept in millionths so that sums are exact.
 SCALE = 1_000_000
@@ -62,25 +63,54 @@ def _none() -> Column:
     return F.array().cast(f"array<{_SPAN}>")
 
 
-def _lengths(pieces: Column) -> Column:
-    return F.transform(pieces, lambda piece: F.length(piece))
+#: Elements that one fold appends to an array. Longer arrays are folded in blocks, as each append copies its array.
+BLOCK = 128
 
 
-def _ends(text: Column, pattern: str) -> Column:
-    """Ends of all pieces of the text, each of them a gap followed by a match."""
-    sizes = _lengths(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("ends"))
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _in_blocks(values: Column) -> Column:
+    """The elements of an array in arrays of BLOCK."""
+    count = F.ceil(F.size(values) / BLOCK).cast("int")
+    return F.when(
+        F.size(values) > 0,
+        F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.slice(values, i * BLOCK + 1, F.lit(BLOCK))),
+    )
+
+
+def _sums(sizes: Column, start: Column) -> Column:
+    """Running sums of a short array."""
+    zero = F.struct(start.alias("at"), F.array().cast("array<int>").alias("sums"))
     return F.aggregate(
         sizes,
-        start,
+        zero,
         lambda state, size: F.struct(
-            (state["at"] + size).alias("at"),
-            F.concat(state["ends"], F.array(state["at"] + size)).alias("ends"),
+            (state["at"] + size).alias("at"), F.concat(state["sums"], F.array(state["at"] + size)).alias("sums")
         ),
-        lambda state: state["ends"],
+        lambda state: state["sums"],
     )
 
 
+def _ends(text: Column, pattern: str) -> Column:
+    """Ends of all pieces of the text, each of them a gap followed by a match: running sums of their lengths, by blocks."""
+    sizes = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.length)
+
+    def by_blocks(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda sum_, n: sum_ + n))
+        pairs = F.transform(
+            F.arrays_zip(blocks.alias("sizes"), totals.alias("total")),
+            lambda z: F.struct(z["sizes"].alias("sizes"), z["total"].alias("total")),
+        )
+        ends = _let(totals, lambda t: _sums(t, F.lit(0)))
+        zipped = F.zip_with(pairs, ends, lambda p, end: F.struct(p["sizes"].alias("sizes"), (end - p["total"]).alias("start")))
+        return F.flatten(F.transform(zipped, lambda z: _sums(z["sizes"], z["start"])))
+
+    return _let(sizes, lambda every: _let(_in_blocks(every), by_blocks))
+
+
 def _matches(text: Column, body: str, value_group: str | None = None) -> Column:
     """Leftmost matches as structs of start, end and the match or its value.
 
@@ -134,26 +164,29 @@ def _windows(run: Column, alphabet: str, bound: float) -> Column:
     total = F.aggregate(
         counts, F.lit(0), lambda sum_, n: sum_ + F.element_at(terms, n + 1)
     )
-    pair = "array<struct<a:int,b:int>>"
-
-    def extended(out: Column, at: Column, sum_: Column) -> Column:
-        """Merge the window starting at ``at`` into the stretches if it is hot."""
-        last = F.element_at(out, -1)
-        one = F.array(F.struct(at.alias("a"), (at + WINDOW).alias("b")))
-        merged = F.concat(
-            F.slice(out, F.lit(1), F.size(out) - 1),
-            F.array(F.struct(last["a"].alias("a"), (at + WINDOW).alias("b"))),
-        )
-        return (
-            F.when(sum_ > most, out)
-            .when((F.size(out) > 0) & (F.try_element_at(out, F.lit(-1))["b"] >= at), merged)
-            .otherwise(F.concat(out, one))
-        )
-
-    empty = F.array().cast(pair)
-    start = F.struct(
-        counts.alias("counts"), total.alias("sum"), extended(empty, F.lit(0), total).alias("out")
-    )
+    pair = "struct<a:int,b:int>"
+
+    def extended(state: Column | None, at: Column, sum_: Column) -> list[Column]:
+        """Stretches with the window starting at ``at``: the last one, those of its block before it, and full blocks."""
+        fresh = F.struct(at.cast("int").alias("a"), (at + WINDOW).cast("int").alias("b"))
+        if state is None:
+            none = F.lit(None).cast(pair)
+            empty, blocks = F.array().cast(f"array<{pair}>"), F.array().cast(f"array<array<{pair}>>")
+            return [F.when(sum_ <= most, fresh).otherwise(none).alias("last"), empty.alias("block"), blocks.alias("blocks")]
+        last, block, blocks = state["last"], state["block"], state["blocks"]
+        hot = sum_ <= most
+        joins = hot & last.isNotNull() & (last["b"] >= at)
+        opens = hot & last.isNotNull() & (last["b"] < at)
+        full = opens & (F.size(block) >= BLOCK - 1)
+        merged = F.struct(last["a"].alias("a"), (at + WINDOW).cast("int").alias("b"))
+        grown = F.concat(block, F.array(last))
+        return [
+            F.when(joins, merged).when(hot, fresh).otherwise(last).alias("last"),
+            F.when(full, F.array().cast(f"array<{pair}>")).when(opens, grown).otherwise(block).alias("block"),
+            F.when(full, F.concat(blocks, F.array(grown))).otherwise(blocks).alias("blocks"),
+        ]
+
+    start = F.struct(counts.alias("counts"), total.alias("sum"), *extended(None, F.lit(0), total))
     steps = F.transform(
         F.arrays_zip(
             F.slice(chars, F.lit(1), F.size(chars) - WINDOW).alias("gone"),
@@ -183,10 +216,14 @@ def _windows(run: Column, alphabet: str, bound: float) -> Column:
         return F.struct(
             F.when(same, state["counts"]).otherwise(moved).alias("counts"),
             sum_.alias("sum"),
-            extended(state["out"], z["at"], sum_).alias("out"),
+            *extended(state, z["at"], sum_),
         )
 
-    return F.aggregate(steps, start, step, lambda state: state["out"])
+    def finished(state: Column) -> Column:
+        last = F.when(state["last"].isNotNull(), F.array(state["last"])).otherwise(F.array().cast(f"array<{pair}>"))
+        return F.concat(F.flatten(state["blocks"]), state["block"], last)
+
+    return F.aggregate(steps, start, step, finished)
 
 
 def _entropy(text: Column, kind: str) -> Column:
@@ -197,7 +234,10 @@ def _entropy(text: Column, kind: str) -> Column:
         F.transform(
             runs,
             lambda m: F.transform(
-                _windows(m["text"], alphabet, bound),
+                F.filter(
+                    _windows(m["text"], alphabet, bound),
+                    lambda w: ~F.substring(m["text"], w["a"] + 1, w["b"] - w["a"]).rlike(PLACEHOLDER),
+                ),
                 lambda w: F.struct(
                     (m["start"] + w["a"]).alias("start"),
                     F.lit(KINDS.index(kind)).alias("kind"),
@@ -234,32 +274,65 @@ def find_secrets(docs: DataFrame, text: str = "text", name: str = "secret_spans"
     return docs.withColumn(name, secret_spans(F.col(text)))
 
 
-def redact(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
-    """The text with every stretch covered by spans replaced by the mask."""
-    start = F.struct(
-        F.lit(0).alias("at"), F.array().cast("array<string>").alias("kept")
+def _covered(spans: Column) -> Column:
+    """Ordered spans merged where they touch or overlap, as arrays of (start, end) in blocks."""
+    pair = "struct<start:int,end:int>"
+    none = F.array().cast(f"array<{pair}>")
+    zero = F.struct(
+        F.lit(None).cast(pair).alias("last"), none.alias("block"), F.array().cast(f"array<array<{pair}>>").alias("blocks")
     )
 
     def step(state: Column, span: Column) -> Column:
-        gap = F.substring(text, state["at"] + 1, span["start"] - state["at"])
-        fresh = (span["start"] >= state["at"]) & ((span["start"] > state["at"]) | (F.size(state["kept"]) == 0))
+        last, block = state["last"], state["block"]
+        joins = last.isNotNull() & (span["start"] <= last["end"])
+        opens = last.isNotNull() & (span["start"] > last["end"])
+        full = opens & (F.size(block) >= BLOCK - 1)
+        fresh = F.struct(span["start"].alias("start"), span["end"].alias("end"))
+        merged = F.struct(last["start"].alias("start"), F.greatest(last["end"], span["end"]).alias("end"))
+        grown = F.concat(block, F.array(last))
         return F.struct(
-            F.greatest(state["at"], span["end"]).alias("at"),
-            F.when(fresh, F.concat(state["kept"], F.array(gap, F.lit(mask))))
-            .otherwise(state["kept"])
-            .alias("kept"),
+            F.when(joins, merged).otherwise(fresh).alias("last"),
+            F.when(full, none).when(opens, grown).otherwise(block).alias("block"),
+            F.when(full, F.concat(state["blocks"], F.array(grown))).otherwise(state["blocks"]).alias("blocks"),
         )
 
-    joined = F.aggregate(
-        spans,
-        start,
-        step,
-        lambda state: F.concat(
-            F.array_join(state["kept"], ""),
-            F.substring(text, state["at"] + 1, F.length(text)),
-        ),
+    return F.aggregate(
+        spans, zero, step, lambda state: F.concat(state["blocks"], F.array(F.concat(state["block"], F.array(state["last"]))))
     )
-    return F.when(F.size(spans) > 0, joined).otherwise(text)
+
+
+def redact(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
+    """The text with every stretch covered by spans replaced by the mask.
+
+    A block of stretches is cut out of the text once and then taken apart, so that no stretch
+    walks the text from its beginning.
+    """
+
+    def masked(stretches: Column, part: Column, at: Column) -> Column:
+        """A part of the text that begins at ``at`` and ends with the last of its stretches."""
+        before = F.concat(F.array(at), F.transform(F.slice(stretches, F.lit(1), F.size(stretches) - 1), lambda x: x["end"]))
+        return F.array_join(
+            F.zip_with(
+                stretches,
+                before,
+                lambda x, end: F.concat(F.substring(part, end - at + 1, x["start"] - end), F.lit(mask)),
+            ),
+            "",
+        )
+
+    def by_blocks(blocks: Column) -> Column:
+        ends = F.transform(blocks, lambda b: F.element_at(b, -1)["end"])
+        starts = F.concat(F.array(F.lit(0)), F.slice(ends, F.lit(1), F.size(ends) - 1))
+        zipped = F.zip_with(blocks, starts, lambda b, at: F.struct(b.alias("b"), at.alias("at")))
+
+        def cut(z: Column) -> Column:
+            part = F.substring(text, z["at"] + 1, F.element_at(z["b"], -1)["end"] - z["at"])
+            return _let(part, lambda p: masked(z["b"], p, z["at"]))
+
+        rest = F.substring(text, F.element_at(ends, -1) + 1, F.length(text))
+        return F.concat(F.array_join(F.transform(zipped, cut), ""), rest)
+
+    return F.when(F.size(spans) > 0, _let(_covered(spans), by_blocks)).otherwise(text)
 
 
 def _joined(spans: Column) -> Column:
