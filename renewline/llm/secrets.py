@@ -65,6 +65,8 @@ def _none() -> Column:
 
 #: Elements that one fold appends to an array. Longer arrays are folded in blocks, as each append copies its array.
 BLOCK = 128
+#: Windows that one fold slides over; longer runs are cut into such pieces.
+PIECE = 2_048
 
 
 def _let(value: Column, use) -> Column:
@@ -81,34 +83,57 @@ def _in_blocks(values: Column) -> Column:
     )
 
 
-def _sums(sizes: Column, start: Column) -> Column:
-    """Running sums of a short array."""
-    zero = F.struct(start.alias("at"), F.array().cast("array<int>").alias("sums"))
+def _folded(values: Column, start: Column, op) -> Column:
+    """Running results of ``op`` over a short array."""
+    zero = F.struct(start.alias("at"), F.array().cast("array<int>").alias("all"))
     return F.aggregate(
-        sizes,
+        values,
         zero,
-        lambda state, size: F.struct(
-            (state["at"] + size).alias("at"), F.concat(state["sums"], F.array(state["at"] + size)).alias("sums")
+        lambda state, x: _let(
+            op(state["at"], x), lambda at: F.struct(at.alias("at"), F.concat(state["all"], F.array(at)).alias("all"))
         ),
-        lambda state: state["sums"],
+        lambda state: state["all"],
     )
 
 
+def _running(values: Column, zero: int, op) -> Column:
+    """Running results of an associative ``op`` over an array of any length: over its blocks, then within each."""
+
+    def by_blocks(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(zero), op))
+        upto = _let(totals, lambda t: _folded(t, F.lit(zero), op))
+        before = _let(upto, lambda u: F.concat(F.array(F.lit(zero)), F.slice(u, F.lit(1), F.size(u) - 1)))
+        pairs = F.zip_with(blocks, before, lambda b, start: F.struct(b.alias("values"), start.alias("start")))
+        return F.flatten(F.transform(pairs, lambda z: _folded(z["values"], z["start"], op)))
+
+    none = F.array().cast("array<int>")
+    return _let(values, lambda every: F.when(F.size(every) > 0, _let(_in_blocks(every), by_blocks)).otherwise(none))
+
+
 def _ends(text: Column, pattern: str) -> Column:
-    """Ends of all pieces of the text, each of them a gap followed by a match: running sums of their lengths, by blocks."""
+    """Ends of all pieces of the text, each of them a gap followed by a match: running sums of their lengths."""
     sizes = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.length)
+    return _running(sizes, 0, lambda a, b: a + b)
 
-    def by_blocks(blocks: Column) -> Column:
-        totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda sum_, n: sum_ + n))
-        pairs = F.transform(
-            F.arrays_zip(blocks.alias("sizes"), totals.alias("total")),
-            lambda z: F.struct(z["sizes"].alias("sizes"), z["total"].alias("total")),
-        )
-        ends = _let(totals, lambda t: _sums(t, F.lit(0)))
-        zipped = F.zip_with(pairs, ends, lambda p, end: F.struct(p["sizes"].alias("sizes"), (end - p["total"]).alias("start")))
-        return F.flatten(F.transform(zipped, lambda z: _sums(z["sizes"], z["start"])))
 
-    return _let(sizes, lambda every: _let(_in_blocks(every), by_blocks))
+def _merged(spans: Column) -> Column:
+    """Spans, ordered by start, joined where they touch or overlap, as structs (start, end)."""
+
+    def joined(x: Column) -> Column:
+        far = F.lit(2**31 - 1)
+        upto = _running(F.transform(x, lambda s: s["end"]), -1, lambda a, b: F.greatest(a, b))
+        starts = F.transform(x, lambda s: s["start"])
+
+        def cut(reach: Column) -> Column:
+            before = F.concat(F.array(F.lit(-1)), F.slice(reach, F.lit(1), F.size(reach) - 1))
+            after = F.concat(F.slice(starts, F.lit(2), F.size(reach)), F.array(far))
+            opens = F.filter(F.zip_with(starts, before, lambda s, e: F.when(s > e, s)), lambda s: s.isNotNull())
+            closes = F.filter(F.zip_with(reach, after, lambda e, s: F.when(s > e, e)), lambda e: e.isNotNull())
+            return F.zip_with(opens, closes, lambda s, e: F.struct(s.alias("start"), e.alias("end")))
+
+        return F.when(F.size(x) > 0, _let(upto, cut)).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
+
+    return _let(spans, joined)
 
 
 def _matches(text: Column, body: str, value_group: str | None = None) -> Column:
@@ -148,7 +173,7 @@ def _base(text: Column, kind: str, body: str, gate: Column, least: int, group: s
 
 
 def _windows(run: Column, alphabet: str, bound: float) -> Column:
-    """Hot stretches of a run: (from, to) pairs, relative to it, windows merged.
+    """Hot stretches of a piece of a run: (start, end) pairs, relative to it, windows merged.
 
     State: counts by character, the exact sum of n * log2(n) over them, and the
     stretches so far. Entropy is log2(width) minus that sum over the width.
@@ -164,29 +189,20 @@ def _windows(run: Column, alphabet: str, bound: float) -> Column:
     total = F.aggregate(
         counts, F.lit(0), lambda sum_, n: sum_ + F.element_at(terms, n + 1)
     )
-    pair = "struct<a:int,b:int>"
-
-    def extended(state: Column | None, at: Column, sum_: Column) -> list[Column]:
-        """Stretches with the window starting at ``at``: the last one, those of its block before it, and full blocks."""
-        fresh = F.struct(at.cast("int").alias("a"), (at + WINDOW).cast("int").alias("b"))
-        if state is None:
-            none = F.lit(None).cast(pair)
-            empty, blocks = F.array().cast(f"array<{pair}>"), F.array().cast(f"array<array<{pair}>>")
-            return [F.when(sum_ <= most, fresh).otherwise(none).alias("last"), empty.alias("block"), blocks.alias("blocks")]
-        last, block, blocks = state["last"], state["block"], state["blocks"]
-        hot = sum_ <= most
-        joins = hot & last.isNotNull() & (last["b"] >= at)
-        opens = hot & last.isNotNull() & (last["b"] < at)
-        full = opens & (F.size(block) >= BLOCK - 1)
-        merged = F.struct(last["a"].alias("a"), (at + WINDOW).cast("int").alias("b"))
-        grown = F.concat(block, F.array(last))
-        return [
-            F.when(joins, merged).when(hot, fresh).otherwise(last).alias("last"),
-            F.when(full, F.array().cast(f"array<{pair}>")).when(opens, grown).otherwise(block).alias("block"),
-            F.when(full, F.concat(blocks, F.array(grown))).otherwise(blocks).alias("blocks"),
-        ]
-
-    start = F.struct(counts.alias("counts"), total.alias("sum"), *extended(None, F.lit(0), total))
+    pair = "array<struct<start:int,end:int>>"
+
+    def extended(out: Column, at: Column, sum_: Column) -> Column:
+        """Merge the window starting at ``at`` into the stretches if it is hot."""
+        end = (at + WINDOW).cast("int")
+        last = F.try_element_at(out, F.lit(-1))
+        merged = F.concat(
+            F.slice(out, F.lit(1), F.size(out) - 1), F.array(F.struct(last["start"].alias("start"), end.alias("end")))
+        )
+        fresh = F.concat(out, F.array(F.struct(at.cast("int").alias("start"), end.alias("end"))))
+        return F.when(sum_ > most, out).when((F.size(out) > 0) & (last["end"] >= at), merged).otherwise(fresh)
+
+    empty = F.array().cast(pair)
+    start = F.struct(counts.alias("counts"), total.alias("sum"), extended(empty, F.lit(0), total).alias("out"))
     steps = F.transform(
         F.arrays_zip(
             F.slice(chars, F.lit(1), F.size(chars) - WINDOW).alias("gone"),
@@ -216,14 +232,24 @@ def _windows(run: Column, alphabet: str, bound: float) -> Column:
         return F.struct(
             F.when(same, state["counts"]).otherwise(moved).alias("counts"),
             sum_.alias("sum"),
-            *extended(state, z["at"], sum_),
+            extended(state["out"], z["at"], sum_).alias("out"),
         )
 
-    def finished(state: Column) -> Column:
-        last = F.when(state["last"].isNotNull(), F.array(state["last"])).otherwise(F.array().cast(f"array<{pair}>"))
-        return F.concat(F.flatten(state["blocks"]), state["block"], last)
+    return F.aggregate(steps, start, step, lambda state: state["out"])
 
-    return F.aggregate(steps, start, step, finished)
+
+def _stretches(run: Column, alphabet: str, bound: float) -> Column:
+    """Hot stretches of a run of any length: those of its pieces, joined. Each window lies in one piece."""
+    windows = F.length(run) - WINDOW + 1
+
+    def of_piece(at: Column) -> Column:
+        part = F.substring(run, at + 1, F.lit(PIECE + WINDOW - 1))
+        hot = _let(part, lambda p: _windows(p, alphabet, bound))
+        return F.transform(
+            hot, lambda w: F.struct((at + w["start"]).alias("start"), (at + w["end"]).alias("end"))
+        )
+
+    return _merged(F.flatten(F.transform(F.sequence(F.lit(0), windows - 1, F.lit(PIECE)), of_piece)))
 
 
 def _entropy(text: Column, kind: str) -> Column:
@@ -235,13 +261,13 @@ def _entropy(text: Column, kind: str) -> Column:
             runs,
             lambda m: F.transform(
                 F.filter(
-                    _windows(m["text"], alphabet, bound),
-                    lambda w: ~F.substring(m["text"], w["a"] + 1, w["b"] - w["a"]).rlike(PLACEHOLDER),
+                    _stretches(m["text"], alphabet, bound),
+                    lambda w: ~F.substring(m["text"], w["start"] + 1, w["end"] - w["start"]).rlike(PLACEHOLDER),
                 ),
                 lambda w: F.struct(
-                    (m["start"] + w["a"]).alias("start"),
+                    (m["start"] + w["start"]).alias("start"),
                     F.lit(KINDS.index(kind)).alias("kind"),
-                    (m["start"] + w["b"]).alias("end"),
+                    (m["start"] + w["end"]).alias("end"),
                 ),
             ),
         )
@@ -274,33 +300,6 @@ def find_secrets(docs: DataFrame, text: str = "text", name: str = "secret_spans"
     return docs.withColumn(name, secret_spans(F.col(text)))
 
 
-def _covered(spans: Column) -> Column:
-    """Ordered spans merged where they touch or overlap, as arrays of (start, end) in blocks."""
-    pair = "struct<start:int,end:int>"
-    none = F.array().cast(f"array<{pair}>")
-    zero = F.struct(
-        F.lit(None).cast(pair).alias("last"), none.alias("block"), F.array().cast(f"array<array<{pair}>>").alias("blocks")
-    )
-
-    def step(state: Column, span: Column) -> Column:
-        last, block = state["last"], state["block"]
-        joins = last.isNotNull() & (span["start"] <= last["end"])
-        opens = last.isNotNull() & (span["start"] > last["end"])
-        full = opens & (F.size(block) >= BLOCK - 1)
-        fresh = F.struct(span["start"].alias("start"), span["end"].alias("end"))
-        merged = F.struct(last["start"].alias("start"), F.greatest(last["end"], span["end"]).alias("end"))
-        grown = F.concat(block, F.array(last))
-        return F.struct(
-            F.when(joins, merged).otherwise(fresh).alias("last"),
-            F.when(full, none).when(opens, grown).otherwise(block).alias("block"),
-            F.when(full, F.concat(state["blocks"], F.array(grown))).otherwise(state["blocks"]).alias("blocks"),
-        )
-
-    return F.aggregate(
-        spans, zero, step, lambda state: F.concat(state["blocks"], F.array(F.concat(state["block"], F.array(state["last"]))))
-    )
-
-
 def redact(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
     """The text with every stretch covered by spans replaced by the mask.
 
@@ -332,7 +331,7 @@ def redact(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
         rest = F.substring(text, F.element_at(ends, -1) + 1, F.length(text))
         return F.concat(F.array_join(F.transform(zipped, cut), ""), rest)
 
-    return F.when(F.size(spans) > 0, _let(_covered(spans), by_blocks)).otherwise(text)
+    return F.when(F.size(spans) > 0, _let(_let(_merged(spans), _in_blocks), by_blocks)).otherwise(text)
 
 
 def _joined(spans: Column) -> Column:

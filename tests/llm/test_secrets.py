@@ -127,10 +127,12 @@ def test_very_many_matches(spark):
     texts = [" ".join(hexa(32) for _ in range(n)) for n in (127, 128, 129, 700)]
     texts.append("=".join(rng.choice(["A" * 25, hexa(24) + "XyZ/+"]) for _ in range(900)))
     texts.append("é " + "x token=abcdefgh1 " * 400)
+    # Runs of several pieces, with stretches over their borders and many within.
+    texts.append("".join(rng.choice([hexa(64) + "XyZ/+", "A" * 40]) for _ in range(150)) + " " + hexa(5_000))
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     found = secrets.find_secrets(docs, name="found")
     rows = found.select("doc_id", "found", secrets.redact(F.col("text"), F.col("found"), "#").alias("masked")).collect()
-    assert len(rows) == 6
+    assert len(rows) == 7
     for r in rows:
         text, spans = texts[r.doc_id], brute(texts[r.doc_id])
         assert [(s["start"], s["kind"], s["end"]) for s in r.found] == spans
