@@ -102,3 +102,21 @@ def test_query(spark, tmp_path):
 
 def test_empty_table(spark, tmp_path):
     assert repeats.op3_remove_repeats(spark, data.parquet(data.documents(spark, []), tmp_path)).count() == 0
+
+
+def test_shared_passages_under_and_over_the_length(spark, tmp_path):
+    """A passage of over 50 words goes if it has 400 bytes, and stays if it has fewer; ``n_bytes`` is the input's size."""
+    rng = random.Random(21)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    own = lambda: " ".join(word(9) for _ in range(80))
+    short = " ".join(word(5) for _ in range(60))
+    exact = " ".join(word(7) for _ in range(60))[:400]
+    longer = " ".join(word(6) for _ in range(90))
+    assert len(short) < 400 < len(longer) and len(exact) == 400
+    # Different characters around a passage, so that it is shared no farther.
+    texts = [f"{own()} {i}{passage}{i} {own()}" for passage in (short, exact, longer) for i in range(3)] + [own()]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in repeats.op3_remove_repeats(spark, data.parquet(docs, tmp_path)).collect()}
+    for i, text in enumerate(texts):
+        gone = 0 if i == 9 else (0, len(exact), len(longer))[i // 3]
+        assert (rows[i].n_bytes, rows[i].n_removed, rows[i].n_spans) == (len(text), gone, int(gone > 0))
