@@ -163,7 +163,7 @@ def test_records_equal_those_of_a_whole_reader(spark, tmp_path, seed):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     try:
         # Splits of a few lines, so that records and runs of records reach over several.
-        spark.conf.set("spark.sql.files.maxPartitionBytes", str(rng.choice([60, 150, 700])))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(rng.choice([150, 400, 900])))
         spark.conf.set("spark.sql.files.openCostInBytes", "0")
         got = contract_csv.read_contract_csv(spark, str(tmp_path), "split")
         assert quoted._lines(spark, str(tmp_path)).rdd.getNumPartitions() > 10
