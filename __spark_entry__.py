@@ -228,11 +228,11 @@ def _overlapping_periods(spark, d):
     return periods.overlapping_periods(every)
 
 
-def _hot(lines: DataFrame, way: str) -> DataFrame | None:
-    """The timelines computed by pairs of dates: none, all, or about half of them."""
+def _hot(lines: DataFrame, way: str) -> DataFrame | str:
+    """The timelines computed by pairs of dates: those too big for one task, all, or about half of them."""
     keys = lines.select(*timeline.KEY).distinct()
     half = F.coalesce("customerid", F.lit(0)) % 2 == 1
-    return {"plain": None, "hot": keys, "mixed": keys.where(half)}[way]
+    return {"plain": "detect", "hot": keys, "mixed": keys.where(half)}[way]
 
 
 def _hard(report: Callable, way: str = "plain") -> Callable[[SparkSession, str], DataFrame]:

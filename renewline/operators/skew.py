@@ -61,14 +61,16 @@ def hot_keys(
         .select(*keys)
     )
     big = found.collect()
-    return df.sparkSession.createDataFrame(big, found.schema) if big else None
+    # Catalyst does not know the size of rows that the driver hands over, so it is told that they are few: a shuffled
+    # join would bring a big key into one task again.
+    return F.broadcast(df.sparkSession.createDataFrame(big, found.schema)) if big else None
 
 
 def split_by_keys(df: DataFrame, keys: list[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows outside and inside the ``hot`` keys.
 
-    Detected keys are few, and Catalyst broadcasts them by their size. A caller
-    may name any number: beyond the broadcast threshold the join shuffles.
+    Detected keys are few and broadcast. A caller may name any number: beyond
+    the broadcast threshold the join shuffles.
     """
     listed = hot.select(*[F.col(k).alias(f"hot_{k}") for k in keys])
     match = null_safe_match(df, listed, {k: f"hot_{k}" for k in keys})

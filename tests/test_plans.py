@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from renewline.operators import timeline as t
+from renewline.operators.skew import hot_keys, split_by_keys
 from renewline.plans import reports as r
 from renewline.sources import orders, tables
 from tests.fixtures import lines_frame, random_lines
@@ -70,6 +71,20 @@ def test_hot_timelines_are_aggregated_before_their_exchange(inputs):
     assert "partial_min(tranid" in hot
 
 
+def test_detected_timelines_are_split_off_without_an_exchange(inputs):
+    lines = inputs[0]
+    hot = t.hot_timelines(lines, hot_rows=1)
+    for side in split_by_keys(lines, t.KEY, hot):
+        assert exchanges(side) == []
+        assert "BroadcastHashJoin" in plan(side)
+
+
+@pytest.mark.parametrize("name", ["timeline_hard", "lifecycle_hard", "report_drilldown_hard", "report_summary_hard"])
+def test_hard_reports_keep_the_biggest_timeline_out_of_one_task(spark, monkeypatch, name):
+    monkeypatch.setattr(t, "hot_timelines", lambda lines: hot_keys(lines, t.KEY, hot_rows=300))
+    assert "partial_min(tranid" in plan(entry.own_queries()[name](spark, DATA))
+
+
 def test_bucketed_lines_need_no_exchange(spark, inputs):
     tables.save_clustered(inputs[0], "clustered_lines", 4)
     stored = spark.table("clustered_lines")
