@@ -282,7 +282,7 @@ def _stored_in_batches(spark, d, lines, months, batches: int = 4) -> TimelineSto
     store = TimelineStore(spark, files.shared_folder(spark))
     for n in range(batches):
         batch = lines.where(F.pmod(F.xxhash64("line_id"), F.lit(batches)) == n)
-        store.append(batch, months, f"batch-{n}", hot=None)
+        store.append(batch, months, f"batch-{n}")
     return store
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from renewline.operators.maintenance import reorder, touched
+from renewline.operators.maintenance import hot_in_either, reorder, touched
 from renewline.operators.timeline import GAPS, KEY
 from renewline.plans import reports
 from renewline.sources.files import FileSystem
@@ -61,7 +61,8 @@ class TimelineStore:
     def append(self, batch: DataFrame, periods: DataFrame, name: str, **options) -> None:
         """Add contract lines; ``name`` stands for the batch and must be another for other lines.
 
-        ``batch`` is read several times, so it should be stored. ``options`` go to the timeline operators.
+        ``batch`` is read several times, so it should be stored. ``options`` go to the timeline operators; unless they
+        name the ``hot`` timelines, those too big for one task are searched.
         """
         batch = batch.select(*CONTRACT_LINES.names)
         # At most as many numbers as there are buckets.
@@ -69,11 +70,15 @@ class TimelineStore:
         if not buckets:
             return
         stored = self.lines().where(F.col("bucket").isin(buckets))
-        before, after = reorder(stored, batch, **options)
+        big = None
+        if isinstance(options.get("hot", "detect"), str):
+            # One search serves the timeline operators and the look-up of stored lines.
+            big = options["hot"] = hot_in_either(stored, batch)
+        before, after = reorder(stored, batch, big, **options)
         change = f"{self.path}/changes/{name}"
         if not self._fs.exists(f"{change}/_SUCCESS"):
             reports.summary_changes(before, after, periods).coalesce(1).write.mode("overwrite").parquet(change)
-        kept, _ = touched(stored, batch)
+        kept, _ = touched(stored, batch, big)
         first, last = reports.posting_days(after)
         after = after.select("*", first.alias("firstday"), last.alias("lastday"), self._bucket())
         rows = kept.select(*STORED.names).unionByName(after.select(*STORED.names))

@@ -8,7 +8,10 @@ from collections import Counter
 from datetime import date, timedelta
 
 import pytest
+
+import __spark_entry__ as entry
 from renewline.operators import maintenance, timeline
+from renewline.operators.skew import hot_keys
 from renewline.plans import reports
 from renewline.sources.files import FileSystem
 from renewline.sources.timeline_store import TYPED, TimelineStore
@@ -61,6 +64,48 @@ def test_ten_appends_equal_the_full_run(spark, tmp_path, periods):
     assert rows(store.summary_between(periods, window)) == rows(reports.report_summary(lines, periods, window, hot=None))
 
 
+def test_appends_that_find_big_timelines_equal_the_full_run(spark, tmp_path, periods, monkeypatch):
+    found = []
+
+    def search(lines):
+        found.append(hot_keys(lines, timeline.KEY, hot_rows=6))
+        return found[-1]
+
+    monkeypatch.setattr(maintenance, "hot_timelines", search)
+    rng = random.Random(8)
+    store = TimelineStore(spark, str(tmp_path / "store"), buckets=4)
+    every = []
+    for n, count in enumerate((3, 60, 5, 1)):
+        batch = random_lines(rng, 100 * n, count)
+        every += batch
+        store.append(lines_frame(spark, batch), periods, f"batch-{n}")
+        lines = lines_frame(spark, every)
+        want = timeline.order_types(lines, hot=None).select(*typed_columns())
+        assert rows(store.lines().select(*typed_columns())) == rows(want), n
+        assert rows(store.summary()) == rows(reports.report_summary(lines, periods, hot=None)), n
+    big = [{tuple(r) for r in f.collect()} if f else set() for f in found]
+    assert not big[0] and any(None in key for key in big[2])
+    # The last batch touches a timeline or none of the big ones; others stay where they are.
+    kept, inside = maintenance.touched(store.lines(), lines_frame(spark, batch), found[-1])
+    touched = {(x["customerid"], x["itemid"]) for x in batch}
+    assert {(r.customerid, r.itemid) for r in inside.collect()} == touched
+    assert big[-1] - touched <= {(r.customerid, r.itemid) for r in kept.collect()}
+    assert kept.count() + inside.count() == len(every)
+
+
+def test_maintained_queries_search_for_big_timelines(spark, monkeypatch):
+    found = []
+
+    def search(lines):
+        found.append(hot_keys(lines, timeline.KEY, hot_rows=100))
+        return found[-1]
+
+    monkeypatch.setattr(maintenance, "hot_timelines", search)
+    got = entry.own_queries()["maintained_summary"](spark, "/root/testdata/sf0.001")
+    assert len(found) == 4 and all(found)
+    assert rows(got) == rows(entry.own_queries()["report_summary_hard"](spark, "/root/testdata/sf0.001"))
+
+
 def test_a_batch_run_again_changes_nothing(spark, tmp_path, periods, monkeypatch):
     rng = random.Random(4)
     store = TimelineStore(spark, str(tmp_path / "store"), buckets=3)
