@@ -35,6 +35,9 @@ Days = tuple[str, str]
 PLACE = ["line_id", "tranid", "customerid", "itemid", "startdate", "enddate"]
 VALUE = ["term", "amount"]
 
+# Months that one task sorts, on average.
+MONTHS_AT_ONCE = 500_000
+
 
 def _sorted(df: DataFrame, by: list[str], ordered: bool) -> DataFrame:
     return df.orderBy(*[F.asc_nulls_last(c) for c in by]) if ordered else df
@@ -98,6 +101,17 @@ def _posting_amount() -> Column:
     )
 
 
+def _sort_tasks(lines: DataFrame) -> int:
+    """Tasks to sort the months of all lines in. Runs one small counting job.
+
+    AQE would merge partitions by the size of the lines, before they are spread
+    over months, so it is the months that are counted.
+    """
+    rows = F.greatest(F.lit(1), F.coalesce(month_count(lines), F.lit(1))).cast("long")
+    months = lines.agg(F.sum(rows)).first()[0] or 0
+    return max(lines.sparkSession.sparkContext.defaultParallelism, -(-months // MONTHS_AT_ONCE))
+
+
 def monthly_mrr(
     lines: DataFrame,
     periods: DataFrame,
@@ -126,7 +140,7 @@ def monthly_mrr(
         # Ranges of lines are ranges of their months too, so the lines are
         # exchanged and the final sort needs no exchange of all the months.
         keyed = keyed.repartitionByRange(
-            F.asc_nulls_last("sort_id"), F.asc_nulls_last("sort_line")
+            _sort_tasks(lines), F.asc_nulls_last("sort_id"), F.asc_nulls_last("sort_line")
         )
     spread = with_amounts(keyed).withColumn("period", F.explode_outer(month_list()))
     day = add_months_keep_end(F.col("startdate"), F.col("period") - 1)

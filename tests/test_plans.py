@@ -117,6 +117,18 @@ def test_schedule_is_ordered_without_exchanging_months(inputs):
     assert text.index("Generate explode") < text.index("rangepartitioning")
 
 
+@pytest.mark.parametrize("truncated", [False, True])
+def test_schedule_is_sorted_in_tasks_by_its_months(inputs, monkeypatch, truncated):
+    lines, periods, transactions, *_ = inputs
+    monkeypatch.setattr(r, "MONTHS_AT_ONCE", 100)
+    schedule = r.monthly_mrr(lines, periods, transactions, truncated=truncated)
+    months = r.monthly_mrr(lines, periods, transactions, ordered=False).count()
+    wanted = -(-months // 100)
+    assert wanted > 20
+    assert re.findall(r"rangepartitioning\(.*, (\d+)\), REPARTITION_BY_NUM", main_plan(schedule)) == [str(wanted)]
+    assert schedule.rdd.getNumPartitions() == wanted
+
+
 def test_summary_adds_up_before_spreading(inputs):
     text = main_plan(r.report_summary(*inputs[:2], ordered=False, hot=None))
     spread = text.index("Generate explode(CASE WHEN churned")
