@@ -144,6 +144,32 @@ def test_held_out_texts_score_better_than_single_words(spark, tmp_path, monkeypa
         assert r.train_tokens == brute.tokens and r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 1)
 
 
+def test_query_learns_rare_contexts_and_symbols(spark, tmp_path):
+    """Contexts seen once or twice among many words count, and so does what stands once behind them."""
+    texts = phrases(7, 600) + ["only here stands this line"] * 9 + [f"lone{i} pair{i} of{i} words{i}" for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    learned = [t for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 5 != 1]
+    brute = BruteTree(learned, 3, 1, 1, suffixtree.DIVERGENCE)
+    assert ("lone0".encode(), b"pair0", b"of0") in brute.behind
+    rows = suffixtree.op12_lm_scoring(spark, data.parquet(docs, tmp_path)).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        score, base = brute.score(texts[r.doc_id], 3)
+        assert (r.score, r.base_score) == (pytest.approx(score), pytest.approx(base))
+
+
+@pytest.mark.parametrize("bits", [3, 14])
+def test_filters_that_would_be_full_are_left_out(spark, bits):
+    texts = phrases(8, 200)
+    brute = BruteTree(texts, 2, 1, 1, 0.02)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tree = suffixtree.learn(docs, max_depth=2, min_count=1, min_share=0.0, min_next=1, filter_bits=bits)
+    assert (tree.gram_filter is None) == (bits == 3)
+    assert tree.states.count() == len(brute.states)
+    for r in suffixtree.score(docs, tree).collect():
+        assert r.score == pytest.approx(brute.score(texts[r.doc_id], 2)[0])
+
+
 def test_odd_texts_and_repeated_rows(spark, tmp_path):
     docs = data.documents(spark, data.odd_texts())
     rows = suffixtree.op12_lm_scoring(spark, data.parquet(docs, tmp_path)).collect()
