@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -158,6 +159,46 @@ def test_query_learns_rare_contexts_and_symbols(spark, tmp_path):
         assert (r.score, r.base_score) == (pytest.approx(score), pytest.approx(base))
 
 
+@pytest.mark.parametrize("options", [{}, {"min_count": 5, "min_next": 2}])
+def test_parts_words_in_several_parts_and_words_without_a_code(spark, monkeypatch, options):
+    """However words are coded and dealt to parts, the tree is the same."""
+    texts = phrases(11, 150) + ["the the the the the the cat"] * 5 + [None, "", "never seen", "the rare1 never a b"]
+    learned = texts[::2]
+    brute = BruteTree(learned, 3, options.get("min_count", 1), options.get("min_next", 1), 0.02)
+    # About 20 parts; the commonest words lie in several of them. Words seen once or twice have no code.
+    monkeypatch.setattr(suffixtree, "PART_TOKENS", 120)
+    monkeypatch.setattr(suffixtree, "COMMON", 40)
+    monkeypatch.setattr(suffixtree, "TOKENS_AT_ONCE", 300)
+    monkeypatch.setattr(suffixtree, "BLOCK_BYTES", 1_000)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tree = suffixtree.learn(docs.where(F.col("doc_id") % 2 == 0), **options)
+    assert tree.codes.parts > 10 and 1 < len(tree.codes.hot) < len(tree.codes.names) < len(brute.counts) / 3
+    assert tree.codes.shares.max() > 2
+    names = [r.key for r in tree.states.collect()]
+    assert len(names) == len(set(names)) == len(brute.states)
+    assert tree.grams.count() == sum(len(brute.behind[s]) for s in brute.states)
+    rows = suffixtree.score(docs, tree).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(len(texts)))
+    rows += suffixtree.score(docs, tree, learned=F.col("doc_id") % 2 == 0).collect()
+    assert len(rows) == 2 * len(texts)
+    for r in rows:
+        row, (score, base) = symbols(texts[r.doc_id]), brute.score(texts[r.doc_id], 3)
+        assert out(r) == (len(row), sum(w in brute.counts for w in row), pytest.approx(score), pytest.approx(base))
+
+
+def test_what_is_kept_of_a_tree_stays_small(spark, tmp_path, monkeypatch):
+    """No tables of all contexts and symbols are written: at most ten bytes a token are kept to learn and score."""
+    kept = []
+    plain = suffixtree.materialize
+    monkeypatch.setattr(suffixtree, "materialize", lambda df: kept.append(plain(df)) or kept[-1])
+    texts = [" ".join(f"w{(i * 7919 + j * j * 31) % 997}" for j in range(200)) for i in range(1_000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs = spark.read.parquet(f"{data.parquet(docs, tmp_path)}/documents.parquet")
+    assert suffixtree.score(docs, suffixtree.learn(docs)).count() == len(texts)
+    sizes = [os.path.getsize(f.removeprefix("file://")) for df in kept for f in df.inputFiles()]
+    assert 0 < sum(sizes) < 10 * 201 * len(texts)
+
+
 @pytest.mark.parametrize("bits", [3, 14])
 def test_filters_that_would_be_full_are_left_out(spark, bits):
     texts = phrases(8, 200)
