@@ -167,6 +167,7 @@ def test_parts_words_in_several_parts_and_words_without_a_code(spark, monkeypatc
     brute = BruteTree(learned, 3, options.get("min_count", 1), options.get("min_next", 1), 0.02)
     # About 20 parts; the commonest words lie in several of them. Words seen once or twice have no code.
     monkeypatch.setattr(suffixtree, "PART_TOKENS", 120)
+    monkeypatch.setattr(suffixtree, "ROWS_AT_ONCE", 30)
     monkeypatch.setattr(suffixtree, "COMMON", 40)
     monkeypatch.setattr(suffixtree, "TOKENS_AT_ONCE", 300)
     monkeypatch.setattr(suffixtree, "BLOCK_BYTES", 1_000)
